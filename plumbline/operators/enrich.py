@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.rules import add_duplicate_count
-from plumbline.operators.skew import hot_keys, keep_one_per_key, left_join_unique
+from plumbline.operators.skew import HotKeys, find_hot_keys, keep_one_per_key, left_join_unique
 
 # Names the master columns get next to a reading (fixed values): the source
 # column, and the name without the "master_" prefix where it differs.
@@ -81,7 +81,7 @@ def join_event_context(
     events: DataFrame,
     *,
     keep_raw: bool = False,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Reading and the context of its latest event. Never multiplies readings."""
@@ -98,8 +98,8 @@ def enrich_readings(
     the rows.
     """
     spread_by = ["meter_id", "reading_timestamp", "raw_reading_id", "batch_id"]
-    counted = add_duplicate_count(readings, spread_by=spread_by)
-    hot_ids = hot_keys(readings, ["raw_reading_id"])
+    hot_grain, hot_ids = find_hot_keys(readings, ["meter_id", "reading_timestamp"], ["raw_reading_id"])
+    counted = add_duplicate_count(readings, hot=hot_grain, spread_by=spread_by)
     with_events = join_event_context(counted, events, keep_raw=keep_raw, hot=hot_ids, spread_by=spread_by)
     return join_master(with_events, meters, facilities)
 
@@ -107,7 +107,8 @@ def enrich_readings(
 def scenario_intervals(scenarios: DataFrame, separator: str = ";") -> DataFrame:
     """One row per scenario and affected meter."""
     ids = F.filter(
-        F.transform(F.split("affected_meter_ids", separator), F.trim), lambda m: F.length(m) > 0
+        F.transform(F.split("affected_meter_ids", separator), lambda m: F.trim(m)),
+        lambda m: F.length(m) > 0,
     )
     return scenarios.select(
         "scenario_id", "start_datetime", "end_datetime", F.explode(ids).alias("meter_id")

@@ -92,34 +92,45 @@ def parse_documents(lines: DataFrame, column: str = "value") -> DataFrame:
 def flatten_documents(docs: DataFrame) -> DataFrame:
     """Nested documents to the 35 flat event columns, raw JSON preserved."""
     schema = document_schema()
-    has_id = "_id" in docs.columns
     present = [f for f in schema.fieldNames() if f in docs.columns]
 
     def text(name: str) -> Column:
-        return F.col(name).cast("string").alias(name) if name in docs.columns else F.lit(None).cast("string").alias(name)
+        value = iso_text(docs, name) if name in docs.columns else F.lit(None).cast("string")
+        return value.alias(name)
+
+    def as_stored(name: str) -> Column:
+        return F.col(name) if name == "payload" else text(name)
 
     payload = [
         lenient_cast(F.col(f"payload.{name}"), kind).alias("payload_" + name)
         for name, kind in PAYLOAD_FIELDS.items()
     ]
     return docs.select(
-        (F.col("_id").cast("string") if has_id else F.lit(None).cast("string")).alias("object_id"),
+        text("_id").alias("object_id"),
         *[text(f) for f in HEAD_FIELDS],
         *payload,
         *[text(f) for f in TAIL_FIELDS],
         json_text("payload").alias("payload_json"),
-        json_text(F.struct(*present)).alias("raw_document_json"),
+        json_text(F.struct(*[as_stored(f) for f in present])).alias("raw_document_json"),
     )
 
 
+def iso_text(df: DataFrame, column: str) -> Column:
+    """Any scalar as text; times in ISO form, fractions kept."""
+    value = F.col(column).cast("string")
+    is_time = isinstance(df.schema[column].dataType, (T.TimestampType, T.TimestampNTZType))
+    return F.replace(value, F.lit(" "), F.lit("T")) if is_time else value
+
+
+def with_iso_times(df: DataFrame) -> DataFrame:
+    """Time columns as ISO text, ready to go into JSON."""
+    times = (T.TimestampType, T.TimestampNTZType)
+    return df.withColumns({f.name: iso_text(df, f.name) for f in df.schema.fields if isinstance(f.dataType, times)})
+
+
 def json_text(value: str | Column) -> Column:
-    """JSON with NULL fields kept and ISO times, as text that can be hashed."""
-    options = {
-        "ignoreNullFields": "false",
-        "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss",
-        "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss",
-    }
-    return F.to_json(value, options)
+    """JSON with NULL fields kept, as text that can be hashed."""
+    return F.to_json(value, {"ignoreNullFields": "false"})
 
 
 def of_batch(df: DataFrame, batch_id: str, column: str = "seed_batch_id") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.operators.events import json_text
-from plumbline.operators.skew import left_join_unique
+from plumbline.operators.skew import find_hot_keys, left_join_unique
 
 # What the context of one exception shows (fixed values).
 CONTEXT_FIELDS = (
@@ -94,8 +94,10 @@ def related_context(exceptions: DataFrame, context: DataFrame) -> DataFrame:
     by_scenario = _first_context(context, ["scenario_id"], "_s_").withColumnRenamed("scenario_id", "event_scenario_id")
     by_place = _first_context(context, ["facility_id", "exception_type"], "_p_")
     spread = ["exception_id"]
-    joined = left_join_unique(exceptions, by_scenario, ["event_scenario_id"], spread_by=spread)
-    joined = left_join_unique(joined, by_place, ["facility_id", "exception_type"], spread_by=spread)
+    place = ["facility_id", "exception_type"]
+    hot_scenario, hot_place = find_hot_keys(exceptions, ["event_scenario_id"], place)
+    joined = left_join_unique(exceptions, by_scenario, ["event_scenario_id"], spread_by=spread, hot=hot_scenario)
+    joined = left_join_unique(joined, by_place, place, spread_by=spread, hot=hot_place)
     found = F.coalesce("_s_newest", "_p_newest")
     return joined.select(
         *exceptions.columns,

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.clean import is_true, safe_divide
 from plumbline.functions.keys import exception_id
-from plumbline.operators.skew import count_per_key, left_join_unique
+from plumbline.operators.skew import HotKeys, count_per_key, left_join_unique
 
 # Fixed values of the quality model.
 ACCEPTED_QUALITY_CODES = ("GOOD", "ESTIMATED", "QUESTIONABLE", "STALE", "MISSING")
@@ -241,6 +241,7 @@ def add_duplicate_count(
     keys: Sequence[str] = ("meter_id", "reading_timestamp"),
     name: str = "duplicate_meter_timestamp_count",
     spread_by: Sequence[str] | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """How many rows share the key; 1 when any part of the key is NULL.
 
@@ -249,7 +250,7 @@ def add_duplicate_count(
     ``left_join_unique``), so no task ever receives all copies of a key.
     """
     repeated = count_per_key(readings, keys, name).where(F.col(name) > 1)
-    joined = left_join_unique(readings, repeated, keys, spread_by=spread_by)
+    joined = left_join_unique(readings, repeated, keys, spread_by=spread_by, hot=hot)
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(1)).cast("bigint"))
 
 

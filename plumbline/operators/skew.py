@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.clean import is_true
+
 # A key is hot when it holds more than 1/HOT_KEY_BOUND of all rows. Fewer than
 # HOT_KEY_BOUND keys can do so, whatever the data: that is the size bound which
 # makes broadcasting the hot keys safe.
@@ -29,25 +32,43 @@ def count_per_key(df: DataFrame, keys: Sequence[str], name: str = "row_count") -
     return df.where(_all_present(keys)).groupBy(*keys).agg(F.count("*").alias(name))
 
 
-def key_hash(keys: Sequence[str]):
+@dataclass(frozen=True)
+class HotKeys:
+    """What ``find_hot_keys`` saw of one set of key columns."""
+
+    keys: tuple[str, ...]
+    hashes: tuple[int, ...]
+    many_nulls: bool
+
+    @property
+    def any(self) -> bool:
+        return bool(self.hashes) or self.many_nulls
+
+
+def _hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Hashes of the keys that hold more than their share of rows: fewer than
-    HOT_KEY_BOUND rows, in a column ``_key_hash``.
+def find_hot_keys(df: DataFrame, *key_sets: Sequence[str]) -> list[HotKeys]:
+    """Keys that hold more than their share of rows, for several key sets at once.
 
-    A frequent-items sketch, merged from one small sketch per task: the keys are
-    not shuffled. The set only decides how rows travel, never what they match,
-    so an estimate is enough.
+    One narrow pass: every task keeps a small frequent-items sketch per key set,
+    the sketches are merged, and at most HOT_KEY_BOUND hashes per set reach the
+    driver. Keys are not shuffled. The outcome decides how rows travel in a join,
+    never what they match, so an estimate is enough.
     """
-    sketch = F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {HOT_KEY_BOUND}, 20000)")
-    top = df.where(_all_present(keys)).agg(sketch.alias("top"), F.count("*").alias("total"))
-    return (
-        top.select(F.explode("top").alias("key"), "total")
-        .where(F.col("key.count") * HOT_KEY_BOUND > F.col("total"))
-        .select(F.col("key.item").alias("_key_hash"))
-    )
+    measures = [F.count("*").alias("total")]
+    for i, keys in enumerate(key_sets):
+        named = [f"`{k}`" for k in keys]
+        present = " AND ".join(f"{k} IS NOT NULL" for k in named)
+        sketch = f"approx_top_k(xxhash64({', '.join(named)}), {HOT_KEY_BOUND}, 20000) FILTER (WHERE {present})"
+        measures += [F.expr(sketch).alias(f"top_{i}"), F.count_if(~F.expr(present)).alias(f"nulls_{i}")]
+    seen = df.agg(*measures).first()
+    found = []
+    for i, keys in enumerate(key_sets):
+        hashes = tuple(e["item"] for e in seen[f"top_{i}"] or () if e["count"] * HOT_KEY_BOUND > seen["total"])
+        found.append(HotKeys(tuple(keys), hashes, seen[f"nulls_{i}"] * HOT_KEY_BOUND > seen["total"]))
+    return found
 
 
 def left_join_unique(
@@ -56,30 +77,30 @@ def left_join_unique(
     keys: Sequence[str],
     *,
     spread_by: Sequence[str] | None = None,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Left join ``fact`` to a ``lookup`` that has at most one row per key.
 
-    Rows of a hot key get their match from a broadcast of the hot keys' lookup
-    rows. In the shuffle they carry a salt, as do rows with a NULL key, so they
-    spread over all tasks instead of meeting in one. All other keys are joined
-    by an ordinary shuffle. ``hot`` may name the hot keys when they are known
-    from a cheaper plan than ``fact``.
+    Without hot keys this is an ordinary join. Otherwise the rows of a hot key
+    get their match from a broadcast of the hot keys' lookup rows (fewer than
+    HOT_KEY_BOUND), and in the shuffle they carry a salt, as do rows with a NULL
+    key: they spread over all tasks instead of meeting in one. ``hot`` hands in
+    what ``find_hot_keys`` saw, when it was measured on a cheaper plan.
     """
     keys = list(keys)
+    hot = find_hot_keys(fact, keys)[0] if hot is None else hot
+    usable = lookup.where(_all_present(keys))
+    if not hot.any:
+        return fact.join(usable, keys, "left")
+
     payload = [c for c in lookup.columns if c not in keys]
-    hot = (hot_keys(fact, keys) if hot is None else hot).withColumn("_is_hot", F.lit(True))
-    packed = lookup.where(_all_present(keys)).select(*keys, F.struct(*payload).alias("_match"))
-    hot_matches = (
-        packed.withColumn("_key_hash", key_hash(keys))
-        .join(F.broadcast(hot), "_key_hash")
-        .select(*keys, F.col("_match").alias("_hot_match"))
-    )
-    marked = fact.withColumn("_key_hash", key_hash(keys)).join(F.broadcast(hot), "_key_hash", "left")
-    alone = F.col("_is_hot").isNotNull() | ~_all_present(keys)
-    salt = F.when(alone, F.xxhash64(*(spread_by or fact.columns)).bitwiseOR(F.lit(1))).otherwise(F.lit(0))
+    packed = usable.select(*keys, F.struct(*payload).alias("_match"))
+    is_hot = is_true(_hash(keys).isin(*hot.hashes)) if hot.hashes else F.lit(False)
+    hot_matches = packed.where(is_hot).withColumnRenamed("_match", "_hot_match")
+    spread = F.xxhash64(*(spread_by or fact.columns)).bitwiseOR(F.lit(1))
+    alone = is_hot | ~_all_present(keys)
     joined = (
-        marked.withColumn("_salt", salt)
+        fact.withColumn("_salt", F.when(alone, spread).otherwise(F.lit(0)))
         .join(packed.withColumn("_salt", F.lit(0).cast("bigint")), [*keys, "_salt"], "left")
         .join(F.broadcast(hot_matches), keys, "left")
     )

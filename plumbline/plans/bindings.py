@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import enrich, events, facts, rca, reconcile, rules, state, summaries
 from plumbline.operators.standardize import SPECS, standardize_table
+from plumbline.session import materialize
 
 AS_OF = "2024-01-28"
 DETECTED_AT = "2024-02-01 00:00:00"
@@ -205,6 +206,11 @@ class Domain:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def stored(self, name: str) -> DataFrame:
+        """A derived table written once, for queries that read it several times."""
+        self.__dict__[name] = materialize(getattr(self, name))
+        return self.__dict__[name]
+
     # -- raw text tables ---------------------------------------------------
     @cached_property
     def raw_readings(self) -> DataFrame:
@@ -314,7 +320,7 @@ class Domain:
     def document_lines(self) -> DataFrame:
         """The documents as JSON text, one per row."""
         columns = sorted(self.documents.columns)
-        return self.documents.select(events.json_text(F.struct(*columns)).alias("value"))
+        return events.with_iso_times(self.documents).select(events.json_text(F.struct(*columns)).alias("value"))
 
     @cached_property
     def flat_events(self) -> DataFrame:
@@ -379,7 +385,7 @@ class Domain:
 
     @cached_property
     def stage_frames(self) -> list[DataFrame]:
-        checked = self.checked
+        checked = self.stored("checked")
         return [
             self.raw_readings, self.readings, checked, rules.split_valid(checked),
             rules.split_exceptions(checked), self.meter_days, self.facility_days, self.exception_fact,

@@ -1,8 +1,9 @@
-"""Session settings the operators rely on, and where checkpoints go."""
+"""Session settings the operators rely on, and the shared folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,14 +43,26 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") ->
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialize ``df`` with a reliable checkpoint.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the cluster's own ``spark.checkpoint.dir``. Only when the
-    session names none (tests on one machine) a new temporary folder is used.
+    Only a single-machine session that names none gets a temporary one.
     """
-    spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="plumbline-checkpoint-"))
-    return df.checkpoint(eager=True)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("Set spark.checkpoint.dir to a folder shared by all executors")
+        folder = tempfile.mkdtemp(prefix="plumbline-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    For a table that a plan reads several times: it is computed once, a lost
+    executor does not lose it, and later reads fetch only the columns they need.
+    """
+    path = f"{shared_folder(df.sparkSession)}/plumbline/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
