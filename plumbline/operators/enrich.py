@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.operators.rules import add_duplicate_count
-from plumbline.operators.skew import HotKeys, find_hot_keys, keep_one_per_key, left_join_unique
+from plumbline.operators.skew import HotKeys, broadcast_if_small, find_hot_keys, keep_one_per_key, left_join_unique
 
 # Names the master columns get next to a reading (fixed values): the source
 # column, and the name without the "master_" prefix where it differs.
@@ -45,21 +45,25 @@ def prefixed(df: DataFrame, prefix: str, names: dict[str, str]) -> list[Column]:
     return [F.col(c).alias(prefix + name) for c, name in names.items() if c in df.columns]
 
 
-def join_master(readings: DataFrame, meters: DataFrame, facilities: DataFrame) -> DataFrame:
-    """Reading, its meter, and the facility the MASTER assigns to that meter.
-
-    Two plain left joins: Spark broadcasts a master below its size threshold and
-    otherwise shuffles, splitting hot meters at run time (skew join).
-    """
+def master_dimension(meters: DataFrame, facilities: DataFrame) -> DataFrame:
+    """Meters with the facility the MASTER assigns to them, under ``master_`` names."""
     meter = meters.select(*prefixed(meters, "master_", METER_COLUMNS))
     facility = facilities.select(
-        F.col("facility_id").alias("_facility_id"), *prefixed(facilities, "master_", FACILITY_COLUMNS)
-    )
-    return (
-        readings.join(meter, F.col("meter_id") == F.col("master_meter_id"), "left")
-        .join(facility, F.col("master_facility_id") == F.col("_facility_id"), "left")
-        .drop("_facility_id")
+        F.col("facility_id").alias("master_facility_id"), *prefixed(facilities, "master_", FACILITY_COLUMNS)
     )
+    joined = meter.join(facility, "master_facility_id", "left")
+    return joined.select(*meter.columns, *[c for c in facility.columns if c not in meter.columns])
+
+
+def join_master(readings: DataFrame, meters: DataFrame, facilities: DataFrame) -> DataFrame:
+    """Reading, its meter, and the meter's facility.
+
+    The two masters are joined to each other first, so the readings take part in
+    one join only: a broadcast while the masters are small, else a shuffle on the
+    meter in which Spark splits hot meters at run time.
+    """
+    master = broadcast_if_small(master_dimension(meters, facilities))
+    return readings.join(master, F.col("meter_id") == F.col("master_meter_id"), "left")
 
 
 def latest_event_context(
@@ -118,7 +122,7 @@ def scenario_intervals(scenarios: DataFrame, separator: str = ";") -> DataFrame:
 def tag_scenarios(readings: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Readings inside a known scenario: meter on its list, time within its bounds
     (both inclusive). Joined on the meter, so the range is only a filter."""
-    spans = scenario_intervals(scenarios)
+    spans = broadcast_if_small(scenario_intervals(scenarios))
     inside = F.col("reading_timestamp").between(F.col("start_datetime"), F.col("end_datetime"))
     return readings.join(spans, "meter_id").where(inside).drop("start_datetime", "end_datetime")
 

@@ -169,8 +169,16 @@ def anomalies_plus_sample(readings: DataFrame, n: int, seed: str = "42", key: st
     return select_anomalies(readings).unionByName(smallest_by_hash(normal, key, n, seed))
 
 
+def _context_literal(values: dict[str, object]) -> Column:
+    fields = CONTEXT_DEFAULTS | values
+    return F.struct(
+        *[F.lit(v).cast("int" if f == "retry_count" else "string").alias(f) for f, v in fields.items()]
+    )
+
+
 def event_context() -> Column:
-    """Six device fields of a reading as a struct, by its kind of anomaly."""
+    """Six device fields of a reading as a struct: its kind of anomaly, looked up
+    in a literal table."""
     status, code = F.col("raw_status"), F.col("quality_code")
     unknown_code = ~is_true(code.isin(*ACCEPTED_QUALITY_CODES))
     tests = {
@@ -182,17 +190,9 @@ def event_context() -> Column:
         *[F.when(tests.get(name, status == name), F.lit(name)) for name, _ in CONTEXT_CASES],
         F.lit("NORMAL"),
     )
-    types = {"retry_count": "int"}
-    fields = []
-    for field, default in CONTEXT_DEFAULTS.items():
-        data_type = types.get(field, "string")
-        special = [(name, case[field]) for name, case in CONTEXT_CASES if field in case]
-        value = F.coalesce(
-            *[F.when(kind == name, F.lit(v).cast(data_type)) for name, v in special],
-            F.lit(default).cast(data_type),
-        )
-        fields.append(value.alias(field))
-    return F.struct(*fields)
+    table = [("NORMAL", {}), *CONTEXT_CASES]
+    pairs = [part for name, values in table for part in (F.lit(name), _context_literal(values))]
+    return F.try_element_at(F.create_map(*pairs), kind)
 
 
 def scenario_of_status(status: str = "raw_status") -> Column:

@@ -266,8 +266,8 @@ def explode_exceptions(
 ) -> DataFrame:
     """One row per failed rule per reading, with the rule's metadata and a stable id.
 
-    Each row carries the array of rules it failed and explodes it, so the table
-    is read once rather than once per rule.
+    Each failing row explodes the array of its rules and keeps those it failed, so
+    the table is read once rather than once per rule.
     """
     failed = [
         F.when(
@@ -285,7 +285,8 @@ def explode_exceptions(
     seen = F.current_timestamp() if detected_at is None else F.lit(detected_at).cast("timestamp_ntz")
     return (
         checked.where(has_exception(rules))
-        .select(F.explode(F.array_compact(F.array(*failed))).alias("rule"), *carried)
+        .select(F.explode(F.array(*failed)).alias("rule"), *carried)
+        .where(F.col("rule").isNotNull())
         .select(
             exception_id(F.col("rule.rule_id"), reading_id, entity_id, timestamp).alias("exception_id"),
             "rule.*",

@@ -18,6 +18,19 @@ HOT_KEY_BOUND = 1000
 # Number of buckets used to locate the n-th smallest hash (four hex digits).
 HASH_BUCKETS = 65536
 
+# Largest side that is broadcast, in rows (some tens of MB at a few hundred bytes
+# a row).
+MAX_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when a count shows it is small enough.
+
+    Beyond the bound it is returned as it is: the join then shuffles both sides
+    and splits hot partitions at run time. The count stops at the bound.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
 
 def _all_present(keys: Sequence[str]):
     present = F.lit(True)

@@ -169,6 +169,10 @@ SCENARIOS = (
 )
 
 
+# Tables whose rows are worth spreading.
+SPREAD = ("events", "orders", "lineitem")
+
+
 def text_columns(block: str) -> list[str]:
     return [line.strip() for line in block.strip().splitlines()]
 
@@ -201,15 +205,23 @@ class Domain:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._stored: dict[str, DataFrame] = {}
         self.ctx = rules.RuleContext(as_of=AS_OF, max_rejected_rows=1000)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A test table. A small file is one task to Spark, whatever is done with its
+        rows, so a file of some size is spread over the cores; a table of many
+        files is left as it is."""
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if name in SPREAD and len(df.inputFiles()) < cores else df
 
     def stored(self, name: str) -> DataFrame:
-        """A derived table written once, for queries that read it several times."""
-        self.__dict__[name] = materialize(getattr(self, name))
-        return self.__dict__[name]
+        """A derived table written once and read back, as the pipeline does with its
+        silver tables: for plans that read it several times or aggregate it widely."""
+        if name not in self._stored:
+            self.__dict__[name] = self._stored[name] = materialize(getattr(self, name))
+        return self._stored[name]
 
     # -- raw text tables ---------------------------------------------------
     @cached_property
@@ -349,7 +361,7 @@ class Domain:
 
     @cached_property
     def meter_days(self) -> DataFrame:
-        return facts.meter_daily(self.checked)
+        return facts.meter_daily(self.stored("checked"))
 
     @cached_property
     def facility_days(self) -> DataFrame:
@@ -373,7 +385,7 @@ class Domain:
 
     @cached_property
     def exception_summary(self) -> DataFrame:
-        return summaries.exception_summary_daily(self.exception_fact)
+        return summaries.exception_summary_daily(self.stored("exception_fact"))
 
     @cached_property
     def health(self) -> DataFrame:

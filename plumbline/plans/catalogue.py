@@ -470,12 +470,12 @@ def _(d):
 # -- summaries ---------------------------------------------------------------
 @query("rule_summary")
 def _(d):
-    return summaries.rule_summary(d.exceptions)
+    return summaries.rule_summary(d.stored("exceptions"))
 
 
 @query("severity_rank")
 def _(d):
-    return summaries.ranked_rule_summary(d.exceptions).select("rule_id", "severity", "severity_rank")
+    return summaries.ranked_rule_summary(d.stored("exceptions")).select("rule_id", "severity", "severity_rank")
 
 
 @query("exception_summary_daily")
@@ -506,12 +506,12 @@ def _(d):
 
 @query("exception_kpis")
 def _(d):
-    return summaries.exception_kpis(d.exception_fact)
+    return summaries.exception_kpis(d.stored("exception_fact"))
 
 
 @query("event_kpis")
 def _(d):
-    return summaries.event_kpis(d.exception_fact)
+    return summaries.event_kpis(d.stored("exception_fact"))
 
 
 @query("pipeline_kpis")

@@ -27,8 +27,9 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A single-machine session for tests and the bench."""
+def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g", **settings: str) -> SparkSession:
+    """A single-machine session for tests and the bench. Further settings are given
+    with underscores for dots."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("plumbline")
@@ -36,7 +37,8 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") ->
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
-    for name, value in RUNTIME_SETTINGS.items():
+    more = {name.replace("_", "."): value for name, value in settings.items()}
+    for name, value in (RUNTIME_SETTINGS | more).items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
