@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.operators.publish import require_identifier
-from plumbline.sources.tables import counted
 
 
 def read_remote(spark: SparkSession, options: Mapping[str, str], query: str, source: str = "jdbc") -> DataFrame:
@@ -44,16 +43,18 @@ def publish(
     batch_rows: int = 1000,
     max_connections: int = 16,
 ) -> tuple[int, int]:
-    """Replace a target table; returns (rows sent, rows found there afterwards).
+    """Replace a target table; returns (source rows, rows found there afterwards).
+
+    ``df`` should be a stored table: it is counted (from file metadata) besides
+    being written.
 
     ``keep_definition`` truncates the table, so views on it survive; without it
     the table is dropped and created anew. ``max_connections`` bounds how many
     tasks write at once.
     """
     require_identifier(table, "target table")
-    frame, seen = counted(df)
     (
-        frame.write.format(source)
+        df.write.format(source)
         .options(**options)
         .option("dbtable", table)
         .option("truncate", keep_definition)
@@ -62,7 +63,7 @@ def publish(
         .mode("overwrite")
         .save()
     )
-    return seen.get["rows"], remote_row_count(df.sparkSession, options, table, source)
+    return df.count(), remote_row_count(df.sparkSession, options, table, source)
 
 
 def publish_summary(spark: SparkSession, rows: list[dict]) -> DataFrame:
