@@ -1,7 +1,9 @@
 """Text cleaning and lenient parsing.
 
 Every parser returns NULL for text it cannot read: ANSI mode is on in current
-Spark, so the strict casts would fail the whole job on one bad row.
+Spark, so the strict casts would fail the whole job on one bad row. The kinds are
+SQL templates, so a wide table is one ``selectExpr`` and not hundreds of calls
+into the JVM.
 """
 
 from __future__ import annotations
@@ -9,46 +11,78 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+TEXT = "nullif(trim(cast({0} AS string)), '')"
+CODE = f"upper({TEXT})"
+
+# What each kind of a table spec means (see operators/standardize.py).
+KINDS = {
+    # Trimmed text; blank text becomes NULL.
+    "text": TEXT,
+    # A cleaned status code in upper case.
+    "code": CODE,
+    # Y/N in any case and padding to boolean, anything else to NULL.
+    "flag": f"CASE {CODE} WHEN 'Y' THEN true WHEN 'N' THEN false END",
+    "date": f"try_cast({TEXT} AS date)",
+    # Zone-free: the sources carry ISO text without an offset.
+    "timestamp": f"try_cast({TEXT} AS timestamp_ntz)",
+    "double": "try_cast({0} AS double)",
+    "int": "try_cast({0} AS int)",
+    "long": "try_cast({0} AS bigint)",
+}
+
+
+def quoted(name: str) -> str:
+    """A column or nested field name for use in SQL text."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
+def sql_text(value: object) -> str:
+    """A literal for use in SQL text."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value).lower() if isinstance(value, bool) else str(value)
 
-def as_column(value: str | Column) -> Column:
-    return F.col(value) if isinstance(value, str) else value
 
+def kind_sql(kind: str, name: str) -> str:
+    return KINDS[kind].format(quoted(name))
 
-def clean_string(value: str | Column) -> Column:
-    """Trimmed text; blank text becomes NULL."""
-    return F.nullif(F.trim(as_column(value).cast("string")), F.lit(""))
 
+def clean_string(name: str) -> Column:
+    return F.expr(kind_sql("text", name))
 
-def upper_code(value: str | Column) -> Column:
-    """A cleaned status code in upper case."""
-    return F.upper(clean_string(value))
 
+def upper_code(name: str) -> Column:
+    return F.expr(kind_sql("code", name))
 
-def yes_no(value: str | Column) -> Column:
-    """Y/N in any case and padding to boolean, anything else to NULL."""
-    code = upper_code(value)
-    return F.when(code.isin("Y", "N"), code == "Y")
 
+def yes_no(name: str) -> Column:
+    return F.expr(kind_sql("flag", name))
 
-def parse_date(value: str | Column) -> Column:
-    return clean_string(value).try_cast("date")
 
+def parse_date(name: str) -> Column:
+    return F.expr(kind_sql("date", name))
 
-def parse_timestamp(value: str | Column) -> Column:
-    """Zone-free timestamp: the sources carry ISO text without an offset."""
-    return clean_string(value).try_cast("timestamp_ntz")
 
+def parse_timestamp(name: str) -> Column:
+    return F.expr(kind_sql("timestamp", name))
 
-def parse_double(value: str | Column) -> Column:
-    return as_column(value).try_cast("double")
 
+def parse_double(name: str) -> Column:
+    return F.expr(kind_sql("double", name))
 
-def parse_int(value: str | Column) -> Column:
-    return as_column(value).try_cast("int")
 
+def parse_int(name: str) -> Column:
+    return F.expr(kind_sql("int", name))
 
-def parse_long(value: str | Column) -> Column:
-    return as_column(value).try_cast("bigint")
+
+def parse_long(name: str) -> Column:
+    return F.expr(kind_sql("long", name))
+
+
+def as_column(value: str | Column) -> Column:
+    return F.col(value) if isinstance(value, str) else value
 
 
 def lenient_cast(value: str | Column, data_type: str) -> Column:
@@ -64,16 +98,3 @@ def is_true(condition: Column) -> Column:
 def safe_divide(numerator: str | Column, denominator: str | Column) -> Column:
     """Double division; a NULL or zero denominator gives NULL."""
     return F.try_divide(as_column(numerator).cast("double"), as_column(denominator).cast("double"))
-
-
-# What each kind of a table spec means (see operators/standardize.py).
-KINDS = {
-    "text": clean_string,
-    "code": upper_code,
-    "flag": yes_no,
-    "date": parse_date,
-    "timestamp": parse_timestamp,
-    "double": parse_double,
-    "int": parse_int,
-    "long": parse_long,
-}

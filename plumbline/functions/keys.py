@@ -11,7 +11,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from plumbline.functions.clean import as_column, clean_string
+from plumbline.functions.clean import as_column, kind_sql, sql_text
 
 KEY_SEPARATOR = "||"
 
@@ -50,10 +50,11 @@ def exception_group_id(*columns: str) -> Column:
     return F.sha2(F.concat_ws(KEY_SEPARATOR, *parts), 256)
 
 
-def present_text(value: str | Column) -> Column:
+def present_text(name: str) -> Column:
     """Trimmed text, with blanks and the missing words as NULL."""
-    text = clean_string(value)
-    return F.when(~F.lower(text).isin(*MISSING_WORDS), text)
+    text = kind_sql("text", name)
+    words = ", ".join(sql_text(w) for w in MISSING_WORDS)
+    return F.expr(f"CASE WHEN lower({text}) NOT IN ({words}) THEN {text} END")
 
 
 def review_group_key(production_date: str, facility: str, exception_type: str, severity: str) -> Column:

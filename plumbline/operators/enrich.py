@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.functions.clean import quoted
 from plumbline.operators.rules import add_duplicate_count
 from plumbline.operators.skew import HotKeys, broadcast_if_small, find_hot_keys, keep_one_per_key, left_join_unique
 
@@ -40,16 +41,17 @@ EVENT_COLUMNS = {
 RAW_EVENT_COLUMNS = {"payload_json": "payload_json", "raw_document_json": "raw_document_json"}
 
 
-def prefixed(df: DataFrame, prefix: str, names: dict[str, str]) -> list[Column]:
+def prefixed(df: DataFrame, prefix: str, names: dict[str, str]) -> list[str]:
     """The columns of ``names`` that ``df`` has, under the prefix."""
-    return [F.col(c).alias(prefix + name) for c, name in names.items() if c in df.columns]
+    present = set(df.columns)
+    return [f"{quoted(c)} AS {quoted(prefix + name)}" for c, name in names.items() if c in present]
 
 
 def master_dimension(meters: DataFrame, facilities: DataFrame) -> DataFrame:
     """Meters with the facility the MASTER assigns to them, under ``master_`` names."""
-    meter = meters.select(*prefixed(meters, "master_", METER_COLUMNS))
-    facility = facilities.select(
-        F.col("facility_id").alias("master_facility_id"), *prefixed(facilities, "master_", FACILITY_COLUMNS)
+    meter = meters.selectExpr(*prefixed(meters, "master_", METER_COLUMNS))
+    facility = facilities.selectExpr(
+        "facility_id AS master_facility_id", *prefixed(facilities, "master_", FACILITY_COLUMNS)
     )
     joined = meter.join(facility, "master_facility_id", "left")
     return joined.select(*meter.columns, *[c for c in facility.columns if c not in meter.columns])
@@ -77,7 +79,7 @@ def latest_event_context(
     wanted = dict.fromkeys(["raw_reading_id", *order, *[c for c in names if c in events.columns]])
     usable = events.where(F.col("raw_reading_id").isNotNull()).select(*wanted)
     newest = keep_one_per_key(usable, ["raw_reading_id"], list(order))
-    return newest.select("raw_reading_id", *prefixed(newest, "event_", names))
+    return newest.selectExpr("raw_reading_id", *prefixed(newest, "event_", names))
 
 
 def join_event_context(

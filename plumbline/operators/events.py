@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from plumbline.functions.clean import is_true, lenient_cast
+from plumbline.functions.clean import is_true, quoted, sql_text
 from plumbline.operators.rules import ACCEPTED_QUALITY_CODES
 from plumbline.operators.skew import smallest_by_hash
 
@@ -75,6 +77,9 @@ TAIL_FIELDS = (
 )
 
 
+KEEP_NULLS = "map('ignoreNullFields', 'false')"
+
+
 def document_schema() -> T.StructType:
     """Schema of a stored document; fields in name order, as they are written."""
     payload = T.StructType([T.StructField(f, T.StringType()) for f in sorted(PAYLOAD_FIELDS)])
@@ -91,41 +96,38 @@ def parse_documents(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def flatten_documents(docs: DataFrame) -> DataFrame:
     """Nested documents to the 35 flat event columns, raw JSON preserved."""
-    schema = document_schema()
-    present = [f for f in schema.fieldNames() if f in docs.columns]
-
-    def text(name: str) -> Column:
-        value = iso_text(docs, name) if name in docs.columns else F.lit(None).cast("string")
-        return value.alias(name)
-
-    def as_stored(name: str) -> Column:
-        return F.col(name) if name == "payload" else text(name)
-
-    payload = [
-        lenient_cast(F.col(f"payload.{name}"), kind).alias("payload_" + name)
-        for name, kind in PAYLOAD_FIELDS.items()
-    ]
-    return docs.select(
-        text("_id").alias("object_id"),
-        *[text(f) for f in HEAD_FIELDS],
-        *payload,
-        *[text(f) for f in TAIL_FIELDS],
-        json_text("payload").alias("payload_json"),
-        json_text(F.struct(*[as_stored(f) for f in present])).alias("raw_document_json"),
+    present = [f for f in document_schema().fieldNames() if f in docs.columns]
+
+    def text(name: str) -> str:
+        return iso_sql(docs, name) if name in present else "cast(NULL AS string)"
+
+    stored = ", ".join(f"'{f}', {f if f == 'payload' else text(f)}" for f in present)
+    return docs.selectExpr(
+        f"{text('_id')} AS object_id",
+        *[f"{text(f)} AS {f}" for f in HEAD_FIELDS],
+        *[f"try_cast(payload.{f} AS {kind}) AS payload_{f}" for f, kind in PAYLOAD_FIELDS.items()],
+        *[f"{text(f)} AS {f}" for f in TAIL_FIELDS],
+        f"to_json(payload, {KEEP_NULLS}) AS payload_json",
+        f"to_json(named_struct({stored}), {KEEP_NULLS}) AS raw_document_json",
     )
 
 
-def iso_text(df: DataFrame, column: str) -> Column:
+def iso_sql(df: DataFrame, column: str) -> str:
     """Any scalar as text; times in ISO form, fractions kept."""
-    value = F.col(column).cast("string")
     is_time = isinstance(df.schema[column].dataType, (T.TimestampType, T.TimestampNTZType))
-    return F.replace(value, F.lit(" "), F.lit("T")) if is_time else value
+    value = f"cast({quoted(column)} AS string)"
+    return f"replace({value}, ' ', 'T')" if is_time else value
 
 
 def with_iso_times(df: DataFrame) -> DataFrame:
     """Time columns as ISO text, ready to go into JSON."""
     times = (T.TimestampType, T.TimestampNTZType)
-    return df.withColumns({f.name: iso_text(df, f.name) for f in df.schema.fields if isinstance(f.dataType, times)})
+    return df.selectExpr(
+        *[
+            f"{iso_sql(df, f.name)} AS {quoted(f.name)}" if isinstance(f.dataType, times) else quoted(f.name)
+            for f in df.schema.fields
+        ]
+    )
 
 
 def json_text(value: str | Column) -> Column:
@@ -169,30 +171,28 @@ def anomalies_plus_sample(readings: DataFrame, n: int, seed: str = "42", key: st
     return select_anomalies(readings).unionByName(smallest_by_hash(normal, key, n, seed))
 
 
-def _context_literal(values: dict[str, object]) -> Column:
-    fields = CONTEXT_DEFAULTS | values
-    return F.struct(
-        *[F.lit(v).cast("int" if f == "retry_count" else "string").alias(f) for f, v in fields.items()]
+def _context_literal(values: Mapping[str, object]) -> str:
+    types = {"retry_count": "int"}
+    fields = (
+        f"'{f}', cast({sql_text(v)} AS {types.get(f, 'string')})" for f, v in (CONTEXT_DEFAULTS | dict(values)).items()
     )
+    return f"named_struct({', '.join(fields)})"
 
 
 def event_context() -> Column:
     """Six device fields of a reading as a struct: its kind of anomaly, looked up
     in a literal table."""
-    status, code = F.col("raw_status"), F.col("quality_code")
-    unknown_code = ~is_true(code.isin(*ACCEPTED_QUALITY_CODES))
+    accepted = ", ".join(sql_text(c) for c in ACCEPTED_QUALITY_CODES)
     tests = {
-        "STALE": is_true(status == "STALE") | is_true(code == "STALE"),
-        "INVALID_QUALITY_CODE": is_true(status == "INVALID_QUALITY_CODE") | unknown_code,
-        "NULL_VOLUME": is_true(status == "NULL_VOLUME") | F.col("volume").isNull(),
+        "STALE": "raw_status = 'STALE' OR quality_code = 'STALE'",
+        "INVALID_QUALITY_CODE": f"raw_status = 'INVALID_QUALITY_CODE' OR NOT coalesce(quality_code IN ({accepted}), false)",
+        "NULL_VOLUME": "raw_status = 'NULL_VOLUME' OR volume IS NULL",
     }
-    kind = F.coalesce(
-        *[F.when(tests.get(name, status == name), F.lit(name)) for name, _ in CONTEXT_CASES],
-        F.lit("NORMAL"),
+    cases = " ".join(
+        f"WHEN {tests.get(kind, f'raw_status = {sql_text(kind)}')} THEN {sql_text(kind)}" for kind, _ in CONTEXT_CASES
     )
-    table = [("NORMAL", {}), *CONTEXT_CASES]
-    pairs = [part for name, values in table for part in (F.lit(name), _context_literal(values))]
-    return F.try_element_at(F.create_map(*pairs), kind)
+    table = ", ".join(f"{sql_text(kind)}, {_context_literal(values)}" for kind, values in (("NORMAL", {}), *CONTEXT_CASES))
+    return F.expr(f"try_element_at(map({table}), CASE {cases} ELSE 'NORMAL' END)")
 
 
 def scenario_of_status(status: str = "raw_status") -> Column:
@@ -210,30 +210,23 @@ def build_documents(
     source_file: str = "raw_polling_readings.csv",
 ) -> DataFrame:
     """One nested event document per reading."""
-    stamp = F.current_timestamp().cast("timestamp_ntz") if ingested_at is None else F.lit(ingested_at).cast("timestamp_ntz")
-    context = [F.col("_context")[f].alias(f) for f in CONTEXT_DEFAULTS]
-    measured = ("volume", "pressure", "temperature", "quality_code", "raw_status")
-    payload = F.struct(*measured, *context, F.lit(schema_version).alias("schema_version"))
+    stamp = "current_timestamp()" if ingested_at is None else sql_text(ingested_at)
+    context = ", ".join(f"'{f}', _context.{f}" for f in CONTEXT_DEFAULTS)
+    measured = ", ".join(f"'{f}', {f}" for f in ("volume", "pressure", "temperature", "quality_code", "raw_status"))
     return readings.withColumn("_context", event_context()).select(
-        F.concat(F.lit("EVT-"), F.col("raw_reading_id")).alias("event_id"),
-        "raw_reading_id",
-        "source_system",
-        "polling_platform",
-        "meter_id",
+        F.expr("concat('EVT-', raw_reading_id)").alias("event_id"),
+        "raw_reading_id", "source_system", "polling_platform", "meter_id",
         F.col("source_facility_id").alias("facility_id"),
         F.col("reading_timestamp").alias("event_timestamp"),
-        "production_date",
-        "gas_day",
-        "poll_timestamp",
-        "load_timestamp",
+        "production_date", "gas_day", "poll_timestamp", "load_timestamp",
         F.lit("meter_reading").alias("payload_type"),
-        payload.alias("payload"),
+        F.expr(f"named_struct({measured}, {context}, 'schema_version', {sql_text(schema_version)})").alias("payload"),
         F.lit(message_source).alias("raw_message_source"),
         F.lit(source_file).alias("source_file"),
         F.col("batch_id").alias("source_batch_id"),
         F.lit(batch_id).alias("seed_batch_id"),
         scenario_of_status().alias("scenario_id"),
-        stamp.alias("ingested_at"),
+        F.expr(f"cast({stamp} AS timestamp_ntz)").alias("ingested_at"),
     )
 
 

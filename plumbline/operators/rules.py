@@ -11,12 +11,12 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
 from functools import reduce
-from operator import add, or_
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.clean import is_true, safe_divide
+from plumbline.functions.clean import is_true, quoted, safe_divide, sql_text
 from plumbline.functions.keys import exception_id
 from plumbline.operators.skew import HotKeys, count_per_key, left_join_unique
 
@@ -183,16 +183,16 @@ def add_flags(df: DataFrame, rules: Sequence[Rule], ctx: RuleContext) -> DataFra
 
 
 def exception_count(rules: Sequence[Rule]) -> Column:
-    return reduce(add, [is_true(F.col(r.flag)).cast("int") for r in rules])
+    return F.expr(" + ".join(f"cast(coalesce({quoted(r.flag)}, false) AS int)" for r in rules))
 
 
 def has_exception(rules: Sequence[Rule]) -> Column:
-    return reduce(or_, [is_true(F.col(r.flag)) for r in rules])
+    return F.expr(" OR ".join(f"coalesce({quoted(r.flag)}, false)" for r in rules))
 
 
 def primary_type(rules: Sequence[Rule], order: Sequence[str] = PRIMARY_TYPE_ORDER) -> Column:
-    by_type = {r.exception_type: r for r in rules}
-    return F.coalesce(*[F.when(F.col(by_type[t].flag), F.lit(t)) for t in order if t in by_type])
+    flags = {r.exception_type: quoted(r.flag) for r in rules}
+    return F.expr("CASE " + " ".join(f"WHEN {flags[t]} THEN {sql_text(t)}" for t in order if t in flags) + " END")
 
 
 def needs_review(ctx: RuleContext) -> Column:
@@ -269,23 +269,17 @@ def explode_exceptions(
     Each failing row explodes the array of its rules and keeps those it failed, so
     the table is read once rather than once per rule.
     """
-    failed = [
-        F.when(
-            is_true(F.col(r.flag)),
-            F.struct(
-                F.lit(r.rule_id).alias("rule_id"),
-                F.lit(r.exception_type).alias("exception_type"),
-                F.lit(r.severity).alias("severity"),
-                F.lit(r.reason).alias("business_reason"),
-            ),
-        )
+    failed = ", ".join(
+        f"CASE WHEN {quoted(r.flag)} THEN named_struct('rule_id', {sql_text(r.rule_id)}, "
+        f"'exception_type', {sql_text(r.exception_type)}, 'severity', {sql_text(r.severity)}, "
+        f"'business_reason', {sql_text(r.reason)}) END"
         for r in rules
-    ]
+    )
     carried = [c for c in (keep or EXCEPTION_DETAIL_COLUMNS) if c in checked.columns]
     seen = F.current_timestamp() if detected_at is None else F.lit(detected_at).cast("timestamp_ntz")
     return (
         checked.where(has_exception(rules))
-        .select(F.explode(F.array(*failed)).alias("rule"), *carried)
+        .select(F.expr(f"explode(array({failed}))").alias("rule"), *carried)
         .where(F.col("rule").isNotNull())
         .select(
             exception_id(F.col("rule.rule_id"), reading_id, entity_id, timestamp).alias("exception_id"),

@@ -8,15 +8,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.clean import is_true
+from plumbline.functions.clean import is_true, quoted
 
 # A key is hot when it holds more than 1/HOT_KEY_BOUND of all rows. Fewer than
 # HOT_KEY_BOUND keys can do so, whatever the data: that is the size bound which
 # makes broadcasting the hot keys safe.
 HOT_KEY_BOUND = 1000
 
-# Number of buckets used to locate the n-th smallest hash (four hex digits).
-HASH_BUCKETS = 65536
+# Number of buckets used to locate the n-th smallest hash (three hex digits).
+HASH_BUCKETS = 4096
 
 # Largest side that is broadcast, in rows (some tens of MB at a few hundred bytes
 # a row).
@@ -32,11 +32,8 @@ def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Dat
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def _all_present(keys: Sequence[str]):
-    present = F.lit(True)
-    for key in keys:
-        present = present & F.col(key).isNotNull()
-    return present
+def _all_present(keys: Sequence[str]) -> Column:
+    return F.expr(" AND ".join(f"{quoted(key)} IS NOT NULL" for key in keys))
 
 
 def count_per_key(df: DataFrame, keys: Sequence[str], name: str = "row_count") -> DataFrame:
@@ -72,7 +69,7 @@ def find_hot_keys(df: DataFrame, *key_sets: Sequence[str]) -> list[HotKeys]:
     """
     measures = [F.count("*").alias("total")]
     for i, keys in enumerate(key_sets):
-        named = [f"`{k}`" for k in keys]
+        named = [quoted(k) for k in keys]
         present = " AND ".join(f"{k} IS NOT NULL" for k in named)
         sketch = f"approx_top_k(xxhash64({', '.join(named)}), {HOT_KEY_BOUND}, 20000) FILTER (WHERE {present})"
         measures += [F.expr(sketch).alias(f"top_{i}"), F.count_if(~F.expr(present)).alias(f"nulls_{i}")]
@@ -117,10 +114,9 @@ def left_join_unique(
         .join(packed.withColumn("_salt", F.lit(0).cast("bigint")), [*keys, "_salt"], "left")
         .join(F.broadcast(hot_matches), keys, "left")
     )
-    match = F.coalesce(F.col("_match"), F.col("_hot_match"))
-    return joined.select(
-        *[F.col(c) for c in fact.columns],
-        *[match[c].alias(c) for c in payload],
+    return joined.selectExpr(
+        *[quoted(c) for c in fact.columns],
+        *[f"coalesce(_match, _hot_match).{quoted(c)} AS {quoted(c)}" for c in payload],
     )
 
 
@@ -134,7 +130,7 @@ def keep_one_per_key(df: DataFrame, keys: Sequence[str], order: Sequence, *, new
     rest = [c for c in df.columns if c not in keys]
     pick = F.max_by if newest else F.min_by
     packed = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return packed.select(*[F.col(k) if k in keys else F.col("_row")[k].alias(k) for k in df.columns])
+    return packed.selectExpr(*[quoted(c) if c in keys else f"_row.{quoted(c)}" for c in df.columns])
 
 
 def smallest_by_hash(df: DataFrame, key: str, n: int, seed: str = "") -> DataFrame:
@@ -149,7 +145,7 @@ def smallest_by_hash(df: DataFrame, key: str, n: int, seed: str = "") -> DataFra
     if n <= 0:
         return df.limit(0)
     digest = F.md5(F.concat(F.lit(seed), F.col(key).cast("string")).cast("binary"))
-    hashed = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, 4))
+    hashed = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, 3))
     sizes = sorted(hashed.groupBy("_bucket").count().collect())  # at most HASH_BUCKETS rows
     taken = 0
     for bucket, size in sizes:

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.functions.clean import KINDS
+from plumbline.functions.clean import kind_sql, quoted
 from plumbline.functions.keys import record_hash
 
 # Lineage columns of the raw layer that get a new name in the typed layer.
@@ -94,12 +94,13 @@ SPECS: dict[str, tuple[str, ...]] = {
 }
 
 
-def spec_columns(spec: Sequence[str]) -> list[Column]:
+def spec_columns(spec: Sequence[str]) -> list[str]:
+    """One SQL expression per entry of a spec."""
     out = []
     for entry in spec:
         name, _, rule = entry.partition(":")
         kind, _, source = rule.partition("<")
-        out.append(KINDS[kind](source or name).alias(name))
+        out.append(f"{kind_sql(kind, source or name)} AS {quoted(name)}")
     return out
 
 
@@ -112,9 +113,9 @@ def source_columns(spec: Sequence[str]) -> list[str]:
 def standardize(raw: DataFrame, spec: Sequence[str]) -> DataFrame:
     """Typed columns of ``spec`` plus whatever lineage columns the raw table has."""
     lineage = [
-        F.col(c).alias(LINEAGE_RENAMES.get(c, c)) for c in raw.columns if c.startswith("_")
+        f"{quoted(c)} AS {quoted(LINEAGE_RENAMES.get(c, c))}" for c in raw.columns if c.startswith("_")
     ]
-    return raw.select(*spec_columns(spec), *lineage)
+    return raw.selectExpr(*spec_columns(spec), *lineage)
 
 
 def standardize_table(raw: DataFrame, table: str) -> DataFrame:

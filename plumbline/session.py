@@ -35,6 +35,7 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g", **s
         .appName("plumbline")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
     )
     more = {name.replace("_", "."): value for name, value in settings.items()}
