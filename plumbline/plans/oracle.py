@@ -21,6 +21,11 @@ def lit(value) -> str:
     return "'" + str(value).replace("'", "''") + "'"
 
 
+def rounded(expr: str) -> str:
+    """The rounding of ``catalogue.plain``; never a negative zero."""
+    return f"CASE WHEN abs({expr}) < 0.00005 THEN CAST(0 AS DOUBLE) ELSE round({expr} + {catalogue.NUDGE:.9f}, {catalogue.ROUND}) END"
+
+
 def listed(values) -> str:
     return ", ".join(lit(v) for v in values)
 
@@ -449,7 +454,7 @@ DOUBLES = {
 
 
 def columns(names) -> str:
-    return ", ".join(f"round({c}, {catalogue.ROUND}) AS {c}" if c in DOUBLES else c for c in names)
+    return ", ".join(f"{rounded(c)} AS {c}" if c in DOUBLES else c for c in names)
 
 
 READING_COLS = ("raw_reading_id", "meter_id", "source_facility_id", "reading_timestamp", "production_date", "gas_day", "poll_timestamp",
@@ -516,7 +521,7 @@ TEXT_PAYLOAD = f"json_object({', '.join(f'{lit(n)}, {e}' for n, e in payload_pai
 STORED_JSON = json_object(sorted([*DOC_TEXT.items(), ("payload", TEXT_PAYLOAD), ("_id", "NULL"), ("last_seed_attempt_at", "NULL"), ("last_seed_batch_id", "NULL")]))
 FLAT_COLS = ", ".join(
     [f"{e} AS {n}" for n, e in DOC_TEXT.items()]
-    + [f"{'round(' + n + ', 4)' if n in ('volume', 'pressure', 'temperature') else ('CAST(' + n + ' AS BIGINT)' if n == 'retry_count' else n)} AS payload_{n}" for n in PAYLOAD_ORDER if n != "schema_version"]
+    + [f"{rounded(n) if n in ('volume', 'pressure', 'temperature') else ('CAST(' + n + ' AS BIGINT)' if n == 'retry_count' else n)} AS payload_{n}" for n in PAYLOAD_ORDER if n != "schema_version"]
     + ["'meter_event_v1' AS payload_schema_version", "CAST(NULL AS VARCHAR) AS last_seed_attempt_at", "CAST(NULL AS VARCHAR) AS last_seed_batch_id",
        f"CAST({TEXT_PAYLOAD} AS VARCHAR) AS payload_json"]
 )
@@ -581,7 +586,7 @@ def simple(name: str, cols, source: str) -> None:
 
 
 Q["event_flatten"] = f"SELECT {FLAT_COLS} FROM docs"
-Q["lenient_cast"] = """SELECT raw_reading_id, round(volume, 4) AS volume, CAST(NULL AS DOUBLE) AS status_number,
+Q["lenient_cast"] = f"""SELECT raw_reading_id, {rounded('volume')} AS volume, CAST(NULL AS DOUBLE) AS status_number,
   CAST(strftime(CASE WHEN k <> 66 THEN ts END, '%Y%m%d') AS BIGINT) AS batch_day FROM readings JOIN ev ON raw_reading_id = 'RAW-' || lpad(CAST(event_id AS VARCHAR), 9, '0')"""
 Q["event_to_json"] = "SELECT event_id, " + json_object([
     ("event_id", "event_id"), ("event_timestamp", DOC_TEXT["event_timestamp"]),
@@ -646,7 +651,7 @@ Q["dim_meter"] = """SELECT sha256(m.meter_id) AS meter_key, sha256(m.facility_id
   FROM meters m LEFT JOIN facilities f ON m.facility_id = f.facility_id"""
 Q["scenario_interval_join"] = """SELECT raw_reading_id, r.meter_id, reading_timestamp, scenario_id FROM readings r
   JOIN (SELECT *, trim(unnest(string_split(affected_meter_ids, ';'))) AS one_meter FROM scenarios) s ON r.meter_id = s.one_meter AND reading_timestamp BETWEEN start_datetime AND end_datetime"""
-Q["calendar_densify"] = """SELECT s.meter_id, s.production_date, round(coalesce(d.measured_volume, 0), 4) AS measured_volume, coalesce(d.record_count, 0) AS record_count
+Q["calendar_densify"] = f"""SELECT s.meter_id, s.production_date, {rounded('coalesce(d.measured_volume, 0)')} AS measured_volume, coalesce(d.record_count, 0) AS record_count
   FROM (SELECT meter_id, CAST(unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31', INTERVAL 1 DAY)) AS DATE) AS production_date FROM meters) s
   LEFT JOIN (SELECT meter_id, production_date, sum(measured_volume) AS measured_volume, count(*) AS record_count FROM flow GROUP BY ALL) d USING (meter_id, production_date)"""
 NEWEST = "row_number() OVER (PARTITION BY {0} ORDER BY production_date DESC NULLS LAST, exception_group_id DESC, coalesce(scenario_id, '') DESC) AS rn, count(*) OVER (PARTITION BY {0}) AS n"
@@ -692,7 +697,7 @@ Q["severity_rank"] = "SELECT DISTINCT rule_id, severity, CAST(CASE WHEN upper(se
 simple("exception_summary_daily", SUMMARY_COLS, "exc_summary")
 simple("pipeline_health", HEALTH_COLS, "health")
 simple("latest_run", HEALTH_COLS[:10], "latest")
-Q["latest_run_per_customer"] = """SELECT pipeline_name, run_id, status, started_at, round(rows_read, 4) AS rows_read FROM (
+Q["latest_run_per_customer"] = f"""SELECT pipeline_name, run_id, status, started_at, {rounded('rows_read')} AS rows_read FROM (
   SELECT 'C-' || CAST(o_custkey AS VARCHAR) AS pipeline_name, o_orderkey AS run_id, o_orderstatus AS status, o_orderdate AS started_at, o_totalprice AS rows_read,
          row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders) WHERE rn = 1"""
 Q["status_counts"] = """SELECT 'record_quality_status' AS facet, record_quality_status AS value, count(*) AS row_count FROM checked GROUP BY record_quality_status
@@ -704,8 +709,8 @@ COMMS = f"coalesce(upper(event_communication_status) IN ({listed(rules.COMMUNICA
 Q["event_kpis"] = f"""SELECT count(*) AS event_context_rows, count(DISTINCT raw_reading_id) AS raw_readings, count(DISTINCT meter_id) AS meters, count(DISTINCT facility_id) AS facilities,
   count(*) FILTER (WHERE {DEVICE}) AS device_issues, count(*) FILTER (WHERE {COMMS}) AS communication_issues,
   count(*) FILTER (WHERE {DEVICE}) + count(*) FILTER (WHERE {COMMS}) AS device_or_communication_issues FROM exc_fact"""
-Q["pipeline_kpis"] = """SELECT count(*) AS pipelines, CAST(sum(run_count) AS BIGINT) AS total_runs, CAST(sum(failed_count) AS BIGINT) AS failures, CAST(sum(partial_load_count) AS BIGINT) AS partial_loads,
-  CAST(sum(latest_rows_rejected) AS BIGINT) AS latest_rejected_rows, round(sum(failed_count) / CAST(sum(run_count) AS DOUBLE), 4) AS overall_failure_rate FROM health"""
+Q["pipeline_kpis"] = f"""SELECT count(*) AS pipelines, CAST(sum(run_count) AS BIGINT) AS total_runs, CAST(sum(failed_count) AS BIGINT) AS failures, CAST(sum(partial_load_count) AS BIGINT) AS partial_loads,
+  CAST(sum(latest_rows_rejected) AS BIGINT) AS latest_rejected_rows, {rounded('sum(failed_count) / CAST(sum(run_count) AS DOUBLE)')} AS overall_failure_rate FROM health"""
 Q["rca_kpis"] = """SELECT count(*) AS rca_groups, CAST(sum(exception_count) AS BIGINT) AS exception_records, CAST(sum(affected_reading_count) AS BIGINT) AS affected_readings,
   CAST(sum(affected_meter_count) AS BIGINT) AS affected_meters, count(DISTINCT scenario_id) AS known_scenarios FROM rca_ctx"""
 Q["reconciliation_kpis"] = "SELECT count(*) AS checkpoints, count(DISTINCT layer) AS layers, max(row_count) AS max_row_count, min(row_count) AS min_row_count FROM stages"
@@ -758,7 +763,7 @@ def json_array(column: str) -> str:
 
 Q["flatten_complex"] = f"SELECT exception_group_id, region, {json_array('source_systems')} AS source_systems, {json_array('signal_qualities')} AS signal_qualities, CAST(exception_count AS DOUBLE) AS exception_count FROM exc_summary"
 Q["normalize_columns"] = 'SELECT run_id AS "RUN_ID", run_id AS "RUN_ID_2", rows_read AS "COL_2ND_ROWS", status AS "STATUS", warning_count AS "WARN_COUNT" FROM runs'
-Q["normalize_values"] = """SELECT run_id, CASE WHEN warning_count <> 1 THEN round(rejected_rate, 4) END AS rejected_rate, '["' || status || '","' || pipeline_name || '"]' AS tags FROM run_fact"""
+Q["normalize_values"] = f"""SELECT run_id, CASE WHEN warning_count <> 1 THEN {rounded('rejected_rate')} END AS rejected_rate, '["' || status || '","' || pipeline_name || '"]' AS tags FROM run_fact"""
 
 
 def aligned(table: str, source: str, available) -> str:
@@ -770,7 +775,7 @@ def aligned(table: str, source: str, available) -> str:
         kind = {"bigint": "BIGINT", "int": "BIGINT", "bit": "BOOLEAN", "date": "DATE", "datetime2": "TIMESTAMP"}.get(base, "VARCHAR")
         if base == "decimal":
             places = sql_type.split(",")[1].rstrip(")")
-            out.append(f"round(round(CAST({found} AS DOUBLE), {places}), {catalogue.ROUND}) AS {name}")
+            out.append(f"{rounded(f'round(CAST({found} AS DOUBLE), {places})')} AS {name}")
         else:
             out.append(f"CAST({found or 'NULL'} AS {kind}) AS {name}")
     out.append(f"'{catalogue.RUN_ID}' AS _publish_run_id, TIMESTAMP '{catalogue.PUBLISHED_AT}' AS _published_at_utc")
@@ -801,7 +806,7 @@ for _name, _table in views.BUSINESS_VIEWS.items():
     _source, _cols = GOLD[_table]
     # Sets of an unmatched row are NULL, sets of a matched row without values are empty.
     _list = ", ".join(
-        f"{json_array(c)} AS \"{c.upper()}\"" if c in ARRAYS else (f"round({c}, {catalogue.ROUND}) AS \"{c.upper()}\"" if c in DOUBLES else f'{c} AS "{c.upper()}"') for c in _cols
+        f"{json_array(c)} AS \"{c.upper()}\"" if c in ARRAYS else (f"{rounded(c)} AS \"{c.upper()}\"" if c in DOUBLES else f'{c} AS "{c.upper()}"') for c in _cols
     )
     Q[f"view_business_{_name}"] = f"SELECT {_list} FROM {_source}"
 for _name, _table in views.SUPPORT_VIEWS.items():
