@@ -243,7 +243,7 @@ def _(d):
 
 @query("dq_stale")
 def _(d):
-    joined = enrich.join_event_context(d.readings, d.events)
+    joined = enrich.join_event_context(d.stored("readings"), d.events)
     return _failures(joined, d, "STALE_READING").select("raw_reading_id", "quality_code", "raw_status", "event_quality_code", "event_raw_status")
 
 
@@ -256,7 +256,7 @@ def _(d):
 
 @query("dq_duplicate_reading")
 def _(d):
-    counted = rules.add_duplicate_count(d.readings)
+    counted = rules.add_duplicate_count(d.stored("readings"))
     return _failures(counted, d, "DUPLICATE_READING").select("raw_reading_id", "meter_id", "reading_timestamp", "duplicate_meter_timestamp_count")
 
 
@@ -357,7 +357,7 @@ def _(d):
 
 @query("join_event_context")
 def _(d):
-    joined = enrich.join_event_context(d.readings, d.events)
+    joined = enrich.join_event_context(d.stored("readings"), d.events)
     return joined.select("raw_reading_id", *[c for c in joined.columns if c.startswith("event_")])
 
 
@@ -642,7 +642,7 @@ def _(d):
 
 @query("anomaly_plus_sample")
 def _(d):
-    return events.anomalies_plus_sample(d.readings, SAMPLE_SIZE).select("raw_reading_id", "quality_code", "raw_status")
+    return events.anomalies_plus_sample(d.stored("readings"), SAMPLE_SIZE).select("raw_reading_id", "quality_code", "raw_status")
 
 
 @query("event_context")

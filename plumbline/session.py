@@ -60,12 +60,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, min_files: int | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     For a table that a plan reads several times: it is computed once, a lost
     executor does not lose it, and later reads fetch only the columns they need.
+    ``min_files`` spreads a frame that comes from very few splits, so that later
+    reads use more than a few cores.
     """
+    if min_files is not None and len(df.inputFiles()) < min_files:
+        df = df.repartition(min_files)
     path = f"{shared_folder(df.sparkSession)}/plumbline/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
