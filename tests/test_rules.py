@@ -74,15 +74,12 @@ CASES = {
 
 
 def test_each_rule_on_its_boundary(spark, masters):
-    readings = [
-        reading(name, reading_timestamp=NOON + timedelta(hours=i), **({"load_timestamp": NOON + timedelta(hours=i)} | change))
-        if "load_timestamp" not in change
-        else reading(name, meter_id="M1", **change)
-        for i, (name, (change, _, _)) in enumerate(CASES.items())
-    ]
-    # The two timeliness cases share the timestamp NOON with nobody else but each other.
-    readings = [r if r[0] not in ("over_24h",) else (*r[:3], NOON - timedelta(days=1), *r[4:14], NOON + timedelta(seconds=1), r[15]) for r in readings]
-    readings = [r if r[0] != "exactly_24h" else (*r[:3], NOON - timedelta(days=2), *r[4:14], NOON - timedelta(days=1), r[15]) for r in readings]
+    readings = []
+    for i, (name, (change, _, _)) in enumerate(CASES.items()):
+        # One hour per case, so that no two readings share a timestamp.
+        shift = timedelta(hours=i)
+        load = change.get("load_timestamp", NOON)
+        readings.append(reading(name, **(change | {"reading_timestamp": NOON + shift, "load_timestamp": load + shift})))
     checked = check(spark, masters, readings)
     got = {r.raw_reading_id: (r.primary_exception_type, r.record_quality_status) for r in checked.collect()}
     assert got == {name: (kind, status) for name, (_, kind, status) in CASES.items()}
