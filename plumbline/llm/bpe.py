@@ -40,9 +40,9 @@ CHUNK_START = rf"(?= [^{_SPACE}])"
 MOST_WORDS = 1 << 18
 LONGEST = 48
 
-# An entry of the pair table: left id, then rank. A rank with _WARY added may merge only
-# one place at a time: its piece is part of a pair that ranks lower than itself.
-_WARY = 1 << 20
+# An entry of the pair table: left id + 1, then 20 bits of rank, then one bit that is set
+# if only one place may merge at a time: the piece is part of a pair that ranks lower.
+_RANK = 1 << 20
 _PAIR_SLOTS = 1 << 18
 _PLACE = 1 << 24
 _NONE = 1 << 60
@@ -73,7 +73,7 @@ def _vocabulary(path: str) -> tuple[str, str, str, str]:
             at = (at + 7919) % _PAIR_SLOTS
         start[left] = at
         for right, rank in row.items():
-            slots[at + right] = (left + 1) * 2 * _WARY + rank + (_WARY if rank in wary else 0)
+            slots[at + right] = (left + 1) * 2 * _RANK + 2 * rank + (rank in wary)
     pieces = [""] * most
     for token, rank in ranks.items():
         pieces[rank] = token.hex()
@@ -83,7 +83,7 @@ def _vocabulary(path: str) -> tuple[str, str, str, str]:
 def _pair(start: Column, slots: Column, left: Column, right: Column, place: Column) -> Column:
     """Rank of a pair of ids, above its place in the word; _NONE for a pair that is no token."""
     slot = F.get(slots, (F.get(start, left.cast("int")) + right).cast("int"))
-    return F.when(F.shiftright(slot, 21) == left + 1, F.shiftleft(slot.bitwiseAND(F.lit(2 * _WARY - 1)), 24)).otherwise(F.lit(_NONE)).bitwiseOR(place)
+    return F.when(F.shiftright(slot, 21) == left + 1, F.shiftleft(slot.bitwiseAND(F.lit(2 * _RANK - 1)), 24)).otherwise(F.lit(_NONE)).bitwiseOR(place)
 
 
 def _pairs(start: Column, slots: Column, ids: Column) -> Column:
@@ -92,7 +92,7 @@ def _pairs(start: Column, slots: Column, ids: Column) -> Column:
 
 
 def _id(pair: Column) -> Column:
-    return F.shiftright(pair, 24).bitwiseAND(F.lit(_WARY - 1))
+    return F.shiftright(pair, 25).bitwiseAND(F.lit(_RANK - 1))
 
 
 def _merge_one(start: Column, slots: Column, ids: Column, pairs: Column, low: Column) -> Column:
@@ -114,7 +114,7 @@ def _merge_one(start: Column, slots: Column, ids: Column, pairs: Column, low: Co
 def _merge_all(start: Column, slots: Column, ids: Column, pairs: Column, low: Column) -> Column:
     """Every place of the pair, left to right; in a run of overlapping places every other."""
     rank = _id(low)
-    marks = F.array_join(F.transform(pairs, lambda r: F.when(F.shiftright(r, 24) == rank, "1").otherwise("0")), "")
+    marks = F.array_join(F.transform(pairs, lambda r: F.when(F.shiftright(r, 24) == F.shiftright(low, 24), "1").otherwise("0")), "")
     chosen = F.split(F.regexp_replace(marks, "11", "10"), "")
     merged = lambda c: F.filter(
         F.transform(ids, lambda x, i: F.when(F.get(c, i) == "1", rank).when(F.get(c, i - 1) == "1", F.lit(-1).cast("long")).otherwise(x)), lambda x: x >= 0
@@ -128,7 +128,7 @@ def _fold(start: Column, slots: Column, ids: Column) -> Column:
     def step(state: Column, _: Column) -> Column:
         def merge(low: Column) -> Column:
             args = start, slots, state["ids"], state["pairs"], low
-            many = (F.size(state["ids"]) > LONGEST) & (low < (_WARY << 24))
+            many = (F.size(state["ids"]) > LONGEST) & (low.bitwiseAND(F.lit(_PLACE)) == 0)
             done = F.struct(state["ids"].alias("ids"), F.expr("cast(array() AS array<bigint>)").alias("pairs"))
             return F.when(low >= _NONE, done).when(many, _merge_all(*args)).otherwise(_merge_one(*args))
 

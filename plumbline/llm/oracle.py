@@ -34,6 +34,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
          AND n_stop_words / n_words >= 0.01 AND n_dup_lines / n_lines <= 0.3 AS kept,
        n_stop_words, n_lines
 FROM judged""",
+    "op5_dictionary_warc": r"""
+WITH page AS (
+  SELECT page_id, coalesce(html, '') AS body FROM pages
+), known AS (
+  SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS payload_digest FROM page
+), grouped AS (
+  SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS response FROM known
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> response THEN response END AS refers_to
+FROM grouped""",
     "op8_near_duplicates": r"""
 WITH RECURSIVE doc AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w

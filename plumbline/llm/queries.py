@@ -8,7 +8,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, decontaminate, near_dups, quality, repeats
+from plumbline.llm import bpe, decontaminate, licenses, near_dups, quality, repeats, shards, token_files, warc
 from plumbline.llm.common import share_code
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_karmarkar_karp_shards")
+def _(table):
+    return shards.report(table("documents"))
+
+
 @query("op2_winnowing_decontamination")
 def _(table):
     return decontaminate.report(table("documents"), table("benchmark"))
@@ -43,6 +48,21 @@ def _(table):
     return quality.report(table("documents"))
 
 
+@query("op5_dictionary_warc")
+def _(table):
+    return warc.report(table("pages"))
+
+
+@query("op6_re_pair_token_files")
+def _(table):
+    return token_files.report(table("documents"), tokenizer_file("word_bpe_49k.json"))
+
+
+@query("op7_license_scan")
+def _(table):
+    return licenses.report(table("documents"))
+
+
 @query("op8_near_duplicates")
 def _(table):
     return near_dups.report(table("documents"))
