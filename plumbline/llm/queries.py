@@ -8,7 +8,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, decontaminate, licenses, near_dups, quality, repeats, shards, token_files, warc
+from plumbline.llm import bpe, decontaminate, licenses, near_dups, quality, repeats, shards, suffixes, token_files, warc
 from plumbline.llm.common import share_code
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,11 @@ def _(table):
     return decontaminate.report(table("documents"), table("benchmark"))
 
 
+@query("op3_external_induced_sorting")
+def _(table):
+    return suffixes.report(table("documents"))
+
+
 @query("op4_quality_rules")
 def _(table):
     return quality.report(table("documents"))
