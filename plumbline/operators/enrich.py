@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.clean import quoted
 from plumbline.operators.rules import add_duplicate_count
-from plumbline.operators.skew import HotKeys, broadcast_if_small, find_hot_keys, keep_one_per_key, left_join_unique
+from plumbline.operators.skew import HotKeys, find_hot_keys, keep_one_per_key, left_join_unique
 
 # Names the master columns get next to a reading (fixed values): the source
 # column, and the name without the "master_" prefix where it differs.
@@ -61,10 +61,12 @@ def join_master(readings: DataFrame, meters: DataFrame, facilities: DataFrame) -
     """Reading, its meter, and the meter's facility.
 
     The two masters are joined to each other first, so the readings take part in
-    one join only: a broadcast while the masters are small, else a shuffle on the
-    meter in which Spark splits hot meters at run time.
+    one join only. Spark broadcasts the masters while they are small, else it
+    shuffles on the meter and splits hot meters at run time. A master id that is
+    repeated counts once, so readings are never multiplied.
     """
-    master = broadcast_if_small(master_dimension(meters, facilities))
+    rows = master_dimension(meters, facilities).where("master_meter_id IS NOT NULL")
+    master = keep_one_per_key(rows, ["master_meter_id"], [F.xxhash64(*rows.columns)])
     return readings.join(master, F.col("meter_id") == F.col("master_meter_id"), "left")
 
 
@@ -124,7 +126,7 @@ def scenario_intervals(scenarios: DataFrame, separator: str = ";") -> DataFrame:
 def tag_scenarios(readings: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Readings inside a known scenario: meter on its list, time within its bounds
     (both inclusive). Joined on the meter, so the range is only a filter."""
-    spans = broadcast_if_small(scenario_intervals(scenarios))
+    spans = scenario_intervals(scenarios)
     inside = F.col("reading_timestamp").between(F.col("start_datetime"), F.col("end_datetime"))
     return readings.join(spans, "meter_id").where(inside).drop("start_datetime", "end_datetime")
 

@@ -94,21 +94,28 @@ def parse_documents(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.select(F.col(column).alias("_raw_text"), doc.alias("d")).select("_raw_text", "d.*")
 
 
+def unreadable_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """The lines that hold no JSON document, as received: a reject table."""
+    return lines.where(F.col(column).isNotNull() & ~F.ltrim(column).startswith("{") | F.try_parse_json(column).isNull())
+
+
 def flatten_documents(docs: DataFrame) -> DataFrame:
-    """Nested documents to the 35 flat event columns, raw JSON preserved."""
+    """Nested documents to the 35 flat event columns, raw JSON preserved: the received text
+    where ``parse_documents`` kept it, else the document written out again."""
     present = [f for f in document_schema().fieldNames() if f in docs.columns]
 
     def text(name: str) -> str:
         return iso_sql(docs, name) if name in present else "cast(NULL AS string)"
 
     stored = ", ".join(f"'{f}', {f if f == 'payload' else text(f)}" for f in present)
+    received = "_raw_text" if "_raw_text" in docs.columns else f"to_json(named_struct({stored}), {KEEP_NULLS})"
     return docs.selectExpr(
         f"{text('_id')} AS object_id",
         *[f"{text(f)} AS {f}" for f in HEAD_FIELDS],
         *[f"try_cast(payload.{f} AS {kind}) AS payload_{f}" for f, kind in PAYLOAD_FIELDS.items()],
         *[f"{text(f)} AS {f}" for f in TAIL_FIELDS],
         f"to_json(payload, {KEEP_NULLS}) AS payload_json",
-        f"to_json(named_struct({stored}), {KEEP_NULLS}) AS raw_document_json",
+        f"{received} AS raw_document_json",
     )
 
 
@@ -234,12 +241,17 @@ def upsert_documents(
     stored: DataFrame, incoming: DataFrame, attempted_at: str, key: str = "event_id", batch: str = "seed_batch_id"
 ) -> DataFrame:
     """Insert-if-absent: a stored body always wins, the last-attempt fields are
-    refreshed for every incoming id. Running it twice changes nothing more.
+    refreshed for every incoming id. Running it twice changes nothing more. The
+    result has the columns of both sides.
 
     One aggregation over both sides; each task merges its own rows first.
     """
     last = ("last_seed_attempt_at", "last_seed_batch_id")
-    body = [c for c in incoming.columns if c != key and c not in last]
+    skip = {key, *last}
+    kinds = {f.name: f.dataType for df in (incoming, stored) for f in df.schema.fields if f.name not in skip}
+    body = [*kinds]
+    missing = lambda df: df.withColumns({c: F.lit(None).cast(t) for c, t in kinds.items() if c not in df.columns})
+    stored, incoming = missing(stored), missing(incoming)
     old = stored.select(
         key, F.lit(0).alias("_side"), F.struct(*body).alias("_body"),
         F.col(last[0]).cast("timestamp_ntz").alias(last[0]), F.col(last[1]).alias(last[1]),

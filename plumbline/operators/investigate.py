@@ -112,8 +112,8 @@ def related_context(exceptions: DataFrame, context: DataFrame) -> DataFrame:
     )
 
 
-def first_related(exceptions: DataFrame, n: int, fields: Sequence[str] = RELATED_FIELDS) -> DataFrame:
-    """The first n exceptions of every facility, type and day, by meter and id.
+def first_related(exceptions: DataFrame, n: int | None, fields: Sequence[str] = RELATED_FIELDS) -> DataFrame:
+    """The first n exceptions (all without n) of every facility, type and day, by meter and id.
 
     Spark applies the limit inside each task before the shuffle, so a very large
     group sends n rows per task.
@@ -121,11 +121,12 @@ def first_related(exceptions: DataFrame, n: int, fields: Sequence[str] = RELATED
     group = ["facility_id", "exception_type", "production_date"]
     order = Window.partitionBy(*group).orderBy(F.asc_nulls_last("meter_id"), "exception_id")
     ranked = exceptions.select(*group, *[f for f in fields if f in exceptions.columns])
-    return ranked.withColumn("position", F.row_number().over(order)).where(F.col("position") <= n)
+    placed = ranked.withColumn("position", F.row_number().over(order))
+    return placed if n is None else placed.where(F.col("position") <= n)
 
 
-def related_exceptions(context: DataFrame, exceptions: DataFrame, n: int = 250) -> DataFrame:
-    """Every root-cause group with its first n exceptions (missing facility equals
+def related_exceptions(context: DataFrame, exceptions: DataFrame, n: int | None = None) -> DataFrame:
+    """Every root-cause group with its first n exceptions, or all (missing facility equals
     missing facility, as in the group itself)."""
     groups = context.select(
         "exception_group_id",

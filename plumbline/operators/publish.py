@@ -156,13 +156,16 @@ def normalize_names(names: Sequence[str]) -> list[str]:
     """Upper-case names of letters, digits and single underscores; a name must not
     start with a digit, and a repeated name gets a number."""
     taken: dict[str, int] = {}
-    out = []
+    out: list[str] = []
     for name in names:
         words = re.findall(r"[A-Za-z0-9]+", str(name))
         base = "_".join(words).upper() or "COL"
         base = f"COL_{base}" if base[0].isdigit() else base
-        taken[base] = taken.get(base, 0) + 1
-        out.append(base if taken[base] == 1 else f"{base}_{taken[base]}")
+        name, taken[base] = base, taken.get(base, 0) + 1
+        while name in out:  # a generated name may be another column's own
+            name = f"{base}_{max(2, taken[base])}"
+            taken[base] = max(2, taken[base]) + (name in out)
+        out.append(name)
     return out
 
 

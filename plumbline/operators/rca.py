@@ -244,7 +244,7 @@ def evidence() -> Column:
 
 
 def rca_packets(
-    context: DataFrame, exceptions: DataFrame, health: DataFrame, stages: DataFrame, samples: int = 5
+    context: DataFrame, exceptions: DataFrame, health: DataFrame, stages: DataFrame, samples: int
 ) -> DataFrame:
     """Per group, everything a reviewer or a text model may use and nothing else:
     evidence, layer, checks, cautions, sample exceptions, checkpoints, pipelines.

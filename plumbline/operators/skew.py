@@ -18,19 +18,6 @@ HOT_KEY_BOUND = 1000
 # Number of buckets used to locate the n-th smallest hash (three hex digits).
 HASH_BUCKETS = 4096
 
-# Largest side that is broadcast, in rows (some tens of MB at a few hundred bytes
-# a row).
-MAX_BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast when a count shows it is small enough.
-
-    Beyond the bound it is returned as it is: the join then shuffles both sides
-    and splits hot partitions at run time. The count stops at the bound.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
 
 def _all_present(keys: Sequence[str]) -> Column:
     return F.expr(" AND ".join(f"{quoted(key)} IS NOT NULL" for key in keys))
@@ -144,7 +131,8 @@ def smallest_by_hash(df: DataFrame, key: str, n: int, seed: str = "") -> DataFra
     """
     if n <= 0:
         return df.limit(0)
-    digest = F.md5(F.concat(F.lit(seed), F.col(key).cast("string")).cast("binary"))
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    digest = F.md5(F.concat(F.lit(seed), text).cast("binary"))
     hashed = df.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, 3))
     sizes = sorted(hashed.groupBy("_bucket").count().collect())  # at most HASH_BUCKETS rows
     taken = 0

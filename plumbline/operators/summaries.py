@@ -204,10 +204,11 @@ def filtered_exception_summary(exceptions: DataFrame) -> DataFrame:
     )
 
 
-def top_groups(df: DataFrame, columns: Sequence[str], n: int = 10, name: str = "exception_rows") -> DataFrame:
-    """The n largest groups; equal sizes are decided by the group's own values."""
+def top_groups(df: DataFrame, columns: Sequence[str], n: int | None = None, name: str = "exception_rows") -> DataFrame:
+    """The n largest groups (all without n); equal sizes are decided by the group's own values."""
     counts = df.groupBy(*columns).agg(F.count("*").alias(name))
-    return counts.orderBy(F.desc(name), *[F.asc_nulls_last(c) for c in columns]).limit(n)
+    ranked = counts.orderBy(F.desc(name), *[F.asc_nulls_last(c) for c in columns])
+    return ranked if n is None else ranked.limit(n)
 
 
 def ordered(df: DataFrame, order: Mapping[str, str]) -> DataFrame:
@@ -215,14 +216,16 @@ def ordered(df: DataFrame, order: Mapping[str, str]) -> DataFrame:
     return df.orderBy(*[F.col(c).desc() if way == "desc" else F.col(c).asc() for c, way in order.items()])
 
 
-def sample_rows(df: DataFrame, columns: Sequence[str], order: Sequence, n: int = 25) -> DataFrame:
-    """The first n rows of a report, by the given order."""
-    return df.orderBy(*order).limit(n).select(*columns)
+def sample_rows(df: DataFrame, columns: Sequence[str], order: Sequence, n: int | None = None) -> DataFrame:
+    """The first n rows of a report (all without n), by the given order."""
+    ranked = df.orderBy(*order)
+    return (ranked if n is None else ranked.limit(n)).select(*columns)
 
 
-def drilldown_labels(df: DataFrame, id_column: str, parts: Sequence[str | Column], n: int = 1000) -> DataFrame:
+def drilldown_labels(df: DataFrame, id_column: str, parts: Sequence[str | Column], n: int | None = None) -> DataFrame:
     """Distinct (id, label) pairs for a selection list: parts joined by `` | ``,
-    UNKNOWN for a missing part, the first n by id."""
+    UNKNOWN for a missing part, the first n by id if n is given."""
     columns = [F.col(p) if isinstance(p, str) else p for p in parts]
     label = F.concat_ws(" | ", *[F.coalesce(c.cast("string"), F.lit("UNKNOWN")) for c in columns])
-    return df.select(id_column, label.alias("label")).distinct().orderBy(id_column, "label").limit(n)
+    pairs = df.select(id_column, label.alias("label")).distinct().orderBy(id_column, "label")
+    return pairs if n is None else pairs.limit(n)

@@ -65,7 +65,7 @@ def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- sources -----------------------------------------------------------------
 @query("event_flatten")
 def _(d):
-    return events.flatten_documents(events.parse_documents(d.document_lines)).drop("object_id", "raw_document_json")
+    return events.flatten_documents(events.parse_documents(d.document_lines).drop("_raw_text")).drop("object_id", "raw_document_json")
 
 
 @query("lenient_cast")
@@ -93,7 +93,7 @@ def _(d):
 def _(d):
     from plumbline.sources.files import add_bronze_metadata
 
-    flat = events.flatten_documents(events.parse_documents(d.document_lines))
+    flat = events.flatten_documents(events.parse_documents(d.document_lines).drop("_raw_text"))
     return add_bronze_metadata(flat, RUN_ID, source_filter=None).select("event_id", "_record_hash", "_bronze_run_id", "_source_type")
 
 
@@ -392,7 +392,7 @@ def _(d):
 @query("related_exceptions")
 def _(d):
     d.stored("exception_fact")
-    return investigate.related_exceptions(d.rca_context, d.exception_fact, 3).select("exception_group_id", "position", "exception_id", "meter_id")
+    return investigate.related_exceptions(d.rca_context, d.exception_fact, 250).select("exception_group_id", "position", "exception_id", "meter_id")
 
 
 # -- daily facts -------------------------------------------------------------
@@ -561,12 +561,12 @@ def _(d):
 
 @query("top_exception_types")
 def _(d):
-    return summaries.top_groups(d.exception_fact, ["exception_type"])
+    return summaries.top_groups(d.exception_fact, ["exception_type"], 10)
 
 
 @query("top_facilities")
 def _(d):
-    return summaries.top_groups(d.exception_fact, ["facility_id", "facility_name"])
+    return summaries.top_groups(d.exception_fact, ["facility_id", "facility_name"], 10)
 
 
 @query("ordered_detail")
@@ -579,7 +579,7 @@ def _(d):
 def _(d):
     order = ["production_date", "reporting_facility_id", "master_product", "gas_day"]
     columns = ["reporting_facility_id", "master_region", "master_product", "production_date", "gas_day", "meter_count", "hourly_reading_count", "accepted_or_review_volume", "exception_reading_count", "reporting_readiness_score"]
-    return summaries.sample_rows(d.facility_days, columns, [F.asc_nulls_last(c) for c in order])
+    return summaries.sample_rows(d.facility_days, columns, [F.asc_nulls_last(c) for c in order], 25)
 
 
 @query("drilldown_labels")
@@ -816,7 +816,7 @@ def _(d):
 def _(d):
     d.stored("checked")
     d.stored("exception_fact")
-    return rca.rca_packets(d.rca_context, d.exception_fact, d.health, d.stages)
+    return rca.rca_packets(d.rca_context, d.exception_fact, d.health, d.stages, 5)
 
 
 @query("group_key")
@@ -846,17 +846,17 @@ def _(d):
 
 @query("activity_append")
 def _(d):
-    return state.activity_rows(d.new_reviews)
+    return state.activity_rows(d.reviews)
 
 
 @query("delete_by_key")
 def _(d):
-    return state.delete_by_key(state.note_rows(d.old_reviews), created_by="user_1", note_text="check totals")
+    return state.delete_by_key(state.note_rows(d.reviews), created_by="user_1", note_text="check totals")
 
 
 @query("app_state_counts")
 def _(d):
-    return state.state_counts(d.stored_triage, state.note_rows(d.old_reviews), state.review_log_rows(d.old_reviews), state.activity_rows(d.old_reviews))
+    return state.state_counts(state.triage_upsert(d.stored_triage, d.new_reviews), state.note_rows(d.reviews), state.review_log_rows(d.reviews), state.activity_rows(d.reviews))
 
 
 @query("dedupe_by_key")

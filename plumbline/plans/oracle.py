@@ -69,8 +69,8 @@ CTES: dict[str, str] = {}
 CTES["ev"] = "SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k, date_trunc('hour', ts) AS hour FROM events"
 
 CTES["readings"] = """
-SELECT 'RAW-' || lpad(CAST(event_id AS VARCHAR), 9, '0') AS raw_reading_id,
-       'MTR-' || lpad(CAST(user_id AS VARCHAR), 5, '0') AS meter_id,
+SELECT 'RAW-' || printf('%09d', event_id) AS raw_reading_id,
+       CASE WHEN k = 88 THEN 'MTX-' ELSE 'MTR-' END || printf('%05d', user_id) AS meter_id,
        'FAC-' || lpad(CAST((user_id + CASE WHEN k = 97 THEN 1 ELSE 0 END) % 25 AS VARCHAR), 3, '0') AS source_facility_id,
        CASE WHEN event_type = 'error' AND k = 99 THEN NULL ELSE hour END AS reading_timestamp,
        CASE WHEN event_type = 'view' AND k = 98 THEN NULL ELSE CAST(ts AS DATE) END AS production_date,
@@ -92,7 +92,7 @@ SELECT 'RAW-' || lpad(CAST(event_id AS VARCHAR), 9, '0') AS raw_reading_id,
 FROM ev"""
 
 CTES["meters"] = """
-SELECT 'MTR-' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS meter_id,
+SELECT 'MTR-' || printf('%05d', c_custkey) AS meter_id,
        'FAC-' || lpad(CAST(c_custkey % 25 AS VARCHAR), 3, '0') AS facility_id,
        c_name AS meter_name, 'TYPE_' || CAST(c_nationkey % 5 AS VARCHAR) AS meter_type, c_mktsegment AS product,
        CASE WHEN c_acctbal > 5000 THEN 'CUSTODY_TRANSFER' ELSE 'OPERATIONAL' END AS measurement_type,
@@ -103,7 +103,7 @@ SELECT 'MTR-' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') AS meter_id,
        CASE WHEN c_acctbal < 0 THEN false WHEN c_acctbal < 200 THEN NULL ELSE true END AS is_active,
        CAST(10.5 AS DOUBLE) AS expected_min_volume, CAST(500.25 AS DOUBLE) AS expected_max_volume,
        CAST(60 AS BIGINT) AS sample_interval_minutes
-FROM customer WHERE c_acctbal <= 9800"""
+FROM customer"""
 
 CTES["facilities"] = """
 SELECT 'FAC-' || lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS facility_id, n_name AS facility_name, r_name AS region,
@@ -117,7 +117,7 @@ FROM nation JOIN region ON n_regionkey = r_regionkey"""
 
 CTES["flow"] = """
 SELECT 'FLOW-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS flow_record_id,
-       'MTR-' || lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS meter_id,
+       'MTR-' || printf('%05d', l_suppkey) AS meter_id,
        'FAC-' || lpad(CAST(l_suppkey % 25 AS VARCHAR), 3, '0') AS facility_id,
        make_date(2024, 1, CAST(day(l_shipdate) AS INTEGER)) AS production_date,
        make_date(2024, 1, CAST(day(l_shipdate) AS INTEGER)) AS gas_day,
@@ -145,7 +145,7 @@ CTES["sized"] = """
 SELECT *, CASE WHEN CAST(floor(o_totalprice) AS BIGINT) % 50 = 0 THEN 0 ELSE CAST(floor(o_totalprice) AS BIGINT) END AS rows_read FROM orders"""
 
 CTES["runs"] = """
-SELECT 'RUN-' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS run_id, o_orderpriority AS pipeline_name, 'orders.csv' AS source_file,
+SELECT 'RUN-' || printf('%09d', o_orderkey) AS run_id, o_orderpriority AS pipeline_name, 'orders.csv' AS source_file,
        o_orderdate AS started_at, o_orderdate + to_seconds(rows_read % 7200) AS completed_at,
        CASE WHEN o_orderstatus = 'F' THEN 'FAILED' WHEN o_orderstatus = 'P' THEN 'PARTIAL_SUCCESS' WHEN rows_read > 300000 THEN 'RETRY_SUCCESS' ELSE 'SUCCESS' END AS status,
        rows_read, rows_read - rejected AS rows_accepted, rejected AS rows_rejected,
@@ -155,12 +155,12 @@ SELECT 'RUN-' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS run_id, o_orderpri
 FROM (SELECT *, CAST(CASE o_orderstatus WHEN 'F' THEN rows_read // 10 WHEN 'P' THEN rows_read // 100 ELSE 0 END AS BIGINT) AS rejected FROM sized)"""
 
 CTES["tickets"] = """
-SELECT 'TKT-' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS ticket_id, o_orderdate AS opened_datetime,
+SELECT 'TKT-' || printf('%09d', o_orderkey) AS ticket_id, o_orderdate AS opened_datetime,
        CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + to_days(CAST(o_orderkey % 40 AS INTEGER)) END AS closed_datetime,
        'SYS_' || CAST(o_custkey % 3 AS VARCHAR) AS system_name, 'ISSUE_' || o_orderstatus AS issue_type,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'Critical' WHEN '2-HIGH' THEN 'High' WHEN '3-MEDIUM' THEN 'Medium' WHEN '5-LOW' THEN 'Low' ELSE 'sev2' END AS severity,
        'FAC-' || lpad(CAST(o_custkey % 25 AS VARCHAR), 3, '0') AS facility_id,
-       'MTR-' || lpad(CAST(o_custkey AS VARCHAR), 5, '0') AS meter_id,
+       'MTR-' || printf('%05d', o_custkey) AS meter_id,
        'TEAM_' || CAST(o_custkey % 4 AS VARCHAR) AS reported_by_team,
        CASE WHEN o_orderstatus = 'O' THEN 'Open' ELSE 'Closed' END AS ticket_status, 'Reporting delayed' AS business_impact,
        'CAUSE_' || CAST(o_orderkey % 6 AS VARCHAR) AS root_cause_category, CAST(NULL AS VARCHAR) AS resolution_summary,
@@ -193,7 +193,7 @@ SCENARIO = "CASE raw_status " + " ".join(
 ) + " END"
 CONTEXT = ", ".join(case_context(f) for f in events.CONTEXT_DEFAULTS)
 
-CTES["device_readings"] = "SELECT * FROM readings WHERE source_system IN ('SRC_ERROR', 'SRC_SIGNUP')"
+CTES["device_readings"] = "SELECT * FROM readings"
 CTES["docs"] = f"""
 SELECT *, {CONTEXT}, {SCENARIO} AS scenario_id FROM (
   SELECT *, {KINDS} AS kind FROM (
@@ -587,7 +587,7 @@ def simple(name: str, cols, source: str) -> None:
 
 Q["event_flatten"] = f"SELECT {FLAT_COLS} FROM docs"
 Q["lenient_cast"] = f"""SELECT raw_reading_id, {rounded('volume')} AS volume, CAST(NULL AS DOUBLE) AS status_number,
-  CAST(strftime(CASE WHEN k <> 66 THEN ts END, '%Y%m%d') AS BIGINT) AS batch_day FROM readings JOIN ev ON raw_reading_id = 'RAW-' || lpad(CAST(event_id AS VARCHAR), 9, '0')"""
+  CAST(strftime(CASE WHEN k <> 66 THEN ts END, '%Y%m%d') AS BIGINT) AS batch_day FROM readings JOIN ev ON raw_reading_id = 'RAW-' || printf('%09d', event_id)"""
 Q["event_to_json"] = "SELECT event_id, " + json_object([
     ("event_id", "event_id"), ("event_timestamp", DOC_TEXT["event_timestamp"]),
     ("payload", f"json_object({', '.join(f'{lit(n)}, {e}' for n, e in payload_pairs(PAYLOAD_ORDER, False))})"),
@@ -666,7 +666,7 @@ Q["related_context_fallback"] = f"""
   FROM exc_fact e LEFT JOIN by_s s ON e.event_scenario_id = s.scenario_id LEFT JOIN by_p p ON e.facility_id = p.facility_id AND e.exception_type = p.exception_type"""
 Q["related_exceptions"] = """SELECT g.exception_group_id, x.position, x.exception_id, x.meter_id FROM (SELECT DISTINCT exception_group_id, facility_id, exception_type, production_date FROM rca_ctx) g
   JOIN ranked_exc x ON g.facility_id IS NOT DISTINCT FROM x.facility_id AND g.exception_type IS NOT DISTINCT FROM x.exception_type AND g.production_date IS NOT DISTINCT FROM x.production_date
-  WHERE x.position <= 3"""
+  WHERE x.position <= 250"""
 simple("volume_measures", ("raw_reading_id", "reporting_facility_id", "is_valid_record", "is_review_record", "is_exception_record", "valid_volume", "accepted_or_review_volume", "all_nonnegative_volume"), "measures")
 simple("meter_daily", (*METER_DAY_KEYS, *METER_DAY_MEASURES), "meter_days")
 simple("readiness_score", ("meter_id", "source_facility_id", "production_date", "gas_day", "source_system", "polling_platform", "exception_rate", "valid_record_rate", "reporting_readiness_score", "has_data_quality_issue"), "meter_days")
@@ -726,7 +726,7 @@ simple("ordered_detail", ("production_date", "facility_id", "meter_id", "excepti
 KPI_SAMPLE = ("reporting_facility_id", "master_region", "master_product", "production_date", "gas_day", "meter_count", "hourly_reading_count", "accepted_or_review_volume", "exception_reading_count", "reporting_readiness_score")
 Q["facility_kpi_sample"] = f"SELECT {columns(KPI_SAMPLE)} FROM (SELECT * FROM facility_days ORDER BY production_date NULLS LAST, reporting_facility_id NULLS LAST, master_product NULLS LAST, gas_day NULLS LAST LIMIT 25)"
 Q["drilldown_labels"] = """SELECT DISTINCT exception_id, concat_ws(' | ', coalesce(CAST(production_date AS VARCHAR), 'UNKNOWN'), coalesce(facility_id, 'UNKNOWN'), coalesce(meter_id, 'UNKNOWN'),
-  coalesce(exception_type, 'UNKNOWN'), substr(exception_id, 1, 12)) AS label FROM exc_fact ORDER BY exception_id, label LIMIT 1000"""
+  coalesce(exception_type, 'UNKNOWN'), substr(exception_id, 1, 12)) AS label FROM exc_fact ORDER BY exception_id, label"""
 SILVER_SOURCES = ("readings", "docs", "checked", "checked WHERE record_quality_status <> 'EXCEPTION'", "checked WHERE dq_has_exception", "exceptions")
 Q["silver_counts"] = "\nUNION ALL ".join(f"SELECT {lit(layer)} AS layer, {lit(name)} AS object_name, {lit(note)} AS notes, count(*) AS row_count FROM {src}"
                                           for (layer, name, note), src in zip(reconcile.SILVER_COUNTS, SILVER_SOURCES, strict=True))
@@ -831,11 +831,11 @@ Q["review_log_append"] = """SELECT exception_group_key, exception_id, CAST(NULL
   reviewer_decision, accepted_flag, reviewer_comments, updated_by AS reviewed_by, reviewed_at FROM reviews"""
 Q["activity_append"] = "SELECT updated_by AS user_id, 'SAVE_AI_RCA_REVIEW' AS action_type, 'exception_group' AS object_type, exception_group_key AS object_id, " + json_object([
     ("status", "status"), ("priority", "priority"), ("assigned_to", "assigned_to"), ("note_inserted", "note_text IS NOT NULL")]) + \
-    " AS activity_detail, reviewed_at AS created_at FROM reviews WHERE o_orderdate >= DATE '1999-01-01'"
+    " AS activity_detail, reviewed_at AS created_at FROM reviews"
 Q["delete_by_key"] = """SELECT exception_group_key, exception_id, note_text, updated_by AS created_by, reviewed_at AS created_at FROM reviews
-  WHERE note_text IS NOT NULL AND o_orderdate < DATE '1999-01-01' AND NOT (updated_by = 'user_1' AND note_text = 'check totals')"""
+  WHERE note_text IS NOT NULL AND NOT (updated_by = 'user_1' AND note_text = 'check totals')"""
 Q["app_state_counts"] = """SELECT count(DISTINCT exception_group_key) AS triage_rows, count(note_text) AS note_rows, count(*) AS ai_review_rows, count(*) AS activity_rows
-  FROM reviews WHERE o_orderdate < DATE '1999-01-01'"""
+  FROM reviews"""
 Q["dedupe_by_key"] = """SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice) AS rn FROM lineitem) WHERE rn = 1"""
 

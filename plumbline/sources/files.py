@@ -66,7 +66,7 @@ def read_event_documents(
     spark: SparkSession, path: str, run_id: str, *, batch_id: str | None = None, run_at: str | None = None
 ) -> DataFrame:
     """JSON-lines event documents, flattened on the executors, with lineage."""
-    flat = flatten_documents(parse_documents(spark.read.text(path)).drop("_raw_text"))
+    flat = flatten_documents(parse_documents(spark.read.text(path)))
     if batch_id is not None:
         flat = of_batch(flat, batch_id)
     chosen = None if batch_id is None else f"seed_batch_id={batch_id}"

@@ -19,6 +19,7 @@ def use_database(spark: SparkSession, database: str) -> None:
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
+    recover_table(spark, name)
     return spark.catalog.tableExists(_qualified(name))
 
 
@@ -51,14 +52,26 @@ def write_table(
     return seen.get["rows"]
 
 
+def recover_table(spark: SparkSession, name: str) -> bool:
+    """Finish a replacement that broke off: a table that is gone while its new version
+    stands beside it gets that version. Call it before reading; true if it did."""
+    target = _qualified(name)
+    if spark.catalog.tableExists(target) or not spark.catalog.tableExists(target + "__next"):
+        return False
+    spark.sql(f"ALTER TABLE {target}__next RENAME TO {target}")
+    return True
+
+
 def replace_table(df: DataFrame, name: str, **options) -> int:
     """Write a table whose new content is computed from its old content.
 
     A table cannot be overwritten while it is read: the new version is written
-    beside it and takes its name afterwards.
+    beside it and takes its name afterwards. If that breaks off after the old
+    version is dropped, the new one is complete: ``recover_table`` renames it.
     """
     spark, target = df.sparkSession, _qualified(name)
     beside = target + "__next"
+    recover_table(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {beside}")
     rows = write_table(df, beside, **options)
     spark.sql(f"DROP TABLE IF EXISTS {target}")

@@ -84,7 +84,7 @@ def test_packet_holds_bounded_samples_and_context(frame):
     exceptions = frame([exc(f"x{i}") for i in range(9)], EXC)
     health = frame([("q", "SUCCESS", 1, 1, 0, 1, 0, 0), ("p", "FAILED", 1, 0, 1, 1, 1, 0)], "pipeline_name string, latest_status string, latest_rows_read long, latest_rows_accepted long, latest_rows_rejected long, run_count long, failed_count long, partial_load_count long")
     stages = frame([(2, "b", "o2", 5, "m", "n"), (1, "a", "o1", 5, "m", "n")], "stage_order int, layer string, object_name string, row_count long, metric_type string, notes string")
-    first, second = rca.rca_packets(context, exceptions, health, stages).orderBy("exception_group_id").collect()
+    first, second = rca.rca_packets(context, exceptions, health, stages, 5).orderBy("exception_group_id").collect()
     assert [r["exception_id"] for r in json.loads(first.sample_rows_json)] == ["x0", "x1", "x2", "x3", "x4"]
     assert json.loads(second.sample_rows_json) == []
     assert [s["stage_order"] for s in json.loads(first.checkpoints_json)] == [1, 2]

@@ -69,7 +69,6 @@ def test_smallest_by_hash_takes_exactly_n(spark):
         assert got == sorted(order[:n]), n
 
 
-def test_broadcast_only_below_the_bound(spark):
-    small, large = spark.range(10), spark.range(1000)
-    assert "broadcast" in skew.broadcast_if_small(small, 10)._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in skew.broadcast_if_small(large, 10)._jdf.queryExecution().analyzed().toString().lower()
+def test_smallest_by_hash_with_a_null_key(frame):
+    df = frame([(str(i),) for i in range(20)] + [(None,)], "id string")
+    assert skew.smallest_by_hash(df, "id", 7).count() == 7
