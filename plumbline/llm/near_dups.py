@@ -1,17 +1,22 @@
 """MinHash near-dedup with odd sketches.
 
 A text becomes the set of its five-word shingles (A-Z lower-cased). Equal sets are one
-class. Each class has SAMPLES MinHash samples: BANDS bands of them are its buckets, and
-their parity bitmap (the odd sketch) estimates similarities. Classes that share a bucket
-are candidates; those whose sketches differ too much are dropped, all others are
-confirmed on their full sets. Links then form connected components.
-
-* A pair at the threshold shares no bucket with probability (1 - 0.85**4)**32 = 6e-11.
-* The sketch filter stands where 128 samples differ in 41, against 19 expected at the
-  threshold: a true link is lost there with a probability below 1e-6.
+class. Bands of MinHash samples are the buckets of a class; classes that share a bucket
+are candidates.
+
+The odd sketch of a class folds its smallest hashes, all of them in a set of fewer than
+2 * SAMPLE shingles and a half, a quarter, ... in larger ones, into a parity bitmap. Two
+bitmaps differ in at most as many bits as the folded sets differ in hashes, so a pair that
+differs in more than its sizes allow is dropped without loss; for sampled sets the bound
+has eight standard deviations of slack. What is left is confirmed on the full sets, and
+the links form connected components.
+
+* A pair at the threshold shares no bucket with a probability of (1 - 0.85**4)**32 = 6e-11.
 * In a bucket every class is first compared with one centre, the class whose buckets are
-  the fullest, not with all others. Only buckets that still hold several components
-  afterwards compare their left-over classes with the rest, in blocks of bounded size.
+  the fullest, not with all others. Only in buckets that still hold several components do
+  the left-over classes meet the rest, in blocks of bounded size, by their sketches; a
+  block hands on at most one pair per component that it could join. If any of these is
+  not confirmed, one more round hands on all pairs that are still open.
 
 NULL texts and texts without words have no shingles and are linked with nothing. Fewer
 than five words count as one shingle. Rows that repeat a doc_id are told apart by their
@@ -25,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,25 +43,16 @@ from plumbline.session import materialize
 SHINGLE = 5
 BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
-SKETCH_BITS = 1024
 PERCENT = 85
 
-# Differing samples, of SAMPLES, up to which a pair is confirmed on its full sets.
-MOST_DIFFERENT = 41
+SAMPLE = 1024
+SKETCH_BITS = 2048
 BLOCK = 2000
 
-_SIGNED = "row_id long, row_text long, node long, n_shingles long, bands array<long>, sketch array<long>"
+_SIGNED = "row_id long, row_text long, node long, n_shingles long, bands array<long>, level int, sketch array<long>, half array<long>"
 _FACTORS = (mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1))
 
 
-def _expected_bits(different: int) -> float:
-    """Bits in which two sketches differ when that many samples do."""
-    return SKETCH_BITS * (1 - (1 - 2 / SKETCH_BITS) ** (2 * different)) / 2
-
-
-MOST_BITS = int(_expected_bits(MOST_DIFFERENT)) + 12
-
-
 def shingle_sets(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of each text, text after text, sorted within a text, and how
     many precede each text."""
@@ -83,20 +80,29 @@ def _names(h: np.ndarray, first: np.ndarray) -> list[int | None]:
     return [int.from_bytes(hashlib.blake2b(raw[8 * a : 8 * b], digest_size=8).digest(), "little", signed=True) if a < b else None for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
 
 
-def signatures(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Band hashes and odd sketches of the non-empty sets, one row each."""
-    starts = first[:-1][np.diff(first) > 0]
+def bands_of(h: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Band hashes of the non-empty sets that start at ``starts``, one row each."""
     samples = np.empty((len(starts), SAMPLES), np.uint64)
     for i, factor in enumerate(_FACTORS):
         samples[:, i] = np.minimum.reduceat((h * factor) >> np.uint64(20), starts)
     bands = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(starts), 1))
     for j in range(ROWS):
-        bands = mixed(bands * np.uint64(0x9E3779B97F4A7C15) + samples[:, j::ROWS][:, :BANDS])
-    bit = mixed(samples + np.arange(SAMPLES, dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)) % np.uint64(SKETCH_BITS)
-    flat = bit.astype(np.int64) + np.arange(len(starts))[:, None] * SKETCH_BITS
-    odd = np.bincount(flat.ravel(), minlength=len(starts) * SKETCH_BITS) & 1
-    sketch = np.packbits(odd.astype(np.uint8).reshape(-1, 8), axis=1).reshape(len(starts), -1).view(np.int64)
-    return bands.view(np.int64), sketch
+        bands = mixed(bands * np.uint64(0x9E3779B97F4A7C15) + samples[:, j::ROWS])
+    return bands.view(np.int64)
+
+
+def levels(size: np.ndarray) -> np.ndarray:
+    """How often a set's sample is halved: 0 below 2 * SAMPLE, one more for each doubling."""
+    return np.maximum(np.frexp(np.maximum(size, 1) / SAMPLE)[1] - 1, 0).astype(np.int32)
+
+
+def odd_sketches(h: np.ndarray, starts: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Parity bitmaps of the hashes below 2**(64 - level) of each set, one row each."""
+    owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(h))))
+    taken = (level[owner] == 0) | (h >> np.maximum(64 - level[owner], 1).astype(np.uint64) == 0)
+    bit = (h[taken] & np.uint64(SKETCH_BITS - 1)).astype(np.int64) + owner[taken] * SKETCH_BITS
+    odd = np.bincount(bit, minlength=len(starts) * SKETCH_BITS) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(-1, 8), axis=1).reshape(len(starts), -1).view(np.int64)
 
 
 def _lists(rows: np.ndarray, present: np.ndarray) -> pa.Array:
@@ -105,15 +111,25 @@ def _lists(rows: np.ndarray, present: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(rows).ravel()))
 
 
+# Sets of fewer shingles have no partner on the next level.
+_LEAST_HALF = 2 * SAMPLE * PERCENT // 100
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for piece in slices(batches, "text"):
         h, first = shingle_sets(*utf8(piece.column("text")))
-        present = np.diff(first) > 0
-        bands, sketch = signatures(h, first) if present.any() else (np.empty((0, BANDS), np.int64), np.empty((0, SKETCH_BITS // 64), np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [piece.column("row_id"), piece.column("row_text"), pa.array(_names(h, first), pa.int64()), pa.array(np.diff(first)), _lists(bands, present), _lists(sketch, present)],
-            ["row_id", "row_text", "node", "n_shingles", "bands", "sketch"],
-        )
+        size = np.diff(first)
+        present = size > 0
+        starts, level = first[:-1][present], levels(size)
+        wide = size >= _LEAST_HALF
+        if present.any():
+            bands, sketch = bands_of(h, starts), odd_sketches(h, starts, level[present])
+            half = odd_sketches(h, starts, level[present] + 1)[wide[present]]
+        else:
+            bands, sketch, half = (np.empty((0, n), np.int64) for n in (BANDS, SKETCH_BITS // 64, SKETCH_BITS // 64))
+        columns = [pa.array(_names(h, first), pa.int64()), pa.array(size), _lists(bands, present), pa.array(level), _lists(sketch, present), _lists(half, wide)]
+        names = ["node", "n_shingles", "bands", "level", "sketch", "half"]
+        yield pa.RecordBatch.from_arrays([piece.column("row_id"), piece.column("row_text"), *columns], ["row_id", "row_text", *names])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,10 +149,14 @@ def _sizes_fit(a: str, b: str) -> Column:
 
 def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """The pairs (a, b) that their sizes and sketches allow to be links."""
-    left = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("n_a"), F.col("sketch").alias("sketch_a"))
-    right = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("sketch").alias("sketch_b"))
-    both = pairs.join(left, "a").join(right, "b").where(_sizes_fit("n_a", "n_b"))
-    return both.where(_differing_bits(F.col("sketch_a"), F.col("sketch_b")) <= MOST_BITS).select("a", "b")
+    named = lambda x: nodes.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n_shingles", "level", "sketch", "half")])
+    both = pairs.join(named("a"), "a").join(named("b"), "b").where(_sizes_fit("n_shingles_a", "n_shingles_b"))
+    at_level = lambda x, y: F.when(F.col(f"level_{x}") < F.col(f"level_{y}"), F.col(f"half_{x}")).otherwise(F.col(f"sketch_{x}"))
+    level = F.greatest("level_a", "level_b")
+    most = F.floor((F.col("n_shingles_a") + F.col("n_shingles_b")) * (100 - PERCENT) / (100 + PERCENT))
+    part = most / F.pow(F.lit(2.0), level)
+    bound = F.when(level == 0, most.cast("double")).otherwise(part + 8 * F.sqrt(part) + 8)
+    return both.where(_differing_bits(at_level("a", "b"), at_level("b", "a")) <= bound).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -146,22 +166,56 @@ def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return shared.where(100 * F.col("n") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("n"))).select("a", "b")
 
 
-def _cross(table: pa.Table) -> pa.Table:
-    """Left-over classes of a bucket against a block of its classes, by their sketches."""
-    node, comp, n = (table.column(c).to_numpy() for c in ("node", "label", "n_shingles"))
-    loose = table.column("loose").to_numpy(zero_copy_only=False).astype(bool)
-    sketch = np.array(table.column("sketch").combine_chunks().flatten()).reshape(len(node), -1).view(np.uint64)
-    rows = np.flatnonzero(~loose)
-    a, b = [], []
-    for i in np.flatnonzero(loose):
-        able = rows[(comp[rows] != comp[i]) & (100 * np.minimum(n[rows], n[i]) >= PERCENT * np.maximum(n[rows], n[i]))]
-        near = able[np.bitwise_count(sketch[able] ^ sketch[i]).sum(axis=1) <= MOST_BITS]
-        a.append(np.minimum(node[near], node[i]))
-        b.append(np.maximum(node[near], node[i]))
-    return pa.table({"a": np.concatenate(a) if a else np.empty(0, np.int64), "b": np.concatenate(b) if b else np.empty(0, np.int64)})
-
-
-def _left_over_pairs(buckets: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+def _bitmaps(column: pa.ChunkedArray) -> np.ndarray:
+    """The bitmaps of all rows; zeros for an empty one."""
+    array = column.combine_chunks()
+    out = np.zeros((len(array), SKETCH_BITS // 64), np.uint64)
+    held = pc.fill_null(pc.list_value_length(array), 0).to_numpy() > 0
+    out[held] = np.asarray(array.flatten()).reshape(-1, SKETCH_BITS // 64).view(np.uint64)
+    return out
+
+
+def _crosser(thin: bool):
+    def run(table: pa.Table) -> pa.Table:
+        """Left-over classes of a bucket against a block of its classes, by their sketches.
+        With ``thin``, only pairs that join components not yet joined here."""
+        node, comp, n, level = (table.column(c).to_numpy() for c in ("node", "label", "n_shingles", "level"))
+        loose = table.column("loose").to_numpy(zero_copy_only=False).astype(bool)
+        sketch, half = _bitmaps(table.column("sketch")), _bitmaps(table.column("half"))
+        parent = {c: c for c in comp.tolist()}
+
+        def root(c):
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        rows = np.flatnonzero(~loose)
+        found = []
+        for i in np.flatnonzero(loose):
+            able = rows[(comp[rows] != comp[i]) & (100 * np.minimum(n[rows], n[i]) >= PERCENT * np.maximum(n[rows], n[i]))]
+            up, down = level[able] > level[i], level[able] < level[i]
+            mine = np.where(up[:, None], half[i], sketch[i])
+            theirs = np.where(down[:, None], half[able], sketch[able])
+            bits = np.bitwise_count(mine ^ theirs).sum(axis=1)
+            most = ((n[able] + n[i]) * (100 - PERCENT)) // (100 + PERCENT)
+            top = np.maximum(level[able], level[i])
+            part = most / 2.0**top
+            near = bits <= np.where(top == 0, most, part + 8 * np.sqrt(part) + 8)
+            able, rest = able[near], (bits - most)[near]
+            for j in able[np.argsort(rest, kind="stable")].tolist():
+                if thin:
+                    a, b = root(int(comp[i])), root(int(comp[j]))
+                    if a == b:
+                        continue
+                    parent[a] = b
+                found.append((int(node[i]), int(node[j])))
+        pairs = np.array(found, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs.min(axis=1) if len(pairs) else pairs[:, 0], "b": pairs.max(axis=1) if len(pairs) else pairs[:, 1]})
+
+    return run
+
+
+def _left_over_pairs(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, thin: bool) -> DataFrame:
     """Close pairs across components inside the buckets that hold several.
 
     In such a bucket the largest component is left alone; the classes of the others (the
@@ -174,14 +228,14 @@ def _left_over_pairs(buckets: DataFrame, labels: DataFrame, nodes: DataFrame) ->
     members = labelled.join(open_, "bucket").withColumn("loose", F.col("label") != F.col("main"))
     # one bucket of several with the same classes is enough
     same = members.groupBy("bucket").agg(F.expr("bit_xor(xxhash64(node))").alias("mark"), F.count("*").alias("n")).groupBy("mark", "n").agg(F.min("bucket").alias("bucket"))
-    members = members.join(same.select("bucket"), "bucket", "left_semi").join(nodes.select("node", "n_shingles", "sketch"), "node")
+    members = members.join(same.select("bucket"), "bucket", "left_semi").join(nodes, "node")
     blocks = members.selectExpr("*", f"cast(ceil(all / {BLOCK}) AS int) AS wide", f"cast(ceil((all - most) / {BLOCK}) AS int) AS high")
-    columns = ("bucket", "node", "label", "n_shingles", "sketch")
+    columns = ("bucket", "node", "label", "n_shingles", "level", "sketch", "half")
     block = "pmod(xxhash64(node, 'x'), wide)", "pmod(xxhash64(node, 'y'), high)"
     plain = blocks.selectExpr(*columns, f"{block[0]} AS x", "explode(sequence(0, high - 1)) AS y", "false AS loose")
     loose = blocks.where("loose").selectExpr(*columns, "explode(sequence(0, wide - 1)) AS x", f"{block[1]} AS y", "true AS loose")
     grouped = plain.withColumn("x", F.col("x").cast("int")).unionByName(loose.withColumn("y", F.col("y").cast("int")), allowMissingColumns=False)
-    return grouped.groupBy("bucket", "x", "y").applyInArrow(_cross, "a long, b long").distinct()
+    return grouped.groupBy("bucket", "x", "y").applyInArrow(_crosser(thin), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -190,7 +244,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     signed = materialize(rows.mapInArrow(_sign, _SIGNED))
     nodes = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("row_id").alias("least"), F.min_by(F.struct("row_id", "row_text"), F.coalesce("row_id", "row_text")).alias("row"), F.first("n_shingles").alias("n_shingles"))
     nodes = materialize(nodes)
-    chosen = signed.select("node", "row_id", "row_text", "bands", "sketch", "n_shingles")
+    chosen = signed.select("node", "row_id", "row_text", "n_shingles", "level", "sketch", "half")
     first = nodes.select(F.col("node").alias("the_node"), "row.row_id", "row.row_text")
     # the one row of each class, without its lists in a shuffle of all rows' keys
     entries = signed.where("node IS NOT NULL").select("node", F.explode("bands").alias("bucket"))
@@ -200,7 +254,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     able = buckets.select("node").distinct()
     keys = first.join(able, F.col("the_node") == F.col("node"), "left_semi")
     same = F.col("r.row_id").eqNullSafe(F.col("k.row_id")) & (F.col("r.row_text") == F.col("k.row_text"))
-    sketches = materialize(chosen.alias("r").join(keys.alias("k"), same).select("r.node", "r.n_shingles", "r.sketch").dropDuplicates(["node"]))
+    sketches = materialize(chosen.alias("r").join(keys.alias("k"), same).select("r.node", "r.n_shingles", "r.level", "r.sketch", "r.half").dropDuplicates(["node"]))
     texts = rows.alias("r").join(keys.alias("k"), same).select(F.col("the_node").alias("node"), "r.text")
     sets = materialize(texts.mapInArrow(_sets, "node long, shingles array<long>").dropDuplicates(["node"]))
 
@@ -211,8 +265,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     stars = buckets.join(centres, "bucket").where("a != node").select("a", F.col("node").alias("b")).distinct()
     links = materialize(_confirmed(_close(stars, sketches), sets))
     labels = components(links, "a", "b")
-    more = _confirmed(_left_over_pairs(buckets, labels, sketches), sets)
-    found = components(links.unionByName(more), "a", "b")
+    asked = materialize(_left_over_pairs(buckets, labels, sketches, thin=True))
+    more = materialize(_confirmed(asked, sets))
+    links = links.unionByName(more)
+    found = components(links, "a", "b")
+    if asked.count() > more.count():  # else every close pair is inside a component by now
+        more = _confirmed(_left_over_pairs(buckets, found, sketches, thin=False), sets)
+        found = components(links.unionByName(more), "a", "b")
 
     labelled = nodes.select("node", "least").join(found, "node", "left").select("node", "least", F.coalesce("component", "node").alias("label"))
     named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))
