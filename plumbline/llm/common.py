@@ -17,7 +17,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = "[ \\t-\\r]+"
 
 # Text bytes handled at once inside a Python task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def share_code(spark: SparkSession) -> SparkSession:

@@ -82,7 +82,8 @@ def minimizers(data: np.ndarray, at: np.ndarray, window: int, gram: int) -> tupl
     # windows that follow each other may lie in two texts only if one crosses the edge, and
     # those were left out
     start = np.flatnonzero(new)
-    return least[start], place[start], np.diff(np.append(start, len(place))), sums
+    # smallest values are all small: mixed again, they spread evenly over the groups
+    return mixed(least[start]), place[start], np.diff(np.append(start, len(place))), sums
 
 
 def _texts(batch: pa.RecordBatch, ends: np.ndarray) -> bytes:
@@ -230,7 +231,7 @@ def _sender(window: int, gram: int, groups: int, block_bytes: int):
             keys = pa.RecordBatch.from_arrays([piece.column("row_id"), piece.column("row_text")], ["row_id", "row_text"])
             held.append((name, least, length, data, where + total, owner + docs, inner, ids, np.diff(at), keys))
             docs, total, size = docs + piece.num_rows, total + len(data), size + int(length.sum())
-            if max(size, total) >= block_bytes:
+            if max(size, total) >= block_bytes // 2:
                 yield from _send_block(held, f"{task}-{sent}", window, groups)
                 held, size, docs, total, sent = [], 0, 0, 0, sent + 1
         if held:
