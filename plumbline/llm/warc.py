@@ -39,6 +39,7 @@ SAMPLE_BYTES = 4 << 20
 # Fixed value: the magic number of the dictionary's skippable frame.
 DICTIONARY_MAGIC = 0x184D2A5D
 LEVEL = 3
+_READ_BYTES = 16 << 10
 
 
 def record(page_id, url, payload: bytes, digest: str, refers_to, refers: bool, length: int) -> bytes:
@@ -72,7 +73,8 @@ def train(records: list[bytes]) -> bytes:
     step = max(1, sum(map(len, records)) // SAMPLE_BYTES)
     sample = [r[: 128 << 10] for r in records[::step]]
     try:
-        return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(256, sum(map(len, sample)) // 8)), sample).as_bytes()
+        # segment and match lengths are given: a search for better ones costs far more than it saves
+        return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(256, sum(map(len, sample)) // 8)), sample, k=256, d=8).as_bytes()
     except zstandard.ZstdError:
         return b""
 
@@ -98,11 +100,17 @@ def open_archive(data: bytes) -> Iterator[bytes]:
         raise ValueError("the file does not start with a dictionary frame")
     held = {"dict_data": zstandard.ZstdCompressionDict(data[8 : 8 + size])} if size else {}
     reader = zstandard.ZstdDecompressor(**held)
-    at = 8 + size
-    while at < len(data):
-        frame = reader.decompressobj()
-        yield frame.decompress(data[at:])
-        at = len(data) - len(frame.unused_data)
+    view, at = memoryview(data), 8 + size
+    while at < len(view):
+        frame, parts = reader.decompressobj(), []
+        while not frame.eof:
+            piece = view[at : at + _READ_BYTES]
+            if not piece:
+                raise ValueError("the file ends inside a record")
+            parts.append(frame.decompress(piece))
+            at += len(piece)
+        at -= len(frame.unused_data)
+        yield b"".join(parts)
 
 
 def read_record(uri: str, offset: int, length: int) -> bytes:
@@ -117,9 +125,10 @@ def records_of(pages: DataFrame, page_id: str = "page_id", url: str = "url", htm
     body = F.coalesce(F.col(f"`{html}`"), F.lit("")).cast("binary")
     rows = pages.select(F.col(f"`{page_id}`").cast("long").alias("page_id"), F.col(f"`{url}`").alias("url"), body.alias("html"), F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("length"))
     large = rows.where(F.col("length") >= LEAST_REVISIT).select("page_id", "digest", "length")
-    # one row per payload that several pages have
+    # one row per payload that several pages have; stored, so that Spark knows its size
+    # before it decides whether the pages must be shuffled for the join
     shared = large.groupBy("digest", "length").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1").drop("n")
-    joined = rows.join(shared, ["digest", "length"], "left")
+    joined = rows.join(materialize(shared), ["digest", "length"], "left")
     refers = F.col("response").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("response"))
     return joined.withColumn("refers", refers).withColumn("refers_to", F.when(refers, F.col("response"))).drop("response")
 
