@@ -37,6 +37,8 @@ from plumbline.session import materialize, shared_folder
 END_ID = 1
 FILE_BYTES = 16 << 20
 SHARD_TOKENS = 4 << 20
+# Text bytes encoded at once: a larger slice repeats more of its words.
+ENCODED_BYTES = 4 << 20
 ROUNDS, RULES_PER_ROUND, LEAST_COUNT = 6, 2048, 16
 MAGIC = b"RPTOK001"
 CACHED_WORDS = 1 << 19
@@ -45,14 +47,22 @@ _COUNT_SLOTS = 1 << 20
 
 
 # -- grammar ---------------------------------------------------------------
-def _frequent_pairs(code: np.ndarray, most: int) -> np.ndarray:
-    """The most frequent codes, sorted. Counted by a hash first: only codes whose slot is
-    full enough are counted one by one."""
-    slot = ((code.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
-    full = np.bincount(slot, minlength=_COUNT_SLOTS) >= LEAST_COUNT
-    found, count = np.unique(code[full[slot]], return_counts=True)
+def _frequent_pairs(code: np.ndarray, open_: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The most frequent codes, sorted; where they stand, and which stands there. Counted by
+    a hash first: only codes in the fullest slots are counted one by one."""
+    slot = ((code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).view(np.int64)
+    full = np.bincount(slot, minlength=_COUNT_SLOTS)
+    full = full >= max(LEAST_COUNT, int(np.partition(full, -4 * most)[-4 * most]))
+    place = np.flatnonzero(full[slot] & open_)
+    held = code[place]
+    found, count = np.unique(held, return_counts=True)
     found, count = found[count >= LEAST_COUNT], count[count >= LEAST_COUNT]
-    return np.sort(found[np.lexsort((found, -count))[:most]])
+    chosen = np.sort(found[np.lexsort((found, -count))[:most]])
+    if not len(chosen):
+        return chosen, place[:0], place[:0]
+    at = np.minimum(np.searchsorted(chosen, held), len(chosen) - 1)
+    hit = chosen[at] == held
+    return chosen, place[hit], at[hit]
 
 
 def compress(tokens: np.ndarray, end_id: int = END_ID, rounds: int = ROUNDS, per_round: int = RULES_PER_ROUND) -> tuple[np.ndarray, np.ndarray, int]:
@@ -66,19 +76,16 @@ def compress(tokens: np.ndarray, end_id: int = END_ID, rounds: int = ROUNDS, per
             break
         code = (seq[:-1] << 32) | seq[1:]
         open_ = ~closes[seq[:-1]]
-        chosen = _frequent_pairs(code[open_], per_round)
+        chosen, place, at = _frequent_pairs(code, open_, per_round)
         if not len(chosen):
             break
-        at = np.searchsorted(chosen, code)
-        hit = open_ & (chosen[np.minimum(at, len(chosen) - 1)] == code)
         # of overlapping places every other one, from the left
-        place = np.flatnonzero(hit)
         run = np.flatnonzero(np.diff(place, prepend=-2) > 1)
-        odd = (place - np.repeat(place[run], np.diff(np.append(run, len(place))))) & 1
-        place = place[odd == 0]
+        even = (place - np.repeat(place[run], np.diff(np.append(run, len(place))))) & 1 == 0
+        place, at = place[even], at[even]
         keep = np.ones(len(seq), bool)
         keep[place + 1] = False
-        seq[place] = top + at[place]
+        seq[place] = top + at
         seq = seq[keep]
         pairs = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1)
         rules.append(pairs)
@@ -152,38 +159,80 @@ class TokenFile:
 
 
 # -- encoding --------------------------------------------------------------
-_WORDS: dict[tuple[str, str], np.ndarray] = {}
-_TOKENIZERS: dict[str, tuple] = {}
 _TAIL = ".,;:!?"
 
 
-def _tokenizer(path: str):
-    if path not in _TOKENIZERS:
+class _Cache:
+    """Ids of words and chunks seen by this Python worker, end to end in one array.
+
+    At most CACHED_WORDS entries are kept, beyond what one slice of texts needs; then it
+    starts over.
+    """
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        ends = np.zeros(tokenizer.get_vocab_size(), bool)
-        for token, i in tokenizer.get_vocab().items():
-            ends[i] = token.endswith("</w>")
-        _TOKENIZERS[path] = tokenizer, ends
-    return _TOKENIZERS[path]
-
-
-def _learn(path: str, words: list[str]) -> None:
-    """Encode words into the cache. Plain ASCII words are encoded as one text, in which the
-    last id of each word is marked; all others alone."""
-    tokenizer, ends = _tokenizer(path)
-    if len(_WORDS) + len(words) > CACHED_WORDS:
-        _WORDS.clear()
-    plain = [w for w in words if w.isascii() and w.isalpha()]
-    for i in range(0, len(plain), 2000):
-        part = plain[i : i + 2000]
-        ids = np.array(tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
-        for w, found in zip(part, np.split(ids, np.flatnonzero(ends[ids])[:-1] + 1), strict=True):
-            _WORDS[path, w] = found
-    other = [w for w in words if not (w.isascii() and w.isalpha())]
-    for w, found in zip(other, tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-        _WORDS[path, w] = np.array(found.ids, np.uint32)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
+        self.clear()
+
+    def clear(self) -> None:
+        self.number: dict[str, int] = {"": 0}
+        self.flat, self.used = np.empty(1 << 20, np.uint32), 0
+        self.start, self.count = [0], [0]
+
+    def _store(self, ids: np.ndarray) -> int:
+        at, self.used = self.used, self.used + len(ids)
+        if self.used > len(self.flat):
+            self.flat = np.concatenate([self.flat[:at], np.empty(self.used, np.uint32)])
+        self.flat[at : self.used] = ids
+        return at
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words. Plain ASCII words are encoded as one text, in which the last id of
+        each word is marked; all others alone."""
+        plain = [w for w in words if w.isascii() and w.isalpha()]
+        for i in range(0, len(plain), 2000):
+            part = plain[i : i + 2000]
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            at = self._store(ids)
+            for w, a, b in zip(part, [0, *stops], stops, strict=False):
+                self._add(w, at + a, b - a)
+            if len(stops) != len(part):
+                raise ValueError("a word has more or fewer than one marked id")
+        other = [w for w in words if not (w.isascii() and w.isalpha())]
+        for w, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            self._add(w, self._store(np.array(found.ids, np.uint32)), len(found.ids))
+
+    def _add(self, word: str, start: int, count: int) -> None:
+        self.number[word] = len(self.start)
+        self.start.append(start)
+        self.count.append(count)
+
+    def numbers(self, chunks: list[str]) -> np.ndarray:
+        """The entry of each chunk, learned where it is new."""
+        known = self.number
+        new = [c for c in chunks if c not in known]
+        if len(known) + len(new) > CACHED_WORDS:
+            self.clear()
+            known, new = self.number, [c for c in chunks if c]
+        parts = [_split(c) for c in new]
+        self._learn([*dict.fromkeys(w for part in parts for w in part if w not in known)])
+        for chunk, (word, tail) in zip(new, parts):
+            if chunk not in known:
+                a, b = known[word], known[tail]
+                if not tail:
+                    self._add(chunk, self.start[a], self.count[a])
+                    continue
+                pieces = [self.flat[self.start[x] : self.start[x] + self.count[x]] for x in (a, b)]
+                self._add(chunk, self._store(np.concatenate(pieces)), self.count[a] + self.count[b])
+        return np.fromiter((known[c] for c in chunks), np.int64, len(chunks))
+
+
+_CACHES: dict[str, _Cache] = {}
 
 
 def _split(chunk: str) -> tuple[str, str]:
@@ -199,19 +248,10 @@ def encode(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndarray
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     lists = pc.ascii_split_whitespace(texts)
     coded = lists.flatten().dictionary_encode()
-    parts = [_split(c) for c in coded.dictionary.to_pylist()]
-    unknown = dict.fromkeys(w for part in parts for w in part if (path, w) not in _WORDS)
-    if unknown:
-        if len(_WORDS) + len(unknown) > CACHED_WORDS:
-            unknown = dict.fromkeys(w for part in parts for w in part)
-        _learn(path, [*unknown])
-    ids = [_WORDS[path, w] for part in parts for w in part]
-    count = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.concatenate([*ids, np.empty(0, np.uint32)])
-    count = count.reshape(-1, 2).sum(axis=1)
-    begin = np.cumsum(count) - count
-    index = coded.indices.to_numpy().astype(np.int64)
-    n = count[index]
+    cache = _CACHES.get(path) or _CACHES.setdefault(path, _Cache(path))
+    number = cache.numbers(coded.dictionary.to_pylist())
+    index = number[coded.indices.to_numpy()]
+    n, begin = np.array(cache.count)[index], np.array(cache.start)[index]
     bounds = lists.offsets.to_numpy()
     bounds = bounds - bounds[0]
     # the end id is one more piece after each text's last chunk
@@ -219,9 +259,11 @@ def encode(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndarray
     per_text = upto[bounds[1:]] - upto[bounds[:-1]] + 1
     out = np.full(int(per_text.sum()), end_id, np.uint32)
     if len(n):
-        owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
-        source = np.arange(int(upto[-1])) - np.repeat(upto[:-1] - begin[index], n)
-        out[np.arange(int(upto[-1])) + np.repeat(owner, n)] = flat[source]
+        total = int(upto[-1])
+        source = np.arange(total) - np.repeat(upto[:-1] - begin, n)
+        kept = np.ones(len(out), bool)
+        kept[np.cumsum(per_text) - 1] = False
+        out[kept] = cache.flat[source]
     return out, per_text
 
 
@@ -243,7 +285,7 @@ def _writer(folder: str, path: str, end_id: int, shard_tokens: int):
             write_file(uri, [to_bytes(ids, counts, tokens, end_id)])
             return pa.RecordBatch.from_pydict({"part": [task], "piece": [piece], "uri": [uri], "n": [len(ids)], "n_tokens": [len(tokens)]})
 
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", ENCODED_BYTES):
             tokens, counts = encode(batch.column("text"), path, end_id)
             held.append((batch.column("doc_id").to_pylist(), counts, tokens))
             if sum(len(x[2]) for x in held) >= shard_tokens:
