@@ -279,10 +279,14 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids", mo
 
 
 def decode(df: DataFrame, ids: str, path: str, into: str = "decoded") -> DataFrame:
-    """``df`` with the bytes that ids stand for: their binary pieces one after the other."""
-    pieces = {"p": _constant(df.sparkSession, piece=(_vocabulary(path)[3], "array<string>"))}
-    joined = lambda c: F.unhex(F.array_join(F.transform(F.col(f"`{ids}`"), lambda i: F.get(c["p"]["piece"], i.cast("int"))), ""))
-    return with_constants(df, into, pieces, joined)
+    """``df`` with the bytes that ids stand for: their binary pieces one after the other.
+
+    The pieces are a literal, not a subquery: as a column of its own next to the ids, that
+    would be copied into every row.
+    """
+    pieces = F.from_json(F.lit(_vocabulary(path)[3]), "array<string>")
+    joined = let(pieces, lambda p: F.array_join(F.transform(F.col(f"`{ids}`"), lambda i: F.get(p, i.cast("int"))), ""))
+    return df.withColumn(into, F.unhex(joined))
 
 
 def report(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", most: int = MOST_WORDS) -> DataFrame:
