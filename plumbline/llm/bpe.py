@@ -26,6 +26,7 @@ from collections import defaultdict
 from dataclasses import dataclass
 from functools import lru_cache
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -210,23 +211,24 @@ class WordMap:
     size: int
 
     @classmethod
-    def of(cls, rows) -> WordMap:
-        """From (hash, word, ids) rows."""
-        size = 1 << max(4, (2 * len(rows)).bit_length())
+    def of(cls, hashes: np.ndarray, entries: list[str]) -> WordMap:
+        """From the words' hashes and their entries as JSON."""
+        size = 1 << max(4, (2 * len(hashes)).bit_length())
         groups = size // 8
-        by_group: dict[int, list] = defaultdict(list)
-        for h, word, ids in rows:
-            by_group[h % groups].append(((h >> 24) % size, word, ids))
-        shifts, slots = [0] * groups, [None] * size
-        for group, held in sorted(by_group.items(), key=lambda x: -len(x[1])):
-            for _ in range(64):  # a few tries find room, as half of the slots stay empty
-                places = [(place + shifts[group]) % size for place, _, _ in held]
-                if len({*places}) == len(places) and not any(slots[p] for p in places):
-                    for p, (_, word, ids) in zip(places, held):
-                        slots[p] = {"w": word, "i": list(ids)}
+        group, place = hashes % groups, (hashes >> 24) % size
+        order = np.argsort(group, kind="stable")
+        bounds = np.searchsorted(group[order], np.arange(groups + 1))
+        shifts, slots = [0] * groups, ["null"] * size
+        for g in np.argsort(bounds[:-1] - bounds[1:], kind="stable").tolist():  # the fullest first
+            held = order[bounds[g] : bounds[g + 1]].tolist()
+            for _ in range(64 if held else 0):  # a few tries find room, as half of the slots stay empty
+                places = [(int(place[i]) + shifts[g]) % size for i in held]
+                if len({*places}) == len(places) and all(slots[p] == "null" for p in places):
+                    for p, i in zip(places, held):
+                        slots[p] = entries[i]
                     break
-                shifts[group] += 1 + 2 * group
-        return cls(json.dumps(shifts), json.dumps(slots, ensure_ascii=False), groups, size)
+                shifts[g] += 1 + 2 * g
+        return cls(json.dumps(shifts), f"[{','.join(slots)}]", groups, size)
 
     def constant(self, spark: SparkSession) -> Column:
         return _constant(spark, shifts=(self.shifts, "array<bigint>"), slots=(self.slots, "array<struct<w: string, i: array<bigint>>>"))
@@ -246,7 +248,8 @@ def _map_of(words: DataFrame, constants: dict[str, Column], ids) -> WordMap:
     """The map of at most MOST_WORDS short words; ``ids`` makes the ids of one."""
     spread = words.repartition(2 * words.sparkSession.sparkContext.defaultParallelism, "word")
     coded = with_constants(spread, "ids", constants, lambda c: ids(c, F.col("word")))
-    return WordMap.of(coded.select(F.xxhash64("word"), "word", "ids").collect())
+    found = coded.select(F.xxhash64("word").alias("h"), F.to_json(F.struct(F.col("word").alias("w"), F.col("ids").alias("i"))).alias("entry")).toArrow()
+    return WordMap.of(found.column("h").to_numpy(), found.column("entry").to_pylist())
 
 
 def maps(docs: DataFrame, path: str, text: str = "text", most: int = MOST_WORDS) -> tuple[WordMap, WordMap]:
