@@ -343,7 +343,7 @@ def _kept(text: bytes, starts, ends) -> bytes:
 def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW, **sizes: int) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) per row of ``docs``."""
     found = covered_spans(docs, doc_id, text, window, **sizes)
-    rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("row_id"), F.col(f"`{text}`").alias("text"))
+    rows = keyed(docs, doc_id, text)  # as in covered_spans, so that Spark shuffles the texts once for both joins
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
