@@ -5,6 +5,8 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -180,6 +182,32 @@ def test_licenses(docs):
     assert licenses.report(docs([])).collect() == []
 
 
+def test_licenses_wherever_lines_break(docs):
+    """Windows against every window of words."""
+    dice_of = lambda w, t: 2 * len(w & t) / (len(w) + len(t))
+    pairs_of = lambda t: list(zip(x := re.findall("[a-z0-9]+", t.lower()), x[1:]))
+    few = [x for x in licenses.NOTICES if len(x[1]) < 300]
+    texts = [
+        "The tool is described below. Released under the MIT License. See the manual for more about how it works.",
+        "code\nReleased under\nthe MIT\nLicense.\nmore code\nand it is released\nunder the MIT\nlicense as the other one",
+        "a released under the mit released under the mit license license or the mit license " * 3,
+        "\n".join(textwrap.wrap("words before it " * 9 + licenses.NOTICES[9][1] + " words after it" * 9, 40)), "the mit\nlicense is mentioned here under the license", "Licensed under CC\nBY-SA 4.0, or\nthe Unlicense",
+    ]
+    got = {r.doc_id: r for r in licenses.report(docs(texts), templates=few).collect()}
+    for i, text in enumerate(texts):
+        pairs, units, expected = pairs_of(text), [*text.split("\n"), text], {}
+        lines = {(n, t): max(dice(u, t) for u in units) for n, t in few}
+        known = {p for (_, t), d in lines.items() if d >= licenses.LEAST_DICE for p in pairs_of(t)}
+        for (name, t), d in lines.items():
+            want = set(pairs_of(t))
+            spans = (set(pairs[a:b]) for a in range(len(pairs)) for b in range(a + 1, len(pairs) + 1))
+            best = max([d, *(dice_of(w, want) for w in spans if w & want - known)])
+            if best >= licenses.LEAST_DICE:
+                expected[name] = max(best, expected.get(name, 0))
+        assert (got[i].licenses, got[i].best_dice) == (",".join(sorted(expected)), max(expected.values(), default=None)), text
+    assert [got[i].n_units for i in (0, 1)] == [1, 2]
+
+
 @pytest.mark.parametrize("most", [bpe.MOST_WORDS, 0])
 def test_byte_bpe(docs, most):
     import tiktoken
