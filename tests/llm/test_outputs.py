@@ -183,10 +183,11 @@ def test_licenses(docs):
 
 
 def test_licenses_wherever_lines_break(docs):
-    """Windows against every window of words."""
+    """Windows against every window of words, and whole licence texts as files hold them."""
     dice_of = lambda w, t: 2 * len(w & t) / (len(w) + len(t))
     pairs_of = lambda t: list(zip(x := re.findall("[a-z0-9]+", t.lower()), x[1:]))
     few = [x for x in licenses.NOTICES if len(x[1]) < 300]
+    mit = dict(licenses.TEMPLATES)["MIT"]
     texts = [
         "The tool is described below. Released under the MIT License. See the manual for more about how it works.",
         "code\nReleased under\nthe MIT\nLicense.\nmore code\nand it is released\nunder the MIT\nlicense as the other one",
@@ -206,6 +207,12 @@ def test_licenses_wherever_lines_break(docs):
                 expected[name] = max(best, expected.get(name, 0))
         assert (got[i].licenses, got[i].best_dice) == (",".join(sorted(expected)), max(expected.values(), default=None)), text
     assert [got[i].n_units for i in (0, 1)] == [1, 2]
+    code = "".join(f"def f{i}(x): return x + {i} * y{i}\n" for i in range(40))
+    whole = dict(licenses.TEMPLATES)
+    held = [f"{n} License\n\nCopyright (c) 2020 Some One\n\n{whole[n]}" for n in ("MIT", "BSD-3-Clause", "ISC", "GPL-3.0", "Unlicense")]
+    held += ["\n".join(textwrap.wrap(mit, 60)) + "\n" + code, "\n".join("# " + x for x in textwrap.wrap(licenses.NOTICES[1][1], 70)) + "\n" + code, code + whole["Apache-2.0"] + code * 5]
+    best = [r.best_license for r in sorted(licenses.report(docs(held)).collect(), key=lambda r: r.doc_id)]
+    assert best == ["MIT", "BSD-3-Clause", "ISC", "GPL-3.0", "Unlicense", "MIT", "Apache-2.0", "Apache-2.0"]
 
 
 @pytest.mark.parametrize("most", [bpe.MOST_WORDS, 0])
