@@ -20,6 +20,8 @@ from plumbline.llm.queries import tokenizer_file  # noqa: E402
 from plumbline.session import materialize  # noqa: E402
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+# Stages on shingles of five words link from a similarity of 0.8; op8 has its own 85.
+NEAR_PERCENT = 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dups.keep_first(docs)
+    return near_dups.keep_first(docs, percent=NEAR_PERCENT)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,8 @@ differs in more than its sizes allow is dropped without loss; for sampled sets t
 has eight standard deviations of slack. What is left is confirmed on the full sets, and
 the links form connected components.
 
-* A pair at the threshold shares no bucket with a probability of (1 - 0.85**4)**32 = 6e-11.
+* A pair at the threshold of ``percent`` shares no bucket with a probability of
+  (1 - 0.85**4)**32 = 6e-11 at 85 and (1 - 0.8**4)**32 = 5e-8 at 80.
 * In a bucket every class is first compared with one centre, the class whose buckets are
   the fullest, not with all others. Only in buckets that still hold several components do
   the left-over classes meet the rest, in blocks of bounded size, by their sketches; a
@@ -111,25 +112,26 @@ def _lists(rows: np.ndarray, present: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(rows).ravel()))
 
 
-# Sets of fewer shingles have no partner on the next level.
-_LEAST_HALF = 2 * SAMPLE * PERCENT // 100
+def _signer(percent: int):
+    least_half = 2 * SAMPLE * percent // 100  # sets of fewer shingles have no partner on the next level
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in slices(batches, "text"):
+            h, first = shingle_sets(*utf8(piece.column("text")))
+            size = np.diff(first)
+            present = size > 0
+            starts, level = first[:-1][present], levels(size)
+            wide = size >= least_half
+            if present.any():
+                bands, sketch = bands_of(h, starts), odd_sketches(h, starts, level[present])
+                half = odd_sketches(h, starts, level[present] + 1)[wide[present]]
+            else:
+                bands, sketch, half = (np.empty((0, n), np.int64) for n in (BANDS, SKETCH_BITS // 64, SKETCH_BITS // 64))
+            columns = [pa.array(_names(h, first), pa.int64()), pa.array(size), _lists(bands, present), pa.array(level), _lists(sketch, present), _lists(half, wide)]
+            names = ["node", "n_shingles", "bands", "level", "sketch", "half"]
+            yield pa.RecordBatch.from_arrays([piece.column("row_id"), piece.column("row_text"), *columns], ["row_id", "row_text", *names])
 
-
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece in slices(batches, "text"):
-        h, first = shingle_sets(*utf8(piece.column("text")))
-        size = np.diff(first)
-        present = size > 0
-        starts, level = first[:-1][present], levels(size)
-        wide = size >= _LEAST_HALF
-        if present.any():
-            bands, sketch = bands_of(h, starts), odd_sketches(h, starts, level[present])
-            half = odd_sketches(h, starts, level[present] + 1)[wide[present]]
-        else:
-            bands, sketch, half = (np.empty((0, n), np.int64) for n in (BANDS, SKETCH_BITS // 64, SKETCH_BITS // 64))
-        columns = [pa.array(_names(h, first), pa.int64()), pa.array(size), _lists(bands, present), pa.array(level), _lists(sketch, present), _lists(half, wide)]
-        names = ["node", "n_shingles", "bands", "level", "sketch", "half"]
-        yield pa.RecordBatch.from_arrays([piece.column("row_id"), piece.column("row_text"), *columns], ["row_id", "row_text", *names])
+    return run
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,27 +145,27 @@ def _differing_bits(a: Column, b: Column) -> Column:
     return F.aggregate(bits, F.lit(0), lambda s, x: s + x)
 
 
-def _sizes_fit(a: str, b: str) -> Column:
-    return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
+def _sizes_fit(a: str, b: str, percent: int) -> Column:
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that their sizes and sketches allow to be links."""
     named = lambda x: nodes.select(F.col("node").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in ("n_shingles", "level", "sketch", "half")])
-    both = pairs.join(named("a"), "a").join(named("b"), "b").where(_sizes_fit("n_shingles_a", "n_shingles_b"))
+    both = pairs.join(named("a"), "a").join(named("b"), "b").where(_sizes_fit("n_shingles_a", "n_shingles_b", percent))
     at_level = lambda x, y: F.when(F.col(f"level_{x}") < F.col(f"level_{y}"), F.col(f"half_{x}")).otherwise(F.col(f"sketch_{x}"))
     level = F.greatest("level_a", "level_b")
-    most = F.floor((F.col("n_shingles_a") + F.col("n_shingles_b")) * (100 - PERCENT) / (100 + PERCENT))
+    most = F.floor((F.col("n_shingles_a") + F.col("n_shingles_b")) * (100 - percent) / (100 + percent))
     part = most / F.pow(F.lit(2.0), level)
     bound = F.when(level == 0, most.cast("double")).otherwise(part + 8 * F.sqrt(part) + 8)
     return both.where(_differing_bits(at_level("a", "b"), at_level("b", "a")) <= bound).select("a", "b")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs that are links by their full sets."""
     both = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
     shared = both.select("a", "b", F.size("set_a").alias("n_a"), F.size("set_b").alias("n_b"), F.size(F.array_intersect("set_a", "set_b")).alias("n"))
-    return shared.where(100 * F.col("n") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("n"))).select("a", "b")
+    return shared.where(100 * F.col("n") >= percent * (F.col("n_a") + F.col("n_b") - F.col("n"))).select("a", "b")
 
 
 def _bitmaps(column: pa.ChunkedArray) -> np.ndarray:
@@ -175,7 +177,7 @@ def _bitmaps(column: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
-def _crosser(thin: bool):
+def _crosser(thin: bool, percent: int):
     def run(table: pa.Table) -> pa.Table:
         """Left-over classes of a bucket against a block of its classes, by their sketches.
         With ``thin``, only pairs that join components not yet joined here."""
@@ -192,12 +194,12 @@ def _crosser(thin: bool):
         rows = np.flatnonzero(~loose)
         found = []
         for i in np.flatnonzero(loose):
-            able = rows[(comp[rows] != comp[i]) & (100 * np.minimum(n[rows], n[i]) >= PERCENT * np.maximum(n[rows], n[i]))]
+            able = rows[(comp[rows] != comp[i]) & (100 * np.minimum(n[rows], n[i]) >= percent * np.maximum(n[rows], n[i]))]
             up, down = level[able] > level[i], level[able] < level[i]
             mine = np.where(up[:, None], half[i], sketch[i])
             theirs = np.where(down[:, None], half[able], sketch[able])
             bits = np.bitwise_count(mine ^ theirs).sum(axis=1)
-            most = ((n[able] + n[i]) * (100 - PERCENT)) // (100 + PERCENT)
+            most = ((n[able] + n[i]) * (100 - percent)) // (100 + percent)
             top = np.maximum(level[able], level[i])
             part = most / 2.0**top
             near = bits <= np.where(top == 0, most, part + 8 * np.sqrt(part) + 8)
@@ -215,7 +217,7 @@ def _crosser(thin: bool):
     return run
 
 
-def _left_over_pairs(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, thin: bool) -> DataFrame:
+def _left_over_pairs(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, thin: bool, percent: int) -> DataFrame:
     """Close pairs across components inside the buckets that hold several.
 
     In such a bucket the largest component is left alone; the classes of the others (the
@@ -235,13 +237,14 @@ def _left_over_pairs(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, th
     plain = blocks.selectExpr(*columns, f"{block[0]} AS x", "explode(sequence(0, high - 1)) AS y", "false AS loose")
     loose = blocks.where("loose").selectExpr(*columns, "explode(sequence(0, wide - 1)) AS x", f"{block[1]} AS y", "true AS loose")
     grouped = plain.withColumn("x", F.col("x").cast("int")).unionByName(loose.withColumn("y", F.col("y").cast("int")), allowMissingColumns=False)
-    return grouped.groupBy("bucket", "x", "y").applyInArrow(_crosser(thin), "a long, b long").distinct()
+    return grouped.groupBy("bucket", "x", "y").applyInArrow(_crosser(thin, percent), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row_id, row_text, n_shingles, component_id) per row of ``docs``."""
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """(row_id, row_text, n_shingles, component_id) per row of ``docs``; sets with a Jaccard
+    similarity of ``percent`` or more are linked."""
     rows = keyed(docs, doc_id, text)
-    signed = materialize(rows.mapInArrow(_sign, _SIGNED))
+    signed = materialize(rows.mapInArrow(_signer(percent), _SIGNED))
     nodes = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("row_id").alias("least"), F.min_by(F.struct("row_id", "row_text"), F.coalesce("row_id", "row_text")).alias("row"), F.first("n_shingles").alias("n_shingles"))
     nodes = materialize(nodes)
     chosen = signed.select("node", "row_id", "row_text", "n_shingles", "level", "sketch", "half")
@@ -263,14 +266,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     pulled = buckets.join(pull, "node")
     centres = pulled.groupBy("bucket").agg(F.max_by("node", F.struct("pull", "node")).alias("a"))
     stars = buckets.join(centres, "bucket").where("a != node").select("a", F.col("node").alias("b")).distinct()
-    links = materialize(_confirmed(_close(stars, sketches), sets))
+    links = materialize(_confirmed(_close(stars, sketches, percent), sets, percent))
     labels = components(links, "a", "b")
-    asked = materialize(_left_over_pairs(buckets, labels, sketches, thin=True))
-    more = materialize(_confirmed(asked, sets))
+    asked = materialize(_left_over_pairs(buckets, labels, sketches, True, percent))
+    more = materialize(_confirmed(asked, sets, percent))
     links = links.unionByName(more)
     found = components(links, "a", "b")
     if asked.count() > more.count():  # else every close pair is inside a component by now
-        more = _confirmed(_left_over_pairs(buckets, found, sketches, thin=False), sets)
+        more = _confirmed(_left_over_pairs(buckets, found, sketches, False, percent), sets, percent)
         found = components(links.unionByName(more), "a", "b")
 
     labelled = nodes.select("node", "least").join(found, "node", "left").select("node", "least", F.coalesce("component", "node").alias("label"))
@@ -286,10 +289,10 @@ def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     return near_duplicates(docs, doc_id, text).select(F.col("row_id").alias("doc_id"), "n_shingles", "component_id", kept.alias("kept"))
 
 
-def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows whose doc_id names their component, columns unchanged: one document of each
     group stays. Rows that repeat that doc_id stay with it."""
-    found = near_duplicates(docs, doc_id, text).where(F.col("row_id").eqNullSafe(F.col("component_id")))
+    found = near_duplicates(docs, doc_id, text, percent).where(F.col("row_id").eqNullSafe(F.col("component_id")))
     mark = fresh("row_text_hash", docs)
     keys = found.select(F.col("row_id").alias(f"{mark}_id"), F.col("row_text").alias(f"{mark}_text"))
     same = F.col(f"`{doc_id}`").cast("long").eqNullSafe(F.col(f"{mark}_id")) & (F.col(mark) == F.col(f"{mark}_text"))

@@ -8,6 +8,8 @@ import random
 import brute
 import pytest
 
+from plumbline.llm import near_dups
+
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 STOP = ["the", "and", "of", "to"]
 
@@ -66,6 +68,23 @@ def test_stages_in_order(spark, folder):
     assert {r.doc_id for r in last} == got.keys() and all(r.round_trip and r.n_tokens == len(r.ids) for r in last)
 
 
+def test_near_dedup_links_from_four_fifths(spark, docs):
+    """Texts of 100 shingles with some fresh words: similarities around 0.80 and 0.85."""
+    words = [f"w{i}" for i in range(2000)]
+    texts = []
+    for k in (8, 10, 11, 12, 13):  # 100 of 100 + 2k shingles are in both
+        base = [f"t{k}x{w}" for w in words[:104]]
+        texts += [" ".join(base + [f"a{k}{i}" for i in range(k)]), " ".join(base + [f"b{k}{i}" for i in range(k)])]
+    long = [f"l{w}" for w in words]  # sampled sketches: 1,996 of 2,436 shingles, 0.82
+    texts += [" ".join(long + [f"c{i}" for i in range(220)]), " ".join(long + [f"d{i}" for i in range(220)])]
+    rows = list(enumerate(texts))
+    want = [{i for i, _, _, kept in brute.near(rows, percent) if kept} for percent in (80, 85)]
+    assert len(want[0]) < len(want[1])
+    stage = dict(corpus_pipeline.STAGES)["near_dedup"]
+    assert {r.doc_id for r in stage(spark, docs(texts), "").collect()} == want[0]
+    assert {r.doc_id for r in near_dups.report(docs(texts)).where("kept").collect()} == want[1]
+
+
 def test_run(spark, folder):
     path, rows, _ = folder
     out = corpus_pipeline.run(spark, path)
