@@ -9,6 +9,10 @@ equal strings have equal minimizers. That is used twice:
   and the answer goes back to the block they came from.
 * All other stretches are dealt by their minimizer, so equal strings meet in one group
   however far apart their documents are.
+* A minimizer is hot if its distinct stretches, block by block, hold more than half a
+  group's bytes, as those at the edge of a line that many documents share in another
+  context. Its stretches are cut into single strings, dealt by their own hash: a group gets
+  a string once per block, and no minimizer fills it.
 
 In a group the distinct stretches, each with its smallest doc_id, are sorted by external
 induced sorting (``induced``): strings that share WINDOW bytes stand next to each other
@@ -98,29 +102,38 @@ def _part_of(h: np.ndarray, groups: int) -> np.ndarray:
     return (((h >> np.uint64(32)) * np.uint64(groups)) >> np.uint64(32)).astype(np.int64)
 
 
+def _names(sums: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each stretch, wherever it stands."""
+    return mixed((sums[start + length] - sums[start]) * powers(len(sums), inverse=True)[start]) if len(start) else np.empty(0, np.uint64)
+
+
 def _mark_block(batch: pa.RecordBatch, block: str, window: int, gram: int, groups: int) -> Iterator[pa.RecordBatch]:
-    """The block's distinct minimizers per range, and its stretches in the same order."""
+    """The block's distinct minimizers per range, with the bytes of their distinct stretches,
+    and its stretches in the same order."""
     found, ends, total = [], [], 0
     for piece in slices(iter([batch]), "text"):
         data, at = utf8(piece.column("text"))
-        h, start, count, _ = minimizers(data, at, window, gram)
-        found.append((h, start + total, count))
+        h, start, count, sums = minimizers(data, at, window, gram)
+        found.append((h, start + total, count, _names(sums, start, count + window - 1)))
         ends.append(at[1:] + total)
         total += len(data)
-    h, start, count = (np.concatenate([x[k] for x in found]) for k in range(3))
+    h, start, count, name = (np.concatenate([x[k] for x in found]) for k in range(4))
     ends = np.concatenate(ends).astype(np.int64)
-    order = np.argsort(h, kind="stable")
-    h, start, count = h[order], start[order], count[order]
+    order = np.lexsort((start, count, name, h))
+    h, start, count, name = h[order], start[order], count[order], name[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (name[1:] != name[:-1]) | (count[1:] != count[:-1])
     doc = np.searchsorted(ends, start, side="right")
     run = starts_of_runs(h)
     size = np.diff(np.append(run, len(h)))
     many = np.minimum.reduceat(doc, run) != np.maximum.reduceat(doc, run) if len(run) else np.empty(0, bool)
+    held = np.add.reduceat(np.where(new, count + window - 1, 0), run) if len(run) else np.empty(0, np.int64)
     h = h[run]
     edge = np.searchsorted(_part_of(h, groups), np.arange(groups + 1))
     for g in range(groups):
         a, b = int(edge[g]), int(edge[g + 1])
         if a < b:
-            yield _row(part=g, block=block, kind="keys", n=b - a, a=pack(np.diff(h[a:b], prepend=np.uint64(0))), b=np.packbits(many[a:b]).tobytes())
+            yield _row(part=g, block=block, kind="keys", n=b - a, a=pack(np.diff(h[a:b], prepend=np.uint64(0))), b=np.packbits(many[a:b]).tobytes(), c=pack(held[a:b].astype(np.uint32)))
     packed = [pack(x.astype(np.uint32)) for x in (start, count, size)] if len(start) else [b"", b"", b""]
     head = np.array([len(start), len(size), groups], "<i8").tobytes() + edge.astype("<i8").tobytes()
     yield _row(part=-1 - hash_of(block) % groups, block=block, kind="head", n=len(head), a=packed[0], b=packed[1], c=head + packed[2], texts=_texts(batch, ends))
@@ -135,21 +148,26 @@ def _marker(window: int, gram: int, groups: int, block_bytes: int):
     return run
 
 
-def _count(table: pa.Table) -> pa.Table:
-    """Which minimizers of a range stand in several documents, per block."""
-    rows = table.to_pylist()
-    if rows and rows[0]["kind"] == "head":
-        return table
-    h = np.concatenate([np.cumsum(unpack(r["a"], r["n"], np.uint64), dtype=np.uint64) for r in rows])
-    many = np.concatenate([np.unpackbits(np.frombuffer(r["b"], np.uint8), count=r["n"]) for r in rows]).astype(bool)
-    order = np.argsort(h, kind="stable")
-    run = starts_of_runs(h[order])
-    size = np.diff(np.append(run, len(order)))
-    shared = np.empty(len(h), bool)
-    shared[order] = np.repeat((size > 1) | np.logical_or.reduceat(many[order], run), size)
-    cut = np.cumsum([0] + [r["n"] for r in rows])
-    out = [{"part": r["part"], "block": r["block"], "kind": "shared", "n": r["n"], "a": np.packbits(shared[a:b]).tobytes()} for r, a, b in zip(rows, cut[:-1], cut[1:])]
-    return pa.Table.from_pylist([x | {"b": None, "c": None, "texts": None} for x in out], schema=_ROWS_ARROW)
+def _counter(hot_bytes: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Which minimizers of a range stand in several documents, and which are hot, per block."""
+        rows = table.to_pylist()
+        if rows and rows[0]["kind"] == "head":
+            return table
+        h = np.concatenate([np.cumsum(unpack(r["a"], r["n"], np.uint64), dtype=np.uint64) for r in rows])
+        many = np.concatenate([np.unpackbits(np.frombuffer(r["b"], np.uint8), count=r["n"]) for r in rows]).astype(bool)
+        held = np.concatenate([unpack(r["c"], r["n"], np.uint32) for r in rows]).astype(np.int64)
+        order = np.argsort(h, kind="stable")
+        first = starts_of_runs(h[order])
+        size = np.diff(np.append(first, len(order)))
+        shared, hot = np.empty(len(h), bool), np.empty(len(h), bool)
+        shared[order] = np.repeat((size > 1) | np.logical_or.reduceat(many[order], first), size)
+        hot[order] = np.repeat(np.add.reduceat(held[order], first) > hot_bytes, size)
+        cut = np.cumsum([0] + [r["n"] for r in rows])
+        out = [{"part": r["part"], "block": r["block"], "kind": "shared", "n": r["n"], "a": np.packbits(shared[a:b]).tobytes(), "b": np.packbits(hot[a:b]).tobytes()} for r, a, b in zip(rows, cut[:-1], cut[1:])]
+        return pa.Table.from_pylist([x | {"c": None, "texts": None} for x in out], schema=_ROWS_ARROW)
+
+    return run
 
 
 def _per_text(texts: pa.Table, owner: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Table:
@@ -162,7 +180,8 @@ def _per_text(texts: pa.Table, owner: np.ndarray, starts: np.ndarray, ends: np.n
 
 
 def _shared_runs(table: pa.Table) -> pa.Table:
-    """A block's stretches with a shared minimizer, per text: start and number of windows."""
+    """A block's stretches with a shared minimizer, per text: start and number of windows,
+    negative for a hot one."""
     rows = table.to_pylist()
     (head,) = [r for r in rows if r["kind"] == "head"]
     n_runs, n_keys, groups = np.frombuffer(head["c"], "<i8", 3).tolist()
@@ -170,14 +189,16 @@ def _shared_runs(table: pa.Table) -> pa.Table:
     texts = pa.ipc.open_stream(head["texts"]).read_all()
     if not n_runs:
         return _per_text(texts, *[np.empty(0, np.int64)] * 3)
-    shared = np.zeros(n_keys, bool)
+    shared, hot = np.zeros(n_keys, bool), np.zeros(n_keys, bool)
     for r in rows:
         if r["kind"] == "shared":
-            shared[edge[r["part"]] : edge[r["part"] + 1]] = np.unpackbits(np.frombuffer(r["a"], np.uint8), count=r["n"])
+            for bits, x in ((shared, "a"), (hot, "b")):
+                bits[edge[r["part"]] : edge[r["part"] + 1]] = np.unpackbits(np.frombuffer(r[x], np.uint8), count=r["n"])
     size = unpack(head["c"][24 + 8 * (groups + 1) :], n_keys, np.uint32)
     of_run = np.repeat(shared, size)
     start = unpack(head["a"], n_runs, np.uint32)[of_run].astype(np.int64)
     count = unpack(head["b"], n_runs, np.uint32)[of_run].astype(np.int64)
+    count = np.where(np.repeat(hot, size)[of_run], -count, count)
     order = np.argsort(start)
     start, count = start[order], count[order]
     ends = texts.column("end").to_numpy()
@@ -222,11 +243,18 @@ def _sender(window: int, gram: int, groups: int, block_bytes: int):
             starts, counts = piece.column("starts"), piece.column("ends")
             owner = np.repeat(np.arange(piece.num_rows), np.diff(starts.offsets.to_numpy()))
             inner = starts.flatten().to_numpy().astype(np.int64)
+            count = counts.flatten().to_numpy().astype(np.int64)
+            hot = count < 0
+            # the strings of a hot stretch go one by one
+            parts = np.where(hot, -count, 1)
+            step = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+            owner, inner, hot = np.repeat(owner, parts), np.repeat(inner, parts) + step, np.repeat(hot, parts)
+            length = np.where(hot, 1, np.repeat(count, parts)) + window - 1
             where = at[owner] + inner
-            length = counts.flatten().to_numpy().astype(np.int64) + window - 1
             h, begin, _, sums = minimizers(data, at, window, gram)
             least = h[np.searchsorted(begin, where, side="right") - 1] if len(where) else np.empty(0, np.uint64)
-            name = mixed((sums[where + length] - sums[where]) * powers(len(data) + 1, inverse=True)[where]) if len(where) else np.empty(0, np.uint64)
+            name = _names(sums, where, length)
+            least = np.where(hot, mixed(name), least)
             ids = piece.column("row_id").fill_null(LAST_ID).to_numpy()
             keys = pa.RecordBatch.from_arrays([piece.column("row_id"), piece.column("row_text")], ["row_id", "row_text"])
             held.append((name, least, length, data, where + total, owner + docs, inner, ids, np.diff(at), keys))
@@ -327,7 +355,7 @@ def covered_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     rows = keyed(docs, doc_id, text)
     groups = count_groups(rows, "text", group_bytes)
     marked = rows.mapInArrow(_marker(window, gram, groups, block_bytes), _ROWS)
-    runs = marked.groupBy("part").applyInArrow(_count, _ROWS).groupBy("block").applyInArrow(_shared_runs, _RUNS)
+    runs = marked.groupBy("part").applyInArrow(_counter(group_bytes // 2), _ROWS).groupBy("block").applyInArrow(_shared_runs, _RUNS)
     one = runs.groupBy("row_id", "row_text").agg(F.first("starts").alias("starts"), F.first("ends").alias("ends"))
     texts = with_spans(rows, "row_id", "text", one, ("starts", "ends")).where("starts IS NOT NULL")
     sent = texts.select("row_id", "row_text", "text", "starts", "ends").mapInArrow(_sender(window, gram, groups, block_bytes), _ROWS)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import random
+import tempfile
 
 import brute
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from plumbline.llm import decontaminate, near_dups, quality, repeats, suffixes
@@ -56,6 +59,35 @@ def test_earlier_strings(docs, corpus, sizes):
     assert ordered(got) == ordered(brute.earlier(corpus, 50))
 
 
+def test_a_line_in_many_contexts_fills_no_group(docs, monkeypatch, tmp_path):
+    """Each document has a line between other words: its edges spread over the groups."""
+    rnd = random.Random(5)
+    noise = lambda: "".join(rnd.choice("abcdefghij klmnop") for _ in range(90))
+    line = "this very line of some hundred and twenty bytes stands in all of the documents, each time between other words than before"
+    rows = [(i, f"{noise()}{line}{noise()}") for i in range(300)]
+    monkeypatch.setattr(suffixes, "count_groups", lambda *_: 16)
+    sort, folder = suffixes._sorter, str(tmp_path)
+
+    def watched(window):
+        def run(table):
+            if table.column("kind")[0].as_py() == "strings":
+                size = sum(len(zstandard.ZstdDecompressor().decompress(x)) for x in table.column("a").to_pylist())
+                tempfile.NamedTemporaryFile(dir=folder, suffix=f"-{size}", delete=False).close()
+            return sort(window)(table)
+
+        return run
+
+    monkeypatch.setattr(suffixes, "_sorter", watched)
+    share = []
+    for group_bytes in (6000, 1 << 30):  # with the large one nothing is hot
+        before = set(os.listdir(folder))
+        got = suffixes.report(docs(rows), group_bytes=group_bytes).collect()
+        assert ordered(got) == ordered(brute.earlier(rows, 50))
+        seen = [int(x.rpartition("-")[2]) for x in set(os.listdir(folder)) - before]
+        share.append(max(seen) / sum(seen))
+    assert share[0] < 0.15 < 0.3 < share[1]
+
+
 def test_near_duplicates(docs, corpus):
     got = near_dups.report(docs(corpus)).collect()
     assert ordered(got) == ordered(brute.near(corpus))
