@@ -1,8 +1,9 @@
 """Token ids in grammar-compressed files with random access (Re-Pair).
 
 Texts are encoded and written in ascending doc_id order, each document closed by an end
-id. A file (shard) holds a grammar: in rounds, the most frequent neighbouring pairs are
-replaced by new symbols, and each rule keeps its expanded length. No symbol reaches over
+id. A file (shard) holds a grammar: in rounds, the RULES_PER_ROUND most frequent neighbouring
+pairs are replaced by new symbols until none stands LEAST_COUNT times or a round makes the
+file no smaller, and each rule keeps its expanded length. No symbol reaches over
 a document's end, so a document is a run of symbols and is read without the rest.
 
 File layout, all little-endian: MAGIC, then six 8-byte counts (documents, symbols,
@@ -21,6 +22,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import count as count_up
 from uuid import uuid4
 
 import numpy as np
@@ -39,24 +41,36 @@ FILE_BYTES = 16 << 20
 SHARD_TOKENS = 4 << 20
 # Text bytes encoded at once: a larger slice repeats more of its words.
 ENCODED_BYTES = 4 << 20
-ROUNDS, RULES_PER_ROUND, LEAST_COUNT = 6, 2048, 16
+RULES_PER_ROUND, LEAST_COUNT = 2048, 16
 MAGIC = b"RPTOK001"
 CACHED_WORDS = 1 << 19
 
 _COUNT_SLOTS = 1 << 20
 
 
+# Two symbols and the expanded length.
+_RULE_BYTES = 12
+
+
+def _width(top: int) -> int:
+    """Bytes of a symbol below ``top``."""
+    return 2 if top <= 1 << 16 else 4
+
+
 # -- grammar ---------------------------------------------------------------
 def _frequent_pairs(code: np.ndarray, open_: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The most frequent codes, sorted; where they stand, and which stands there. Counted by
-    a hash first: only codes in the fullest slots are counted one by one."""
+    a hash first: only codes in the fullest slots are counted one by one, unless none of
+    these is frequent enough."""
     slot = ((code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).view(np.int64)
     full = np.bincount(slot, minlength=_COUNT_SLOTS)
-    full = full >= max(LEAST_COUNT, int(np.partition(full, -4 * most)[-4 * most]))
-    place = np.flatnonzero(full[slot] & open_)
-    held = code[place]
-    found, count = np.unique(held, return_counts=True)
-    found, count = found[count >= LEAST_COUNT], count[count >= LEAST_COUNT]
+    for least in sorted({LEAST_COUNT, max(LEAST_COUNT, int(np.partition(full, -4 * most)[-4 * most]))}, reverse=True):
+        place = np.flatnonzero((full >= least)[slot] & open_)
+        held = code[place]
+        found, count = np.unique(held, return_counts=True)
+        found, count = found[count >= LEAST_COUNT], count[count >= LEAST_COUNT]
+        if len(found):
+            break
     chosen = np.sort(found[np.lexsort((found, -count))[:most]])
     if not len(chosen):
         return chosen, place[:0], place[:0]
@@ -65,15 +79,18 @@ def _frequent_pairs(code: np.ndarray, open_: np.ndarray, most: int) -> tuple[np.
     return chosen, place[hit], at[hit]
 
 
-def compress(tokens: np.ndarray, end_id: int = END_ID, rounds: int = ROUNDS, per_round: int = RULES_PER_ROUND) -> tuple[np.ndarray, np.ndarray, int]:
-    """Symbols, rules (pairs of symbols) and the first rule's symbol."""
+def compress(tokens: np.ndarray, end_id: int = END_ID, rounds: int | None = None, per_round: int = RULES_PER_ROUND) -> tuple[np.ndarray, np.ndarray, int]:
+    """Symbols, rules (pairs of symbols) and the first rule's symbol; ``rounds`` bounds the
+    rounds."""
     first = int(max(tokens.max(initial=0), end_id)) + 1
     seq, rules, closes = tokens.astype(np.int64), [], np.zeros(first, bool)
     closes[end_id] = True
     top = first
-    for _ in range(rounds):
+    held = lambda n: n * _width(top) + _RULE_BYTES * (top - first)
+    for _ in count_up() if rounds is None else range(rounds):
         if len(seq) < 2:
             break
+        before, old = held(len(seq)), seq
         code = (seq[:-1] << 32) | seq[1:]
         open_ = ~closes[seq[:-1]]
         chosen, place, at = _frequent_pairs(code, open_, per_round)
@@ -85,12 +102,16 @@ def compress(tokens: np.ndarray, end_id: int = END_ID, rounds: int = ROUNDS, per
         place, at = place[even], at[even]
         keep = np.ones(len(seq), bool)
         keep[place + 1] = False
+        seq = seq.copy()
         seq[place] = top + at
         seq = seq[keep]
+        top += len(chosen)
+        if held(len(seq)) >= before:
+            seq = old
+            break
         pairs = np.stack([chosen >> 32, chosen & 0xFFFFFFFF], axis=1)
         rules.append(pairs)
         closes = np.concatenate([closes, closes[pairs[:, 1]]])
-        top += len(chosen)
     return seq, np.concatenate(rules) if rules else np.empty((0, 2), np.int64), first
 
 
@@ -125,7 +146,7 @@ def to_bytes(ids: list[int | None], counts: np.ndarray, tokens: np.ndarray, end_
     begins = np.concatenate([[0], np.cumsum(width)])
     starts = np.concatenate([[0], np.cumsum(counts)]).astype("<i8")
     symbols = np.searchsorted(begins, starts).astype("<i8")
-    kind = "<u2" if first + len(rules) <= 1 << 16 else "<u4"
+    kind = f"<u{_width(first + len(rules))}"
     head = struct.pack("<6q", len(ids), len(seq), len(tokens), first, len(rules), end_id)
     known = np.array([i is not None for i in ids], np.uint8)
     parts = [MAGIC, head, np.array([i or 0 for i in ids], "<i8"), known, symbols, starts, rules.astype("<u4"), size.astype("<u4"), struct.pack("<q", int(kind[2])), seq.astype(kind)]

@@ -133,6 +133,17 @@ def test_words_are_encoded_as_the_library_does():
         assert ids[a:b].tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], text
 
 
+def test_rounds_go_on_until_nothing_is_frequent():
+    rnd = np.random.default_rng(4)
+    passage = rnd.integers(2, 30_000, 1500)
+    tokens = np.concatenate([np.concatenate([passage, rnd.integers(2, 30_000, 3), [token_files.END_ID]]) for _ in range(40)])
+    seq, rules, first = token_files.compress(tokens)
+    assert (token_files.expand(seq, rules, first) == tokens).all()
+    assert len(seq) <= 40 * 6  # the passage is one symbol or two; six rounds leave some 24
+    found = np.unique(np.stack([seq[:-1], seq[1:]])[:, seq[:-1] != token_files.END_ID], axis=1, return_counts=True)[1]
+    assert found.max() < token_files.LEAST_COUNT
+
+
 def test_token_files(docs, tmp_path):
     from tokenizers import Tokenizer
 
