@@ -10,8 +10,8 @@ digest and length. Equal means equal SHA-1 and length. All rows that share the l
 page_id are responses. A row without page_id is below all others. NULL is an empty
 payload; a page without url has an empty target.
 
-The dictionary of a file is trained on at most SAMPLE_BYTES of its records, taken at even
-steps over the whole file, and has at most DICTIONARY_BYTES; a file whose records cannot
+The dictionary of a file is trained on some SAMPLE_BYTES of its records, cut into even pieces
+of at most PIECE_BYTES and taken at even steps over the whole file, and has at most DICTIONARY_BYTES; a file whose records cannot
 train one has an empty dictionary frame.
 """
 
@@ -21,6 +21,7 @@ import base64
 import hashlib
 import struct
 from collections.abc import Iterator
+from itertools import islice
 from uuid import uuid4
 
 import pyarrow as pa
@@ -35,6 +36,7 @@ LEAST_REVISIT = 1000
 FILE_BYTES = 32 << 20
 DICTIONARY_BYTES = 64 << 10
 SAMPLE_BYTES = 4 << 20
+PIECE_BYTES = 128 << 10
 
 # Fixed value: the magic number of the dictionary's skippable frame.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -69,9 +71,10 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def train(records: list[bytes]) -> bytes:
-    """A dictionary from records at even steps, or no bytes if they are too few."""
+    """A dictionary from pieces of the records at even steps, or no bytes if they are too few."""
     step = max(1, sum(map(len, records)) // SAMPLE_BYTES)
-    sample = [r[: 128 << 10] for r in records[::step]]
+    cuts = ((r, i, -(-len(r) // PIECE_BYTES)) for r in records for i in range(-(-len(r) // PIECE_BYTES)))
+    sample = [r[len(r) * i // n : len(r) * (i + 1) // n] for r, i, n in islice(cuts, 0, None, step)]
     try:
         # segment and match lengths are given: a search for better ones costs far more than it saves
         return zstandard.train_dictionary(min(DICTIONARY_BYTES, max(256, sum(map(len, sample)) // 8)), sample, k=256, d=8).as_bytes()

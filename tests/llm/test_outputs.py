@@ -109,6 +109,16 @@ def test_files_are_replaced_whole(tmp_path):
     assert [p.name for p in (tmp_path / "x").iterdir()] == ["y.bin"]
 
 
+def test_dictionary_sees_the_whole_of_long_records():
+    rnd = random.Random(6)
+    tail = rnd.randbytes(600)
+    records = [rnd.randbytes(140 << 10) + tail * 20 for _ in range(12)]
+    dictionary = warc.train(records)
+    assert any(tail[i : i + 100] in dictionary for i in range(0, 500, 50))
+    pieces, _ = warc.archive(records)
+    assert list(warc.open_archive(b"".join(pieces))) == records
+
+
 def test_grammar_round_trip():
     rng = np.random.default_rng(2)
     for end in (1, 7):
