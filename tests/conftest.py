@@ -26,9 +26,3 @@ def spark(tmp_path_factory):
 def frame(spark):
     """A frame from rows and a schema string."""
     return lambda rows, schema: spark.createDataFrame(rows, schema)
-
-
-def rows(df, *order):
-    """Rows as tuples, sorted."""
-    picked = df.select(*order) if order else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda r: tuple((x is not None, str(x)) for x in r))

@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from plumbline.operators import events, state

@@ -7,7 +7,7 @@ count below follows from the shapes in ``SEEDED``.
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from plumbline.operators import enrich, events, rules

@@ -3,7 +3,7 @@ from __future__ import annotations
 import json
 from datetime import date
 
-from conftest import rows
+from helpers import rows
 
 from plumbline.operators import investigate, rca
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta
 
 import pytest
-from conftest import rows
+from helpers import rows
 
 from plumbline.operators import enrich, rules
 from plumbline.operators.standardize import SPECS, spec_columns

@@ -3,7 +3,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from plumbline.operators import rules, skew

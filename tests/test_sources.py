@@ -4,7 +4,7 @@ import json
 import uuid
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from plumbline.operators import publish, rules
