@@ -91,4 +91,59 @@ WITH doc AS (
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(items), 0) AS n_items,
        sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM doc LEFT JOIN hit ON doc.r = hit.r LEFT JOIN named ON doc.r = named.r""",
+    "op11_prefix_trie": r"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), original AS (
+  SELECT c, list({'role': role, 'text': text} ORDER BY place) AS s FROM turns GROUP BY c
+), crc AS (
+  SELECT c, s, c - c % 20 AS donor,
+         xor(list_reduce([4294967295::BIGINT] || list_transform(range(1, length(c::VARCHAR) + 1), lambda i: ascii((c::VARCHAR)[i])::BIGINT),
+           lambda x, y: list_reduce([xor(x, y), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda p, q: CASE WHEN p % 2 = 1 THEN xor(p // 2, 3988292384) ELSE p // 2 END)), 4294967295) % 4 AS h
+  FROM original
+), rebuilt AS (
+  SELECT a.c, list_concat(coalesce(b.s[1:a.h], []), coalesce(a.s[a.h + 1:], [])) AS s FROM crc a LEFT JOIN original b ON b.c = a.donor
+), prefix AS (
+  SELECT c, len(s) AS n, d, s[1:d] AS p FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM rebuilt)
+), node AS (
+  SELECT d, p, min(c) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CASE WHEN n = d THEN c::VARCHAR END, ',' ORDER BY c), '')) AS ends_sha256,
+         CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(p[d].text, '[^\x20\x09-\x0D]+')) END AS words
+  FROM prefix GROUP BY d, p
+), parent AS (
+  SELECT a.d, a.p, min(b.conv_id) AS parent_conv_id FROM node a JOIN node b ON b.d = a.d - 1 AND b.p = a.p[1:a.d - 1] GROUP BY a.d, a.p
+), childless AS (
+  SELECT d, p FROM node a WHERE NOT EXISTS (SELECT 1 FROM node b WHERE b.d = a.d + 1 AND b.p[1:a.d] = a.p)
+), children AS (
+  SELECT b.d - 1 AS d, b.p[1:b.d - 1] AS p, count(*) AS n FROM node b WHERE b.d > 0 GROUP BY ALL
+), above AS (
+  SELECT e AS d, p[1:e] AS p, (n_convs - 1) * words AS saved, leaf
+  FROM (SELECT node.*, childless.d IS NOT NULL AS leaf, unnest(range(0, node.d + 1)) AS e FROM node LEFT JOIN childless ON node.d = childless.d AND node.p = childless.p)
+), total AS (
+  SELECT d, p, sum(saved) AS saved_tokens, count(*) FILTER (leaf) AS n_leaves FROM above GROUP BY d, p
+)
+SELECT node.conv_id, node.d AS depth, parent.parent_conv_id, node.n_convs, coalesce(children.n, 0) AS n_children, total.n_leaves,
+       total.saved_tokens::BIGINT AS saved_tokens, node.ends_sha256
+FROM node JOIN total ON node.d = total.d AND node.p = total.p
+LEFT JOIN parent ON node.d = parent.d AND node.p = parent.p LEFT JOIN children ON node.d = children.d AND node.p = children.p""",
+    "op13_hard_negatives": r"""
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+), positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.positive_id, row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank,
+         s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+  FROM positive p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5""",
 }

@@ -8,7 +8,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import bpe, decontaminate, licenses, near_dups, quality, repeats, shards, suffixes, token_files, warc
+from plumbline.llm import bpe, decontaminate, licenses, near_dups, negatives, prefix_trie, quality, repeats, shards, simhash, suffixes, token_files, warc
 from plumbline.llm.common import share_code
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,18 @@ def _(table):
 @query("op10_substring_dedup")
 def _(table):
     return repeats.report(table("documents"))
+
+
+@query("op11_prefix_trie")
+def _(table):
+    return prefix_trie.report(table("conversations"))
+
+
+@query("op12_simhash_blocks")
+def _(table):
+    return simhash.report(table("documents"))
+
+
+@query("op13_hard_negatives")
+def _(table):
+    return negatives.report(table("embeddings"))
