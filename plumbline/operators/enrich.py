@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.clean import quoted
@@ -123,12 +123,46 @@ def scenario_intervals(scenarios: DataFrame, separator: str = ";") -> DataFrame:
     )
 
 
+# Buckets that an average interval is spread over, and the narrowest bucket.
+BUCKETS_PER_INTERVAL, LEAST_BUCKET_SECONDS = 32, 3600
+
+
+def _seconds(column: str) -> Column:
+    """Seconds of a zone-free time, by its own calendar whatever the session's zone."""
+    return F.expr(f"timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', cast({quoted(column)} AS timestamp_ntz))")
+
+
+def bucket_seconds(spans: DataFrame, start: str, end: str) -> int:
+    """The width of time buckets that spreads n intervals over at most
+    (BUCKETS_PER_INTERVAL + 2) * n of them, however long some are."""
+    length = (_seconds(end) - _seconds(start)).cast("double")
+    n, total = spans.where(F.col(end) >= F.col(start)).agg(F.count("*"), F.sum(length)).first()
+    return max(LEAST_BUCKET_SECONDS, int((total or 0) / (BUCKETS_PER_INTERVAL * max(n, 1))) + 1)
+
+
+def join_intervals(
+    points: DataFrame, spans: DataFrame, key: str, at: str, start: str, end: str, width: int | None = None
+) -> DataFrame:
+    """Points with the intervals of their key that hold them, both ends included; an
+    interval without a start, end or key, or that ends before it starts, holds none.
+
+    Each interval stands once in every time bucket it touches, each point in its own, and
+    they are joined on key and bucket: a point meets the intervals around it, not all of
+    its key. The exact bounds are tested after. Keys that hold many points are spread by
+    their buckets, and Spark splits what is still skewed.
+    """
+    spans = spans.where(F.col(end) >= F.col(start))
+    width = bucket_seconds(spans, start, end) if width is None else width
+    bucket = lambda c: F.floor(_seconds(c) / F.lit(width)).cast("bigint")
+    spread = spans.withColumn("_bucket", F.explode(F.sequence(bucket(start), bucket(end))))
+    inside = F.col(at).between(F.col(start), F.col(end))
+    return points.withColumn("_bucket", bucket(at)).join(spread, [key, "_bucket"]).where(inside).drop("_bucket", start, end)
+
+
 def tag_scenarios(readings: DataFrame, scenarios: DataFrame) -> DataFrame:
     """Readings inside a known scenario: meter on its list, time within its bounds
-    (both inclusive). Joined on the meter, so the range is only a filter."""
-    spans = scenario_intervals(scenarios)
-    inside = F.col("reading_timestamp").between(F.col("start_datetime"), F.col("end_datetime"))
-    return readings.join(spans, "meter_id").where(inside).drop("start_datetime", "end_datetime")
+    (both inclusive)."""
+    return join_intervals(readings, scenario_intervals(scenarios), "meter_id", "reading_timestamp", "start_datetime", "end_datetime")
 
 
 def densify_calendar(

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.clean import is_true, safe_divide
 from plumbline.functions.keys import surrogate_key
+from plumbline.operators.grouped import summarize
 from plumbline.operators.rules import READING_RULES, SUCCESS_STATUSES
 
 # Grain of the meter-day and facility-day facts (fixed values).
@@ -102,7 +103,7 @@ def meter_daily(checked: DataFrame) -> DataFrame:
         "event_communication_statuses": "event_communication_status",
         "event_signal_qualities": "event_signal_quality",
     }
-    daily = volume_measures(checked).groupBy(*METER_DAY_KEYS).agg(
+    measures = [
         F.count("*").alias("hourly_reading_count"),
         F.count_if("is_valid_record").alias("valid_reading_count"),
         F.count_if("is_review_record").alias("review_reading_count"),
@@ -116,12 +117,15 @@ def meter_daily(checked: DataFrame) -> DataFrame:
         F.min("poll_timestamp").alias("first_poll_timestamp"),
         F.max("poll_timestamp").alias("last_poll_timestamp"),
         F.max("load_timestamp").alias("latest_load_timestamp"),
-        F.count_distinct("batch_id").alias("batch_count"),
-        F.count_distinct("raw_reading_id").alias("raw_reading_count"),
         *flag_counts,
         F.max("dq_exception_count").alias("max_exception_count_on_reading"),
-        *[sorted_set(source).alias(name) for name, source in sets.items()],
-    )
+    ]
+    counts = {"batch_count": "batch_id", "raw_reading_count": "raw_reading_id"}
+    reads = [
+        "is_valid_record", "is_review_record", "is_exception_record", *VOLUME_SUMS, "volume", "pressure", "temperature", "reading_timestamp",
+        "poll_timestamp", "load_timestamp", "dq_exception_count", *[r.flag for r in READING_RULES],
+    ]
+    daily = summarize(volume_measures(checked), METER_DAY_KEYS, measures, reads, distinct=counts, sets=sets)
     return add_readiness(daily)
 
 

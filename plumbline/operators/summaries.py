@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.clean import is_true, safe_divide
 from plumbline.functions.keys import exception_group_id
-from plumbline.operators.facts import sorted_set
+from plumbline.operators.grouped import summarize
 from plumbline.operators.rules import COMMUNICATION_FAULTS, DEVICE_FAULTS
 
 EXCEPTION_GROUP_KEYS = (
@@ -34,8 +34,16 @@ def rule_summary(exceptions: DataFrame) -> DataFrame:
     )
 
 
-def ranked_rule_summary(exceptions: DataFrame) -> DataFrame:
-    return rule_summary(exceptions).withColumn("severity_rank", severity_rank())
+def ranked_rule_summary(exceptions: DataFrame, catalogue: DataFrame | None = None) -> DataFrame:
+    """Failures per rule, ranked by severity; with the rule's name, layer and owner where a
+    catalogue is given (NULL for a rule that it does not list)."""
+    ranked = rule_summary(exceptions).withColumn("severity_rank", severity_rank())
+    if catalogue is None:
+        return ranked
+    named = catalogue.where("rule_id IS NOT NULL").groupBy("rule_id").agg(
+        F.max_by(F.struct("rule_name", "layer", "owner_team"), F.coalesce("rule_name", F.lit(""))).alias("rule")
+    )
+    return ranked.join(named, "rule_id", "left").select(*ranked.columns, "rule.*")
 
 
 def exception_summary_daily(fact: DataFrame) -> DataFrame:
@@ -47,22 +55,15 @@ def exception_summary_daily(fact: DataFrame) -> DataFrame:
         "communication_statuses": "event_communication_status",
         "signal_qualities": "event_signal_quality",
     }
-    return (
-        fact.groupBy(*EXCEPTION_GROUP_KEYS)
-        .agg(
-            F.count("*").alias("exception_rule_failure_count"),
-            F.count_distinct("exception_id").alias("exception_count"),
-            F.count_distinct("raw_reading_id").alias("affected_reading_count"),
-            F.count_distinct("meter_id").alias("affected_meter_count"),
-            *[sorted_set(source).alias(name) for name, source in sets.items()],
-            F.min("detected_at").alias("first_detected_at"),
-            F.max("detected_at").alias("last_detected_at"),
-        )
-        .withColumn(
-            "exception_group_id",
-            exception_group_id("production_date", "facility_id", "exception_type", "severity"),
-        )
-    )
+    measures = [
+        F.count("*").alias("exception_rule_failure_count"),
+        F.min("detected_at").alias("first_detected_at"),
+        F.max("detected_at").alias("last_detected_at"),
+    ]
+    counts = {"exception_count": "exception_id", "affected_reading_count": "raw_reading_id", "affected_meter_count": "meter_id"}
+    daily = summarize(fact, EXCEPTION_GROUP_KEYS, measures, ["detected_at"], distinct=counts, sets=sets)
+    group = exception_group_id("production_date", "facility_id", "exception_type", "severity")
+    return daily.withColumn("exception_group_id", group)
 
 
 # Columns of a run that describe the latest run of its pipeline.
