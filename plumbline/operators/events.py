@@ -94,9 +94,23 @@ def parse_documents(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.select(F.col(column).alias("_raw_text"), doc.alias("d")).select("_raw_text", "d.*")
 
 
+# Why a received line is no document (our own names).
+BLANK_LINE, BROKEN_JSON, NOT_AN_OBJECT = "BLANK_LINE", "BROKEN_JSON", "NOT_AN_OBJECT"
+
+
+def reject_reason(column: str = "value") -> Column:
+    """Why a received line holds no JSON document; NULL if it holds one."""
+    text = F.col(column)
+    return (
+        F.when(text.isNull() | (F.trim(text) == ""), BLANK_LINE)
+        .when(F.try_parse_json(text).isNull(), BROKEN_JSON)
+        .when(~F.ltrim(text).startswith("{"), NOT_AN_OBJECT)
+    )
+
+
 def unreadable_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """The lines that hold no JSON document, as received: a reject table."""
-    return lines.where(F.col(column).isNotNull() & ~F.ltrim(column).startswith("{") | F.try_parse_json(column).isNull())
+    return lines.where(reject_reason(column).isNotNull())
 
 
 def flatten_documents(docs: DataFrame) -> DataFrame:

@@ -205,7 +205,9 @@ def needs_review(ctx: RuleContext) -> Column:
     )
 
 
-def classify(flagged: DataFrame, ctx: RuleContext, rules: Sequence[Rule] = READING_RULES) -> DataFrame:
+def classify(
+    flagged: DataFrame, ctx: RuleContext, rules: Sequence[Rule] = READING_RULES, order: Sequence[str] = PRIMARY_TYPE_ORDER
+) -> DataFrame:
     """Exception count, primary type and record status from the flags."""
     any_failed = has_exception(rules)
     status = F.when(any_failed, "EXCEPTION").when(needs_review(ctx), "REVIEW").otherwise("VALID")
@@ -213,14 +215,17 @@ def classify(flagged: DataFrame, ctx: RuleContext, rules: Sequence[Rule] = READI
         "*",
         exception_count(rules).alias("dq_exception_count"),
         any_failed.alias("dq_has_exception"),
-        primary_type(rules).alias("primary_exception_type"),
+        primary_type(rules, order).alias("primary_exception_type"),
         status.alias("record_quality_status"),
     )
 
 
-def check_readings(enriched: DataFrame, ctx: RuleContext) -> DataFrame:
-    """The enriched readings with all flags and their classification."""
-    return classify(add_flags(enriched, READING_RULES, ctx), ctx)
+def check_readings(
+    enriched: DataFrame, ctx: RuleContext, rules: Sequence[Rule] = READING_RULES, order: Sequence[str] = PRIMARY_TYPE_ORDER
+) -> DataFrame:
+    """The enriched readings with all flags and their classification; ``rules`` and
+    ``order`` may come from the rule catalogue (see ``rule_table``)."""
+    return classify(add_flags(enriched, rules, ctx), ctx, rules, order)
 
 
 def split_valid(checked: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ first given as untidy text, as a raw source would, and then standardized.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import enrich, events, facts, rca, reconcile, rules, state, summaries
 from plumbline.operators.standardize import SPECS, standardize_table
-from plumbline.session import materialize
+from plumbline.session import materialize, shared_folder
+from plumbline.sources.files import Landing, read_event_documents
 
 AS_OF = "2024-01-28"
 DETECTED_AT = "2024-02-01 00:00:00"
@@ -195,6 +197,19 @@ def catalogue_rows() -> list[tuple[str, ...]]:
     ]
 
 
+# Changes to the catalogue: what a user would edit to switch, tighten and add rules.
+TUNED_RULES = {
+    "DQ_STALE_READING": {"active_flag": "N"},
+    "DQ_LATE_ARRIVAL": {"active_flag": "Y", "rule_type": "timeliness", "condition_description": "load_timestamp <= reading_timestamp + 20 hours"},
+    "DQ_VOLUME_NON_NEGATIVE": {"rule_type": "range", "condition_description": "volume >= 5"},
+    "DQ_QUALITY_CODE_VALID": {"rule_type": "accepted_values", "condition_description": "quality_code in GOOD, ESTIMATED", "severity": "High"},
+    "DQ_PRESSURE_HIGH": {
+        "rule_id": "DQ_PRESSURE_HIGH", "rule_name": "Pressure within its range", "layer": "Silver", "field_name": "pressure", "rule_type": "range",
+        "condition_description": "pressure <= 840", "severity": "Low", "business_reason": "Pressure above the range of the device.",
+        "owner_team": "Operations", "active_flag": "Y"},
+}
+
+
 class Domain:
     """Lazily derived domain tables over one folder of test tables."""
 
@@ -262,6 +277,15 @@ class Domain:
         columns = [e.partition(":")[0] for e in SPECS["dq_rules_reference"] if "<" not in e]
         return self.spark.createDataFrame(catalogue_rows(), ", ".join(f"{c} string" for c in columns))
 
+    @cached_property
+    def tuned_catalogue(self) -> DataFrame:
+        columns = [e.partition(":")[0] for e in SPECS["dq_rules_reference"] if "<" not in e]
+        rows = {r[0]: dict(zip(columns, r, strict=True)) for r in catalogue_rows()}
+        for rule_id, change in TUNED_RULES.items():
+            rows[rule_id] = rows.get(rule_id, {}) | change
+        raw = self.spark.createDataFrame([tuple(r[c] for c in columns) for r in rows.values()], ", ".join(f"{c} string" for c in columns))
+        return standardize_table(raw, "dq_rules_reference")
+
     # -- typed tables ------------------------------------------------------
     @cached_property
     def readings(self) -> DataFrame:
@@ -324,6 +348,23 @@ class Domain:
         columns = sorted(self.documents.columns)
         return events.with_iso_times(self.documents).select(events.json_text(F.struct(*columns)).alias("value"))
 
+    @cached_property
+    def received_lines(self) -> DataFrame:
+        """The documents' lines as a source may send them: some cut short, some in an array,
+        some blank."""
+        columns = sorted(self.documents.columns)
+        line = events.json_text(F.struct(*columns))
+        n = F.expr("cast(substring(raw_reading_id, 5) AS bigint) % 97")
+        sent = F.when(n == 5, F.substring(line, 1, 40)).when(n == 6, F.concat(F.lit("["), line, F.lit("]"))).when(n == 7, "   ").otherwise(line)
+        return events.with_iso_times(self.documents).select(sent.alias("value"))
+
+    @cached_property
+    def landing(self) -> Landing:
+        """The received lines as a file of text, landed."""
+        folder = f"{shared_folder(self.spark)}/plumbline/received-{uuid.uuid4().hex}"
+        self.received_lines.write.text(folder)
+        return read_event_documents(self.spark, folder, "run-0001")
+
     @cached_property
     def flat_events(self) -> DataFrame:
         return events.flatten_documents(self.documents)

@@ -14,12 +14,12 @@ from pyspark.sql import types as T
 
 from plumbline.functions import clean, keys
 from plumbline.operators import (
-    enrich, events, facts, investigate, publish, rca, reconcile, rules, state, summaries,
+    enrich, events, facts, investigate, publish, rca, reconcile, rule_table, rules, state, summaries,
 )
 from plumbline.operators.skew import keep_one_per_key
 from plumbline.operators.standardize import add_layer_metadata
 from plumbline.plans import medallion, views
-from plumbline.plans.bindings import AS_OF, FIRST_BATCH, RETRY_BATCH, Domain
+from plumbline.plans.bindings import AS_OF, DETECTED_AT, FIRST_BATCH, RETRY_BATCH, Domain
 
 Query = Callable[[Domain], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,6 +97,21 @@ def _(d):
     return add_bronze_metadata(flat, RUN_ID, source_filter=None).select("event_id", "_record_hash", "_bronze_run_id", "_source_type")
 
 
+@query("event_landing")
+def _(d):
+    return d.landing.documents.select("event_id", "raw_reading_id", "seed_batch_id", "raw_document_json", "_record_hash", "payload_quality_code")
+
+
+@query("event_rejects")
+def _(d):
+    return d.landing.rejects.select("reject_reason", "raw_document_json", "_record_hash")
+
+
+@query("event_landing_counts")
+def _(d):
+    return d.landing.received.groupBy("route", "reject_reason").agg(F.count("*").alias("line_count"))
+
+
 def _run_checks(d: Domain) -> DataFrame:
     """Pipeline runs as load checks: rows read are expected, rows accepted written."""
     return d.runs.select(
@@ -300,6 +315,11 @@ def _(d):
     return _failures(stored, d, "MISSING_RAW_PAYLOAD").select("event_id", "raw_document_json")
 
 
+@query("dq_payload_received")
+def _(d):
+    return _failures(d.landing.received, d, "MISSING_RAW_PAYLOAD").select("raw_document_json", "reject_reason")
+
+
 @query("dq_exception_count")
 def _(d):
     return d.checked.select("raw_reading_id", *[r.flag for r in rules.READING_RULES], "dq_exception_count")
@@ -345,6 +365,27 @@ def _(d):
     return rules.join_rule_catalogue(d.exceptions, d.catalogue).select("exception_id", "rule_id", "rule_name", "layer", "owner_team")
 
 
+@query("rules_from_catalogue")
+def _(d):
+    in_force = rule_table.compile_rules(d.tuned_catalogue)
+    checked = rules.check_readings(d.enriched, d.ctx, in_force.rules, in_force.order)
+    return rules.explode_exceptions(checked, in_force.rules, detected_at=DETECTED_AT).select(
+        "exception_id", "rule_id", "exception_type", "severity", "business_reason", "raw_reading_id", "primary_exception_type"
+    )
+
+
+@query("rule_outcomes")
+def _(d):
+    outcome = rule_table.compile_rules(d.tuned_catalogue).outcome
+    listed = d.spark.createDataFrame(sorted(outcome.items()), "rule_id string, outcome string")
+    return listed.join(d.exceptions.groupBy("rule_id").agg(F.count("*").alias("untuned_failures")), "rule_id", "left")
+
+
+@query("rule_summary_named")
+def _(d):
+    return summaries.ranked_rule_summary(d.stored("exceptions"), d.catalogue)
+
+
 # -- joins -------------------------------------------------------------------
 @query("join_enrich")
 def _(d):

@@ -594,6 +594,15 @@ Q["event_to_json"] = "SELECT event_id, " + json_object([
     ("production_date", "CAST(production_date AS VARCHAR)"), ("scenario_id", "scenario_id")]) + " AS document FROM docs"
 Q["batch_filter"] = f"SELECT event_id, raw_reading_id, seed_batch_id, raw_status AS payload_raw_status FROM docs WHERE seed_batch_id = '{bindings.RETRY_BATCH}'"
 Q["bronze_record_hash"] = f"SELECT event_id, sha256({STORED_JSON}) AS _record_hash, '{catalogue.RUN_ID}' AS _bronze_run_id, 'event_store' AS _source_type FROM docs"
+RECEIVED = f"""SELECT *, CAST(substring(raw_reading_id, 5) AS BIGINT) % 97 AS n, {DOC_JSON} AS line FROM docs"""
+SENT = "CASE n WHEN 5 THEN line[1:40] WHEN 6 THEN '[' || line || ']' WHEN 7 THEN '   ' ELSE line END"
+WHY = "CASE n WHEN 5 THEN 'BROKEN_JSON' WHEN 6 THEN 'NOT_AN_OBJECT' WHEN 7 THEN 'BLANK_LINE' END"
+Q["event_landing"] = f"""SELECT event_id, raw_reading_id, seed_batch_id, line AS raw_document_json, sha256(line) AS _record_hash, quality_code AS payload_quality_code
+  FROM ({RECEIVED}) WHERE n NOT IN (5, 6, 7)"""
+Q["event_rejects"] = f"SELECT {WHY} AS reject_reason, {SENT} AS raw_document_json, sha256({SENT}) AS _record_hash FROM ({RECEIVED}) WHERE n IN (5, 6, 7)"
+Q["event_landing_counts"] = f"""SELECT CASE WHEN n IN (5, 6, 7) THEN 'rejects' ELSE 'documents' END AS route, {WHY} AS reject_reason, count(*) AS line_count
+  FROM ({RECEIVED}) GROUP BY ALL"""
+Q["dq_payload_received"] = f"SELECT {SENT} AS raw_document_json, {WHY} AS reject_reason FROM ({RECEIVED}) WHERE n IN (5, 7)"
 LAYER_STATUS = "CASE WHEN expected_rows IS NULL THEN 'CREATED' WHEN expected_rows = written_rows THEN 'PASS' ELSE 'CHECK' END"
 Q["layer_write_status"] = f"SELECT *, {LAYER_STATUS} AS status, CASE WHEN expected_rows IS NULL THEN 'CREATED' WHEN expected_rows = source_rows AND expected_rows = written_rows THEN 'PASS' ELSE 'CHECK' END AS two_sided_status FROM checks"
 Q["failed_checks"] = f"SELECT * FROM (SELECT *, {LAYER_STATUS} AS status FROM checks) WHERE status = 'CHECK'"
@@ -641,6 +650,24 @@ simple("split_exceptions", ("raw_reading_id", "meter_id", "primary_exception_typ
 simple("exception_explode", ("exception_id", "rule_id", "exception_type", "severity", "business_reason", *rules.EXCEPTION_DETAIL_COLUMNS, "detected_at"), "exceptions")
 simple("exception_id", ("raw_reading_id", "rule_id", "exception_id"), "exceptions")
 Q["rule_catalogue_join"] = "SELECT exception_id, e.rule_id, rule_name, layer, owner_team FROM exceptions e JOIN catalogue c ON e.rule_id = c.rule_id WHERE is_active"
+# The rules as the changed catalogue has them: flag, type, id, severity, reason.
+TUNED_SQL = FLAG_SQL | {
+    "dq_stale_reading": "false", "dq_late_arrival": "load_timestamp > reading_timestamp + INTERVAL 20 HOUR",
+    "dq_negative_volume": "volume < 5", "dq_invalid_quality_code": "NOT coalesce(quality_code IN ('GOOD', 'ESTIMATED'), false)",
+    "dq_pressure_high": "pressure > 840",
+}
+TUNED = [(r.flag, r.exception_type, r.rule_id, "High" if r.flag == "dq_invalid_quality_code" else r.severity, r.reason) for r in rules.READING_RULES]
+TUNED.append(("dq_pressure_high", "PRESSURE_HIGH", "DQ_PRESSURE_HIGH", "Low", "Pressure above the range of the device."))
+TUNED_PRIMARY = "CASE " + " ".join(
+    f"WHEN {flag} THEN '{kind}'" for wanted in (*rules.PRIMARY_TYPE_ORDER, "PRESSURE_HIGH") for flag, kind, *_ in TUNED if kind == wanted) + " END"
+Q["rules_from_catalogue"] = "WITH tuned AS (SELECT *, " + TUNED_PRIMARY + " AS primary_exception_type FROM (SELECT *, " + ", ".join(
+    f"coalesce({sql}, false) AS {flag}" for flag, sql in TUNED_SQL.items()) + " FROM enriched))\n" + "\nUNION ALL\n".join(
+    f"SELECT sha256(concat_ws('||', {lit(rule)}, raw_reading_id, meter_id, CAST(reading_timestamp AS VARCHAR))) AS exception_id, {lit(rule)} AS rule_id, "
+    f"{lit(kind)} AS exception_type, {lit(severity)} AS severity, {lit(reason)} AS business_reason, raw_reading_id, primary_exception_type FROM tuned WHERE {flag}"
+    for flag, kind, rule, severity, reason in TUNED)
+OUTCOMES = [(r.rule_id, {"DQ_STALE_READING": "OFF"}.get(r.rule_id, "COMPILED" if r.rule_id in bindings.TUNED_RULES else "BUILT_IN")) for r in rules.READING_RULES]
+Q["rule_outcomes"] = f"""SELECT rule_id, outcome, n AS untuned_failures FROM (VALUES {values_rows([*OUTCOMES, ('DQ_PRESSURE_HIGH', 'COMPILED')])}) AS o(rule_id, outcome)
+  LEFT JOIN (SELECT rule_id, count(*) AS n FROM exceptions GROUP BY rule_id) USING (rule_id)"""
 simple("join_enrich", ("raw_reading_id", "meter_id", "source_facility_id", "master_meter_id", "master_facility_id", "master_meter_name", "master_product",
                        "master_is_custody_transfer", "master_install_date", "master_facility_name", "master_region", "master_latitude"), "enriched")
 simple("join_event_context", ("raw_reading_id", "event_id", "event_quality_code", "event_raw_status", "event_device_status", "event_communication_status",
@@ -693,6 +720,8 @@ Q["first_match_code"] = """SELECT meter_id, source_facility_id, production_date,
 Q["rule_summary"] = """SELECT rule_id, exception_type, severity, count(*) AS exception_count, count(DISTINCT meter_id) AS affected_meter_count,
   count(DISTINCT master_facility_id) AS affected_facility_count, min(production_date) AS first_production_date, max(production_date) AS last_production_date
   FROM exceptions GROUP BY rule_id, exception_type, severity"""
+Q["rule_summary_named"] = """SELECT r.*, CAST(CASE WHEN upper(r.severity) LIKE '%HIGH%' THEN 1 WHEN upper(r.severity) LIKE '%MEDIUM%' THEN 2 ELSE 3 END AS BIGINT) AS severity_rank,
+  c.rule_name, c.layer, c.owner_team FROM (""" + Q["rule_summary"] + """) r LEFT JOIN catalogue c ON r.rule_id = c.rule_id"""
 Q["severity_rank"] = "SELECT DISTINCT rule_id, severity, CAST(CASE WHEN upper(severity) LIKE '%HIGH%' THEN 1 WHEN upper(severity) LIKE '%MEDIUM%' THEN 2 ELSE 3 END AS BIGINT) AS severity_rank FROM exceptions"
 simple("exception_summary_daily", SUMMARY_COLS, "exc_summary")
 simple("pipeline_health", HEALTH_COLS, "health")

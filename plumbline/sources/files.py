@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.keys import record_hash, sha256
-from plumbline.operators.events import flatten_documents, of_batch, parse_documents
+from plumbline.operators.events import flatten_documents, of_batch, parse_documents, reject_reason
 from plumbline.operators.standardize import SPECS, source_columns
+from plumbline.session import shared_folder
 
 
 def _run_stamp(run_at: str | None):
@@ -62,15 +66,74 @@ def add_bronze_metadata(
     )
 
 
+@dataclass(frozen=True)
+class Landing:
+    """What a batch of received lines became. ``received`` is the stored text of every line
+    with its route; ``documents`` and ``rejects`` read the two routes back."""
+
+    received: DataFrame
+    documents: DataFrame
+    rejects: DataFrame
+    received_rows: int
+    rejected_rows: int
+
+    @property
+    def accepted_rows(self) -> int:
+        return self.received_rows - self.rejected_rows
+
+
+def land_lines(lines: DataFrame, into: str, run_id: str, *, run_at: str | None = None) -> tuple[int, int]:
+    """Store received lines (``value``, and any lineage columns) in folder ``into``, each in
+    the part of its route, and return how many were received and rejected.
+
+    One pass: every line is routed by a test of its own text, and both counts are observed
+    while the lines are written. Nothing is dropped: a rejected line is kept byte for byte
+    with its reason.
+    """
+    seen = Observation()
+    routed = lines.withColumn("reject_reason", reject_reason()).select(
+        F.col("value").alias("raw_document_json"),
+        *[c for c in lines.columns if c != "value"],
+        "reject_reason",
+        sha256("value").alias("_record_hash"),
+        F.lit(run_id).alias("_bronze_run_id"),
+        _run_stamp(run_at).alias("_ingested_at"),
+        F.when(F.col("reject_reason").isNull(), "documents").otherwise("rejects").alias("route"),
+    )
+    counted = routed.observe(seen, F.count(F.lit(1)).alias("rows"), F.count("reject_reason").alias("rejected"))
+    counted.write.mode("overwrite").partitionBy("route").parquet(into)
+    return seen.get["rows"], seen.get["rejected"]
+
+
+LANDED = (
+    "raw_document_json string, _source_file string, reject_reason string, _record_hash string, "
+    "_bronze_run_id string, _ingested_at timestamp, route string"
+)
+
+
 def read_event_documents(
-    spark: SparkSession, path: str, run_id: str, *, batch_id: str | None = None, run_at: str | None = None
-) -> DataFrame:
-    """JSON-lines event documents, flattened on the executors, with lineage."""
-    flat = flatten_documents(parse_documents(spark.read.text(path)))
+    spark: SparkSession,
+    path: str,
+    run_id: str,
+    *,
+    batch_id: str | None = None,
+    run_at: str | None = None,
+    into: str | None = None,
+) -> Landing:
+    """JSON-lines event documents, landed and split: documents flattened with lineage, and
+    the lines that hold none. ``into`` is where the landed lines stay (by default a new
+    folder among the shared ones). A batch is chosen among the documents; rejects belong to
+    no batch, and are all there."""
+    into = into or f"{shared_folder(spark)}/plumbline/landed-{uuid.uuid4().hex}"
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("_source_file"))
+    rows, rejected = land_lines(lines, into, run_id, run_at=run_at)
+    received = spark.read.schema(LANDED).parquet(into)
+    flat = flatten_documents(parse_documents(received.where("route = 'documents'"), "raw_document_json"))
     if batch_id is not None:
         flat = of_batch(flat, batch_id)
     chosen = None if batch_id is None else f"seed_batch_id={batch_id}"
-    return add_bronze_metadata(flat, run_id, source_filter=chosen, run_at=run_at)
+    documents = add_bronze_metadata(flat, run_id, source_filter=chosen, run_at=run_at)
+    return Landing(received, documents, received.where("route = 'rejects'").drop("route"), rows, rejected)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

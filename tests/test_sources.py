@@ -46,13 +46,42 @@ def test_csv_source_has_lineage_and_checks_its_contract(spark, tmp_path):
 def test_event_documents_of_one_batch(spark, tmp_path):
     docs = [{"_id": str(i), "event_id": f"e{i}", "raw_reading_id": f"r{i}", "seed_batch_id": f"b{i % 2}", "payload": {"volume": i, "retry_count": "x"}} for i in range(4)]
     write_text(tmp_path / "docs", "d.json", [json.dumps(d) for d in docs])
-    got = files.read_event_documents(spark, str(tmp_path / "docs"), "run-1", batch_id="b1")
+    got = files.read_event_documents(spark, str(tmp_path / "docs"), "run-1", batch_id="b1").documents
     assert rows(got, "object_id", "event_id", "payload_volume", "payload_retry_count") == [("1", "e1", 1.0, None), ("3", "e3", 3.0, None)]
     assert got.first()._source_filter == "seed_batch_id=b1" and len(got.first()._record_hash) == 64
     from plumbline.operators.events import require_nonempty
 
     with pytest.raises(RuntimeError, match="batch b7"):
-        require_nonempty(files.read_event_documents(spark, str(tmp_path / "docs"), "run-1", batch_id="b7"), "batch b7")
+        require_nonempty(files.read_event_documents(spark, str(tmp_path / "docs"), "run-1", batch_id="b7").documents, "batch b7")
+
+
+def test_broken_lines_are_split_off_and_counted(spark, tmp_path):
+    good = '{"event_id": "e1",  "seed_batch_id": "b1", "payload": {"volume": 1.50}}'
+    sent = [good, '{"event_id": "e2", "pay', "", "  ", '["e3"]', '"e4"', "17", "{}", '  {"event_id": "e5"}']
+    write_text(tmp_path / "lines", "d.json", sent)
+    into = str(tmp_path / "landed")
+    landing = files.read_event_documents(spark, str(tmp_path / "lines"), "run-1", into=into)
+    assert (landing.received_rows, landing.accepted_rows, landing.rejected_rows) == (9, 3, 6)
+    assert rows(landing.documents, "event_id") == [(None,), ("e1",), ("e5",)]
+    assert rows(landing.rejects, "reject_reason", "raw_document_json") == [
+        ("BLANK_LINE", ""), ("BLANK_LINE", "  "), ("BROKEN_JSON", '{"event_id": "e2", "pay'),
+        ("NOT_AN_OBJECT", '"e4"'), ("NOT_AN_OBJECT", "17"), ("NOT_AN_OBJECT", '["e3"]'),
+    ]
+    assert landing.documents.where("event_id = 'e1'").first().raw_document_json == good  # byte for byte
+    assert {r._source_file for r in landing.received.collect()} == {"d.json"}
+    # the payload rule sees the received text: what is no JSON is red
+    red = rules.failures_only(landing.received, rules.PAYLOAD_RULES, rules.RuleContext(as_of="2024-01-10"))
+    assert rows(red, "reject_reason") == [("BLANK_LINE",), ("BLANK_LINE",), ("BROKEN_JSON",)]
+    again = files.read_event_documents(spark, str(tmp_path / "lines"), "run-1", into=into)
+    assert again.received.count() == 9  # landing once more replaces, it does not add
+
+
+def test_landing_of_nothing(spark, tmp_path):
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "d.json").write_text("")
+    landing = files.read_event_documents(spark, str(tmp_path / "none"), "run-1")
+    assert (landing.received_rows, landing.rejected_rows) == (0, 0)
+    assert landing.documents.count() == landing.rejects.count() == 0
 
 
 def test_table_write_count_replace_and_list(spark):
