@@ -155,25 +155,25 @@ def close_links(marks: DataFrame, bucket: int = BUCKET) -> DataFrame:
     by steps of at most DISTANCE bits."""
     if bucket < 1 << BLOCKS - 1:
         raise ValueError("A bucket with fewer free bits than blocks cannot be cut")
-    spark = marks.sparkSession
-    masks, links = [0], None
-    members = marks.select(F.lit(0).cast("long").alias("mask"), "fp")
+    spark, links = marks.sparkSession, None
+    first = F.array(*[F.lit(_as_long(m)) for m in _finer(0)])
+    members = marks.select("fp", F.explode(first).alias("mask"))
     while True:
-        # masks of crowded buckets: at most BLOCKS ** level, and a level fixes a quarter of the
-        # free bits, so with 4,096 members a bucket there are at most 4 ** 6 of them
-        steps = [(_as_long(m), _as_long(f)) for m in masks for f in _finer(m)]
-        finer = F.broadcast(spark.createDataFrame(steps, "mask long, finer long"))
-        members = members.join(finer, "mask").select(F.col("finer").alias("mask"), F.col("fp").bitwiseAND(F.col("finer")).alias("value"), "fp")
-        members = materialize(members)
+        members = materialize(members.select("mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"), "fp"))
         sizes = members.groupBy("mask", "value").agg(F.count("*").alias("size")).where("size > 1")
         sized = materialize(left_join_unique(members, sizes, ["mask", "value"], spread_by=["fp"]).where("size > 1"))
         dealt = sized.where(F.col("size") <= bucket).repartition("mask", "value").sortWithinPartitions("mask", "value", "fp")
         found = materialize(dealt.select("mask", "value", "fp").mapInArrow(_stars, "a long, b long"))
         links = found if links is None else links.unionByName(found)
-        members = sized.where(F.col("size") > bucket).select("mask", "fp")
-        masks = [r.mask % (1 << BITS) for r in members.select("mask").distinct().collect()]
+        crowded = sized.where(F.col("size") > bucket).select("mask", "fp")
+        # at most BLOCKS ** level masks, and a level fixes a quarter of the free bits: with 4,096
+        # members a bucket there are at most 4 ** 6 of them
+        masks = [r.mask for r in crowded.select("mask").distinct().collect()]
         if not masks:
             return links.distinct()
+        steps = [(m, _as_long(f)) for m in masks for f in _finer(m % (1 << BITS))]
+        finer = F.broadcast(spark.createDataFrame(steps, "mask long, finer long"))
+        members = crowded.join(finer, "mask").select("fp", F.col("finer").alias("mask"))
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", bucket: int = BUCKET) -> DataFrame:
