@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from plumbline.functions.clean import quoted
+
 COMPLEX = (T.ArrayType, T.StructType, T.MapType)
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
@@ -192,37 +195,120 @@ def spark_type(sql_type: str) -> str:
     return SQL_TYPES.get(name, "string")
 
 
+Target = Sequence[tuple[str, str]] | T.StructType
+
+
+def target_columns(target: Target) -> list[tuple[str, str]]:
+    """Names and Spark types of a target: of a definition in SQL types, or of the schema
+    that a live table has now."""
+    if isinstance(target, T.StructType):
+        return [(f.name, f.dataType.simpleString()) for f in target.fields]
+    return [(name, spark_type(sql_type)) for name, sql_type in target]
+
+
+def _sources(df: DataFrame, target: Target, aliases: Mapping[str, Sequence[str]] | None) -> list[tuple[str, str, str | None]]:
+    """Each target column with its type and the source column it takes, if any: its own
+    name, else the first alias present, both ignoring case."""
+    by_lower = {c.lower(): c for c in df.columns}
+    out = []
+    for name, wanted in target_columns(target):
+        candidates = (name, *(aliases or {}).get(name.lower(), ()))
+        out.append((name, wanted, next((by_lower[c.lower()] for c in candidates if c.lower() in by_lower), None)))
+    return out
+
+
+def _aligned(df: DataFrame, found: str, wanted: str) -> Column:
+    """A source column in the target's type; a value that does not fit is NULL."""
+    kind = df.schema[found].dataType
+    if wanted == "string" and isinstance(kind, COMPLEX):
+        return flat_text(found, kind, "joined")
+    value = F.col(quoted(found))
+    return value.try_cast(wanted) if isinstance(kind, (T.DecimalType, T.NumericType, T.StringType)) else value.cast(wanted)
+
+
 def align_to_target(
     df: DataFrame,
-    target: Sequence[tuple[str, str]],
+    target: Target,
     aliases: Mapping[str, Sequence[str]] | None = None,
     metadata: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Exactly the target's columns, in order and type.
+    """Exactly the target's columns, in order and type; ``target`` is a definition or the
+    schema of the live table.
 
     A target column takes the source column of its own name, else the first
     alias present (both ignoring case), else publish metadata, else NULL. A value
     that does not fit the target type becomes NULL instead of failing the load.
     """
-    by_lower = {c.lower(): c for c in df.columns}
-    aliases, metadata = aliases or {}, metadata or {}
     columns = []
-    for name, sql_type in target:
-        candidates = (name, *aliases.get(name.lower(), ()))
-        found = next((by_lower[c.lower()] for c in candidates if c.lower() in by_lower), None)
-        wanted = spark_type(sql_type)
-        if found is None:
-            value = metadata.get(name.lower(), F.lit(None))
-        elif wanted == "string" and isinstance(df.schema[found].dataType, COMPLEX):
-            value = flat_text(found, df.schema[found].dataType, "joined")
-        else:
-            value = F.col(found)
-            if isinstance(df.schema[found].dataType, (T.DecimalType, T.NumericType, T.StringType)):
-                value = value.try_cast(wanted)
+    for name, wanted, found in _sources(df, target, aliases):
+        value = (metadata or {}).get(name.lower(), F.lit(None)).cast(wanted) if found is None else _aligned(df, found, wanted)
         columns.append(value.cast(wanted).alias(name))
     return df.select(*columns)
 
 
+# Whole and floating numbers from the narrowest; digits that whole numbers can have.
+NUMBER_WIDTH = {"tinyint": 1, "smallint": 2, "int": 3, "bigint": 4, "float": 5, "double": 6}
+WHOLE_DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+
+
+def _decimal(kind: str) -> tuple[int, int] | None:
+    found = re.fullmatch(r"decimal\((\d+),(\d+)\)", kind)
+    return (int(found.group(1)), int(found.group(2))) if found else None
+
+
+def fits(source: str, wanted: str) -> bool:
+    """Whether every value of one Spark type has its place in another."""
+    if source == wanted or wanted == "string":
+        return True
+    have, want = _decimal(source), _decimal(wanted)
+    if want:
+        whole = have[0] - have[1] if have else WHOLE_DIGITS.get(source)
+        return whole is not None and want[0] - want[1] >= whole and want[1] >= (have[1] if have else 0)
+    if have:
+        return wanted == "double"
+    if source in NUMBER_WIDTH and wanted in NUMBER_WIDTH:
+        return NUMBER_WIDTH[source] <= NUMBER_WIDTH[wanted]
+    return source == "date" and wanted in ("timestamp", "timestamp_ntz") or {source, wanted} == {"timestamp", "timestamp_ntz"}
+
+
+@dataclass(frozen=True)
+class SchemaChange:
+    """How one column differs. ADDED: the target has it, the source has not (NULL, or publish
+    metadata). MISSING: the source has it, the target has not (left out). RENAMED: taken
+    from an alias. NARROWED: its type does not hold every value of the source."""
+
+    column: str
+    change: str
+    source_type: str | None
+    target_type: str | None
+
+
+def schema_changes(df: DataFrame, target: Target, aliases: Mapping[str, Sequence[str]] | None = None) -> list[SchemaChange]:
+    """What differs between a frame and its target, the target's columns first."""
+    changes, used = [], set()
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    for name, wanted, found in _sources(df, target, aliases):
+        if found is None:
+            changes.append(SchemaChange(name, "ADDED", None, wanted))
+            continue
+        used.add(found)
+        if found.lower() != name.lower():
+            changes.append(SchemaChange(name, "RENAMED", kinds[found], wanted))
+        if not fits(kinds[found], wanted):
+            changes.append(SchemaChange(name, "NARROWED", kinds[found], wanted))
+    return changes + [SchemaChange(c, "MISSING", kinds[c], None) for c in df.columns if c not in used]
+
+
+def lost_values(df: DataFrame, target: Target, aliases: Mapping[str, Sequence[str]] | None = None) -> dict[str, Column]:
+    """For each narrowed column, whether a row's value gets lost: it is there, and NULL once
+    it is in the target's type."""
+    return {
+        name: F.col(quoted(found)).isNotNull() & _aligned(df, found, wanted).isNull()
+        for name, wanted, found in _sources(df, target, aliases)
+        if found is not None and not fits(df.schema[found].dataType.simpleString(), wanted)
+    }
+
+
 def stamp_publish(df: DataFrame, target: str, run_id: str, published_at: str | None = None) -> DataFrame:
     """Publish run id and time, named after the target."""
     when = F.current_timestamp() if published_at is None else F.lit(published_at).cast("timestamp")

@@ -5,10 +5,11 @@ Rows go from the executors straight to the target; nothing is collected.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from plumbline.operators.publish import require_identifier
 
@@ -33,6 +34,35 @@ def remote_row_count(spark: SparkSession, options: Mapping[str, str], table: str
     return int(read_remote(spark, options, query, source).first()[0])
 
 
+def table_schema(spark: SparkSession, options: Mapping[str, str], table: str, source: str = "jdbc") -> StructType:
+    """The columns that a target table has now."""
+    return read_remote_table(spark, options, table, source).schema
+
+
+def run_in_transaction(spark: SparkSession, options: Mapping[str, str], statements: Sequence[str]) -> None:
+    """Statements at the target, all or none: an error takes back what ran before it."""
+    jvm = spark.sparkContext._jvm
+    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    driver = loader.loadClass(options["driver"]).newInstance()
+    known = jvm.java.util.Properties()
+    for key, value in options.items():
+        if key not in ("url", "driver"):
+            known.setProperty(key, value)
+    link = driver.connect(options["url"], known)
+    try:
+        link.setAutoCommit(False)
+        for text in statements:
+            call = link.createStatement()
+            call.executeUpdate(text)
+            call.close()
+        link.commit()
+    except Exception:
+        link.rollback()
+        raise
+    finally:
+        link.close()
+
+
 def publish(
     df: DataFrame,
     options: Mapping[str, str],
@@ -46,7 +76,7 @@ def publish(
     """Replace a target table; returns (source rows, rows found there afterwards).
 
     ``df`` should be a stored table: it is counted (from file metadata) besides
-    being written.
+    being written, as a JDBC write reports no counts of its own.
 
     ``keep_definition`` truncates the table, so views on it survive; without it
     the table is dropped and created anew. ``max_connections`` bounds how many

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from plumbline.functions.clean import quoted
 from plumbline.operators.publish import require_identifier
+from plumbline.session import materialize
 
 
 def _qualified(name: str) -> str:
@@ -83,3 +85,60 @@ def append_table(df: DataFrame, name: str, file_format: str = "parquet") -> int:
     frame, seen = counted(df)
     frame.write.format(file_format).mode("append").saveAsTable(_qualified(name))
     return seen.get["rows"]
+
+
+# The partition column of a keyed table, and how many parts it has by default.
+BUCKET, BUCKETS = "_bucket", 64
+
+
+def _bucket_of(key: str, buckets: int) -> Column:
+    return F.expr(f"cast(pmod(xxhash64({quoted(key)}), {int(buckets)}) AS int)")
+
+
+def write_keyed_table(df: DataFrame, name: str, key: str, buckets: int = BUCKETS) -> int:
+    """Write a state table in parts by a hash of its key, so that a change of a few keys
+    rewrites a few parts. The number of parts is kept in the table's properties."""
+    rows = write_table(df.withColumn(BUCKET, _bucket_of(key, buckets)), name, partition_by=(BUCKET,))
+    target = _qualified(name)
+    df.sparkSession.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('keyed_by' = '{require_identifier(key, 'key')}', 'buckets' = '{int(buckets)}')")
+    return rows
+
+
+def read_keyed_table(spark: SparkSession, name: str) -> DataFrame:
+    return spark.table(_qualified(name)).drop(BUCKET)
+
+
+def change_keyed_table(name: str, incoming: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame]) -> int:
+    """Replace the parts of a keyed table that hold a key of ``incoming`` by what ``change``
+    makes of their rows and ``incoming``; returns how many parts that were.
+
+    ``change`` must treat each key by itself, as upserts and deletes by key do. Only the
+    touched parts are read and written, whatever the size of the table; the new rows are
+    stored before the old ones go. The parts change one after the other: if that breaks
+    off, running an idempotent change once more completes it.
+    """
+    spark, target = incoming.sparkSession, _qualified(name)
+    known = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {target}").collect()}
+    if "keyed_by" not in known:
+        raise ValueError(f"{name} is not a keyed table")
+    key, buckets = known["keyed_by"], int(known["buckets"])
+    at = _bucket_of(key, buckets)
+    incoming = materialize(incoming)
+    touched = [r[0] for r in incoming.select(at).distinct().collect()]  # at most one per part
+    if not touched:
+        return 0
+    old = spark.table(target).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+    changed = materialize(change(old, incoming).withColumn(BUCKET, at))
+    columns = spark.table(target).columns
+    chosen = changed.select(*[F.col(quoted(c)) for c in columns]).repartition(len(touched), BUCKET)
+    chosen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(target)
+    left = {r[0] for r in changed.select(BUCKET).distinct().collect()}
+    for part in set(touched) - left:  # nothing is left in them
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({BUCKET} = {int(part)})")
+    return len(touched)
+
+
+def delete_keys(name: str, gone: DataFrame, keys: Sequence[str]) -> int:
+    """Delete the rows of a keyed table that match ``gone`` on ``keys``; NULL matches
+    nothing. Its key must be among them."""
+    return change_keyed_table(name, gone.select(*keys).distinct(), lambda old, keys_gone: old.join(keys_gone, list(keys), "left_anti").select(*old.columns))
