@@ -6,6 +6,7 @@ joined text, whole numbers as bigint, doubles rounded, times without zone.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,8 @@ from plumbline.operators.skew import keep_one_per_key
 from plumbline.operators.standardize import add_layer_metadata
 from plumbline.plans import medallion, views
 from plumbline.plans.bindings import AS_OF, DETECTED_AT, FIRST_BATCH, RETRY_BATCH, Domain
+from plumbline.session import shared_folder
+from plumbline.sources import tables
 
 Query = Callable[[Domain], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -750,6 +753,17 @@ def _(d):
     return _aligned(d, "fact_pipeline_run", d.run_fact)
 
 
+# A target that has become narrower than the run facts.
+NARROW_RUNS = (("run_id", "int"), ("pipeline_name", "varchar(200)"), ("rows_read", "decimal(5,0)"), ("rows_rejected", "int"), ("accepted_rate", "decimal(3,2)"), ("error_message", "float"))
+
+
+@query("narrowed_values")
+def _(d):
+    lost = publish.lost_values(d.run_fact, NARROW_RUNS)
+    counts = d.run_fact.agg(*[F.count_if(c).alias(name) for name, c in lost.items()])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("lost_count")) for c in lost])))
+
+
 @query("publish_metadata")
 def _(d):
     health = publish.stamp_publish(d.run_fact, "support", RUN_ID, PUBLISHED_AT)
@@ -870,6 +884,14 @@ def _(d):
     return d.old_reviews.unionByName(d.new_reviews).select("exception_id", "status", "priority", "reviewer_decision", "reviewer_comments", "accepted_flag")
 
 
+@query("triage_keyed_upsert")
+def _(d):
+    name = f"triage_{uuid.uuid4().hex}"
+    tables.write_keyed_table(d.stored_triage, name, "exception_group_key", path=f"{shared_folder(d.spark)}/plumbline/{name}")
+    tables.change_keyed_table(name, d.new_reviews, state.triage_upsert)
+    return tables.read_keyed_table(d.spark, name)
+
+
 @query("triage_upsert")
 def _(d):
     return state.triage_upsert(d.stored_triage, d.new_reviews)

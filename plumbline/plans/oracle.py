@@ -888,6 +888,12 @@ Q["rca_packet"] = f"""
   FROM (SELECT * FROM explained) e LEFT JOIN (SELECT facility_id AS sf, exception_type AS st, production_date AS sd, rows FROM samples) s
     ON e.facility_id IS NOT DISTINCT FROM s.sf AND e.exception_type IS NOT DISTINCT FROM s.st AND e.production_date IS NOT DISTINCT FROM s.sd"""
 
+Q["narrowed_values"] = """
+SELECT unnest(['run_id', 'rows_read', 'rows_rejected', 'accepted_rate', 'error_message']) AS column_name,
+       unnest([count(*) FILTER (WHERE run_id IS NOT NULL), count(*) FILTER (WHERE abs(rows_read) >= 100000), count(*) FILTER (WHERE abs(rows_rejected) > 2147483647),
+               count(*) FILTER (WHERE abs(accepted_rate) >= 9.995), count(*) FILTER (WHERE error_message IS NOT NULL)]) AS lost_count FROM run_fact"""
+Q["triage_keyed_upsert"] = Q["triage_upsert"]
+
 NAMES = re.compile(r"\b(" + "|".join(CTES) + r")\b")
 
 

@@ -36,13 +36,14 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def write_table(
-    df: DataFrame, name: str, *, file_format: str = "parquet", partition_by: Sequence[str] = (), rebalance: bool = True
+    df: DataFrame, name: str, *, file_format: str = "parquet", partition_by: Sequence[str] = (), rebalance: bool = True, path: str | None = None
 ) -> int:
     """Write a whole table (schema replaceable) and return its row count.
 
     The count is observed during the write: no second scan. Partitioned tables
     are rebalanced first, which splits large and merges small partitions, so a
-    day with most of the rows still becomes many files of ordinary size.
+    day with most of the rows still becomes many files of ordinary size. With ``path`` the
+    table's files stay in that folder.
     """
     if partition_by and rebalance:
         df = df.hint("rebalance", *partition_by)
@@ -50,6 +51,8 @@ def write_table(
     writer = frame.write.format(file_format).mode("overwrite").option("overwriteSchema", True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if path is not None:
+        writer = writer.option("path", path)
     writer.saveAsTable(_qualified(name))
     return seen.get["rows"]
 
@@ -95,10 +98,10 @@ def _bucket_of(key: str, buckets: int) -> Column:
     return F.expr(f"cast(pmod(xxhash64({quoted(key)}), {int(buckets)}) AS int)")
 
 
-def write_keyed_table(df: DataFrame, name: str, key: str, buckets: int = BUCKETS) -> int:
+def write_keyed_table(df: DataFrame, name: str, key: str, buckets: int = BUCKETS, path: str | None = None) -> int:
     """Write a state table in parts by a hash of its key, so that a change of a few keys
     rewrites a few parts. The number of parts is kept in the table's properties."""
-    rows = write_table(df.withColumn(BUCKET, _bucket_of(key, buckets)), name, partition_by=(BUCKET,))
+    rows = write_table(df.withColumn(BUCKET, _bucket_of(key, buckets)), name, partition_by=(BUCKET,), path=path)
     target = _qualified(name)
     df.sparkSession.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('keyed_by' = '{require_identifier(key, 'key')}', 'buckets' = '{int(buckets)}')")
     return rows
