@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from plumbline.functions import clean, keys
 from plumbline.operators import (
-    enrich, events, facts, investigate, publish, rca, reconcile, rule_table, rules, state, summaries,
+    enrich, events, facts, investigate, publish, rca, reconcile, rule_table, rules, search_index, state, summaries,
 )
 from plumbline.operators.skew import keep_one_per_key
 from plumbline.operators.standardize import add_layer_metadata
@@ -832,6 +832,14 @@ def _(d):
     return investigate.text_search(d.exception_fact, "r-0001", ["meter_id", "raw_reading_id"]).select("exception_id", "meter_id", "raw_reading_id")
 
 
+@query("text_search_indexed")
+def _(d):
+    columns, path = ["meter_id", "raw_reading_id"], f"{shared_folder(d.spark)}/plumbline/index-{uuid.uuid4().hex}"
+    fact = d.stored("exception_fact")
+    search_index.build_index(fact, columns, path)
+    return search_index.indexed_search(fact, path, "r-0001", columns).select("exception_id", *columns)
+
+
 @query("exception_context_json")
 def _(d):
     return investigate.exception_context(d.exception_fact)

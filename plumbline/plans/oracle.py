@@ -846,6 +846,7 @@ Q["reliability_overview"] = """SELECT 'pipeline_health' AS metric_group, count(*
   UNION ALL SELECT 'source_to_target_reconciliation', count(*), count(row_count), count(*) - count(row_count) FROM stages"""
 simple("faceted_filter", ("exception_id", "severity", "region", "production_date"), "exc_fact WHERE severity = 'High' AND region IN ('ASIA', 'EUROPE') AND production_date BETWEEN DATE '2024-01-03' AND DATE '2024-01-25'")
 simple("text_search", ("exception_id", "meter_id", "raw_reading_id"), "exc_fact WHERE contains(lower(meter_id), 'r-0001') OR contains(lower(raw_reading_id), 'r-0001')")
+Q["text_search_indexed"] = Q["text_search"]
 Q["exception_context_json"] = f"SELECT exception_id, {CONTEXT_JSON} AS context_json FROM exc_fact"
 simple("rca_context", RCA_COLS, "rca_ctx")
 simple("likely_layer", ("exception_group_id", "exception_type", "scenario_id", "likely_layer"), "explained")
