@@ -104,6 +104,10 @@ def spec_columns(spec: Sequence[str]) -> list[str]:
     return out
 
 
+# Names that columns have in the files of a source, where ours differ (fixed values).
+FILE_NAMES = {"flow_computer_extract": {"flowcal_record_id": "flow_record_id", "flowcal_batch_id": "flow_batch_id"}}
+
+
 def source_columns(spec: Sequence[str]) -> list[str]:
     """The raw columns a spec reads, each once, in order."""
     names = (entry.partition("<")[2] or entry.partition(":")[0] for entry in spec)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.keys import record_hash, sha256
 from plumbline.operators.events import flatten_documents, of_batch, parse_documents, reject_reason
-from plumbline.operators.standardize import SPECS, source_columns
+from plumbline.operators.standardize import FILE_NAMES, SPECS, source_columns
 from plumbline.session import shared_folder
 
 
@@ -24,9 +24,11 @@ def read_csv_source(
     """One CSV file (or folder of files) of the source package, all text, with lineage.
 
     The header names the columns, whatever their order; a column of the contract
-    that the file lacks is an error.
+    that the file lacks is an error. Names that only the files use are taken as ours.
     """
     raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    ours = {theirs: name for theirs, name in FILE_NAMES.get(table, {}).items() if name not in raw.columns}
+    raw = raw.withColumnsRenamed(ours)
     wanted = source_columns(SPECS[table])
     missing = [c for c in wanted if c not in raw.columns]
     if missing:

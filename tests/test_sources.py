@@ -43,6 +43,15 @@ def test_csv_source_has_lineage_and_checks_its_contract(spark, tmp_path):
         files.read_csv_source(spark, str(tmp_path / "bad"), "raw_polling_readings", "run-1")
 
 
+def test_flow_files_by_their_own_names(spark, tmp_path):
+    wanted = source_columns(SPECS["flow_computer_extract"])
+    theirs = {"flow_record_id": "flowcal_record_id", "flow_batch_id": "flowcal_batch_id"}
+    for folder, header in (("ours", wanted), ("theirs", [theirs.get(c, c) for c in wanted])):
+        write_text(tmp_path / folder, "f.csv", [",".join(header), ",".join(f"v{i}" for i in range(len(wanted)))])
+        got = files.read_csv_source(spark, str(tmp_path / folder), "flow_computer_extract", "run-1")
+        assert rows(got, "flow_record_id", "flow_batch_id") == [("v0", f"v{wanted.index('flow_batch_id')}")]
+
+
 def test_event_documents_of_one_batch(spark, tmp_path):
     docs = [{"_id": str(i), "event_id": f"e{i}", "raw_reading_id": f"r{i}", "seed_batch_id": f"b{i % 2}", "payload": {"volume": i, "retry_count": "x"}} for i in range(4)]
     write_text(tmp_path / "docs", "d.json", [json.dumps(d) for d in docs])
