@@ -131,6 +131,33 @@ def filter_options(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(F.inline(F.array(*pairs))).where("value != ''").distinct().orderBy("facet", "value")
 
 
+def facet_cube(df: DataFrame, facets: Sequence[str], by: Sequence[str] = ("production_date",)) -> DataFrame:
+    """Rows per value of every facet, and in all (facet NULL), for each value of ``by``: one
+    read of the table for all lists and counts of a page. NULL is a value of its own.
+
+    A row stands for its facets in the aggregation inside each task, so what travels is a row
+    per value and task. Store it, and read ``options_of`` and ``distributions_of`` from it.
+    """
+    named = {f"_facet_{i}": c for i, c in enumerate(facets)}
+    read = df.select(*by, *[F.col(c).cast("string").alias(n) for n, c in named.items()])
+    sets = [[*[F.col(b) for b in by], F.col(n)] for n in named] + [[F.col(b) for b in by]]
+    counted = read.groupingSets(sets, *by, *named).agg(F.count("*").alias("row_count"), *[F.grouping(n).alias(f"_out{n}") for n in named])
+    facet = F.coalesce(*[F.when(F.col(f"_out{n}") == 0, F.lit(c)) for n, c in named.items()])
+    value = F.coalesce(*[F.when(F.col(f"_out{n}") == 0, F.col(n)) for n in named])
+    return counted.select(*by, facet.alias("facet"), value.alias("value"), "row_count")
+
+
+def options_of(cube: DataFrame) -> DataFrame:
+    """What ``filter_options`` returns, from the cube (or a part of it)."""
+    options = cube.where("facet IS NOT NULL").select("facet", F.trim("value").alias("value"))
+    return options.where("value != ''").distinct().orderBy("facet", "value")
+
+
+def distributions_of(cube: DataFrame, facets: Sequence[str], name: str = "row_count") -> DataFrame:
+    """What ``distributions`` returns for these facets, from the cube (or a part of it)."""
+    return cube.where(F.col("facet").isin(*facets)).groupBy("facet", "value").agg(F.sum("row_count").alias(name))
+
+
 def exception_kpis(exceptions: DataFrame) -> DataFrame:
     return exceptions.agg(
         F.count("*").alias("rule_failures"),

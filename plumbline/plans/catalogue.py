@@ -21,7 +21,7 @@ from plumbline.operators.skew import keep_one_per_key
 from plumbline.operators.standardize import add_layer_metadata
 from plumbline.plans import medallion, views
 from plumbline.plans.bindings import AS_OF, DETECTED_AT, FIRST_BATCH, RETRY_BATCH, Domain
-from plumbline.session import shared_folder
+from plumbline.session import materialize, shared_folder
 from plumbline.sources import tables
 
 Query = Callable[[Domain], DataFrame]
@@ -586,6 +586,27 @@ def _(d):
     return summaries.filter_options(d.exception_fact, ["severity", "exception_type", "region", "facility_id", "source_system", "polling_platform"])
 
 
+CUBE_FACETS = ("severity", "exception_type", "region", "facility_id", "source_system", "polling_platform", "event_device_status", "event_communication_status", "event_signal_quality")
+
+
+@query("facet_cube")
+def _(d):
+    return summaries.facet_cube(d.exception_fact, CUBE_FACETS)
+
+
+@query("facet_cube_options")
+def _(d):
+    cube = materialize(summaries.facet_cube(d.exception_fact, CUBE_FACETS[:6]))
+    return summaries.options_of(cube)
+
+
+@query("facet_cube_distributions")
+def _(d):
+    cube = materialize(summaries.facet_cube(d.exception_fact, CUBE_FACETS))
+    chosen = investigate.faceted_filter(cube, {}, start="2024-01-05", end="2024-01-20")
+    return summaries.distributions_of(chosen, ["event_device_status", "polling_platform", "severity"])
+
+
 @query("filtered_exception_summary")
 def _(d):
     chosen = investigate.faceted_filter(d.exception_fact, {"severity": ["High", "Medium/High"]}, start="2024-01-05", end="2024-01-20")

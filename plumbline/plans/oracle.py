@@ -748,6 +748,13 @@ Q["filter_options"] = "\nUNION ALL ".join(f"SELECT DISTINCT '{c}' AS facet, trim
 Q["filtered_exception_summary"] = f"""SELECT {GROUP_KEYS}, count(exception_id) AS exception_rows, count(DISTINCT raw_reading_id) AS affected_readings, count(DISTINCT meter_id) AS affected_meters
   FROM exc_fact WHERE severity IN ('High', 'Medium/High') AND production_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY {GROUP_KEYS}"""
 Q["value_counts"] = "\nUNION ALL ".join(f"SELECT '{c}' AS facet, CAST({c} AS VARCHAR) AS value, count(*) AS row_count FROM exc_fact GROUP BY {c}" for c in DIST)
+Q["facet_cube"] = "\nUNION ALL ".join([
+    *[f"SELECT production_date, '{c}' AS facet, CAST({c} AS VARCHAR) AS value, count(*) AS row_count FROM exc_fact GROUP BY production_date, {c}" for c in catalogue.CUBE_FACETS],
+    "SELECT production_date, NULL AS facet, NULL AS value, count(*) AS row_count FROM exc_fact GROUP BY production_date"])
+Q["facet_cube_options"] = Q["filter_options"]
+Q["facet_cube_distributions"] = "\nUNION ALL ".join(
+    f"SELECT '{c}' AS facet, CAST({c} AS VARCHAR) AS value, count(*) AS row_count FROM exc_fact WHERE production_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-20' GROUP BY {c}"
+    for c in ("event_device_status", "polling_platform", "severity"))
 Q["latest_status_counts"] = "SELECT latest_status, count(*) AS pipeline_count FROM health GROUP BY latest_status"
 Q["top_exception_types"] = "SELECT exception_type, count(*) AS exception_rows FROM exc_fact GROUP BY exception_type ORDER BY exception_rows DESC, exception_type NULLS LAST LIMIT 10"
 Q["top_facilities"] = "SELECT facility_id, facility_name, count(*) AS exception_rows FROM exc_fact GROUP BY facility_id, facility_name ORDER BY exception_rows DESC, facility_id NULLS LAST, facility_name NULLS LAST LIMIT 10"

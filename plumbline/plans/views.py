@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.clean import is_true
+from plumbline.operators import publish
 
 # View -> (table, columns). Column lists are fixed values.
 INVESTIGATION_VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {
@@ -113,16 +114,27 @@ def reliability_overview(health: DataFrame, exceptions: DataFrame, stages: DataF
     return reduce(DataFrame.unionByName, rows)
 
 
+def business_view(table: DataFrame) -> DataFrame:
+    """A whole table as the business target shows it: plain values, normalized names."""
+    return publish.normalize_columns(publish.normalize_values(table))
+
+
+def support_view(name: str, table: DataFrame) -> DataFrame:
+    """A table in the columns of its support definition, and publish metadata if it has it."""
+    stamps = [c for c in table.columns if c.endswith(("_publish_run_id", "_published_at_utc"))]
+    held = [(c, "varchar(200)" if c.endswith("_id") else "datetime2(3)") for c in stamps]
+    return publish.align_to_target(table, (*publish.SUPPORT_TABLES[name], *held), publish.SUPPORT_ALIASES.get(name))
+
+
 def register_views(tables: Mapping[str, DataFrame]) -> list[str]:
-    """Register every view whose table is present as a temporary view."""
+    """Register every view whose table is present as a temporary view, in the shape its
+    audience is served."""
     made = []
-    for name, (table, _) in INVESTIGATION_VIEWS.items():
+    served = {f"vw_investigation_{n}": (t, lambda n=n: investigation_view(n, tables)) for n, (t, _) in INVESTIGATION_VIEWS.items()}
+    served |= {f"vw_business_{n}": (t, lambda t=t: business_view(tables[t])) for n, t in BUSINESS_VIEWS.items()}
+    served |= {f"vw_support_{n}": (t, lambda t=t: support_view(t, tables[t])) for n, t in SUPPORT_VIEWS.items()}
+    for name, (table, view) in served.items():
         if table in tables:
-            investigation_view(name, tables).createOrReplaceTempView(f"vw_investigation_{name}")
-            made.append(f"vw_investigation_{name}")
-    for prefix, views in (("vw_business_", BUSINESS_VIEWS), ("vw_support_", SUPPORT_VIEWS)):
-        for name, table in views.items():
-            if table in tables:
-                tables[table].createOrReplaceTempView(prefix + name)
-                made.append(prefix + name)
+            view().createOrReplaceTempView(name)
+            made.append(name)
     return made

@@ -107,11 +107,14 @@ def publish_summary(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame(rows, schema).withColumn("status", publish_status())
 
 
-def view_summary(views: Mapping[str, DataFrame], run_id: str) -> DataFrame:
-    """One row per view with its row count."""
-    from plumbline.operators.reconcile import row_counts
-
-    labelled = [(df, {"publish_run_id": run_id, "view_name": name, "status": "PASS"}) for name, df in views.items()]
-    return row_counts(labelled).withColumnRenamed("row_count", "view_rows").select(
-        "publish_run_id", "view_name", F.col("view_rows"), "status"
-    )
+def view_summary(views: Mapping[str, DataFrame], run_id: str, expected: Mapping[str, int] | None = None) -> DataFrame:
+    """One row per view with its row count. With ``expected`` (rows of the table a view shows)
+    the status tells whether the view shows them all: PASS, CHECK, or CREATED where nothing
+    is expected; without it a view that can be read passes."""
+    from plumbline.operators.reconcile import layer_status, row_counts
+
+    wanted = expected or {}
+    labelled = [(df, {"publish_run_id": run_id, "view_name": name, "expected_rows": wanted.get(name)}) for name, df in views.items()]
+    counts = row_counts(labelled).withColumnRenamed("row_count", "view_rows").withColumn("expected_rows", F.col("expected_rows").cast("bigint"))
+    status = layer_status("expected_rows", "view_rows") if expected is not None else F.lit("PASS")
+    return counts.select("publish_run_id", "view_name", "view_rows", status.alias("status"))

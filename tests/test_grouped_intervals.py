@@ -65,3 +65,16 @@ def test_buckets_stay_few_whatever_the_lengths(spark):
     width = enrich.bucket_seconds(df, "a", "b")
     assert sum((b - a).total_seconds() / width + 2 for a, b in spans) <= (enrich.BUCKETS_PER_INTERVAL + 2) * len(spans)
     assert enrich.bucket_seconds(df.limit(0), "a", "b") == enrich.LEAST_BUCKET_SECONDS
+
+
+def test_facet_cube_answers_options_and_counts(spark):
+    data = [("2024-01-01", "High", " a "), ("2024-01-01", "High", None), ("2024-01-02", None, ""), (None, "Low", "b"), ("2024-01-02", "Low", "b")]
+    df = spark.createDataFrame(data, "production_date string, severity string, kind string")
+    facets = ["severity", "kind"]
+    cube = summaries.facet_cube(df, facets)
+    assert rows(summaries.options_of(cube)) == rows(summaries.filter_options(df, facets))
+    assert rows(summaries.distributions_of(cube, facets)) == rows(summaries.distributions(df, facets))
+    day = F.col("production_date") == "2024-01-02"
+    assert rows(summaries.distributions_of(cube.where(day), facets)) == rows(summaries.distributions(df.where(day), facets))
+    assert rows(cube.where("facet IS NULL"), "production_date", "row_count") == [(None, 1), ("2024-01-01", 2), ("2024-01-02", 2)]
+    assert summaries.facet_cube(df.limit(0), facets).collect() == []

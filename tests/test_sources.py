@@ -140,6 +140,14 @@ def test_publish_summary_and_views(spark):
     assert made == ["vw_investigation_pipeline_health", "vw_business_reporting_readiness", "vw_support_pipeline_health"]
     assert "_warehouse_publish_run_id" in spark.table("vw_investigation_pipeline_health").columns
     assert rows(remote.view_summary({"v": health}, "run-1")) == [("run-1", "v", 1, "PASS")]
+    checked = remote.view_summary({"v": health, "w": health, "x": health}, "run-1", {"v": 1, "w": 2})
+    assert rows(checked, "view_name", "status") == [("v", "PASS"), ("w", "CHECK"), ("x", "CREATED")]
+    # each audience gets its own shape
+    assert [c for c in spark.table("vw_business_reporting_readiness").columns if c != c.upper()] == []
+    support = spark.table("vw_support_pipeline_health")
+    wanted = [c for c, _ in publish.SUPPORT_TABLES["pipeline_health_summary"]]
+    assert support.columns == [*wanted, "_warehouse_publish_run_id", "_warehouse_published_at_utc"]
+    assert dict(support.dtypes)["failure_rate"] == "decimal(18,6)" and support.first()._warehouse_publish_run_id == "run-1"
 
 
 def test_csv_export(spark, tmp_path):
