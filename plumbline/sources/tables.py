@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.functions.clean import quoted
+from plumbline.functions.clean import quoted, sql_text
 from plumbline.operators.publish import require_identifier
 from plumbline.session import materialize
 
@@ -90,6 +90,19 @@ def append_table(df: DataFrame, name: str, file_format: str = "parquet") -> int:
     return seen.get["rows"]
 
 
+def overwrite_partitions(df: DataFrame, name: str, column: str, values: Sequence) -> None:
+    """Replace the partitions of a table where ``column`` is one of ``values`` by the rows of
+    ``df``, which must hold no other; one that ``df`` has no rows for is emptied. Other
+    partitions are neither read nor written. ``df`` may be computed from the table: it is
+    stored before anything changes."""
+    spark, target = df.sparkSession, _qualified(name)
+    stored = materialize(df.select(*[F.col(quoted(c)) for c in spark.table(target).columns]))
+    stored.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(target)
+    left = {r[0] for r in stored.select(column).distinct().collect()}  # at most as many as values
+    for value in set(values) - left:
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({require_identifier(column, 'column')} = {sql_text(value if isinstance(value, int) else str(value))})")
+
+
 # The partition column of a keyed table, and how many parts it has by default.
 BUCKET, BUCKETS = "_bucket", 64
 
@@ -131,13 +144,7 @@ def change_keyed_table(name: str, incoming: DataFrame, change: Callable[[DataFra
     if not touched:
         return 0
     old = spark.table(target).where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-    changed = materialize(change(old, incoming).withColumn(BUCKET, at))
-    columns = spark.table(target).columns
-    chosen = changed.select(*[F.col(quoted(c)) for c in columns]).repartition(len(touched), BUCKET)
-    chosen.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(target)
-    left = {r[0] for r in changed.select(BUCKET).distinct().collect()}
-    for part in set(touched) - left:  # nothing is left in them
-        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({BUCKET} = {int(part)})")
+    overwrite_partitions(change(old, incoming).withColumn(BUCKET, at), name, BUCKET, touched)
     return len(touched)
 
 

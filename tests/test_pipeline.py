@@ -6,6 +6,8 @@ count below follows from the shapes in ``SEEDED``.
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
@@ -156,3 +158,31 @@ def test_scenario_window_finds_the_seeded_rows(spark, run):
 
     scenarios = spark.createDataFrame([("S4", ";".join(f"MTR-{m:03d}" for m in range(56, 60)), datetime(2026, 4, 26), datetime(2026, 4, 26, 23))], "scenario_id string, affected_meter_ids string, start_datetime timestamp_ntz, end_datetime timestamp_ntz")
     assert enrich.tag_scenarios(spark.table("silver.raw_polling_readings"), scenarios).count() == 96
+
+
+def day_files(spark, table):
+    place = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first().data_type.removeprefix("file:")
+    return {(d.rsplit("=", 1)[-1], f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(place) for f in names if f.endswith(".parquet")}
+
+
+def test_late_rows_rebuild_their_day_only(spark, run):
+    """Runs last: it changes the stored tables."""
+    from datetime import date
+
+    day, names = date(2026, 4, 20), medallion.DAILY_FACTS
+    counted = lambda: {t: rows(spark.table(f"gold.{t}").where(F.col("production_date") != F.lit(day)).agg(F.count("*"), F.bit_xor(F.xxhash64("production_date")))) for t in names}
+    before, files, rest = counted(), {t: day_files(spark, f"gold.{t}") for t in names}, spark.table("gold.fact_meter_reading_daily").count()
+    old = spark.table("gold.fact_meter_reading_daily").where((F.col("production_date") == F.lit(day)) & (F.col("meter_id") == "MTR-001")).first()
+    enriched = spark.table("silver.meter_reading_enriched").where((F.col("production_date") == F.lit(day)) & (F.col("meter_id") == "MTR-001")).limit(1)
+    late = enriched.withColumns({"raw_reading_id": F.lit("RAW-late"), "volume": F.lit(1000.0)})
+    late.select(*spark.table("silver.meter_reading_enriched").columns).write.mode("append").insertInto("silver.meter_reading_enriched")
+    spark.catalog.refreshTable("silver.meter_reading_enriched")
+    medallion.refresh_days(spark, [day], AS_OF)
+    new = spark.table("gold.fact_meter_reading_daily").where((F.col("production_date") == F.lit(day)) & (F.col("meter_id") == "MTR-001")).first()
+    assert (new.hourly_reading_count, new.raw_volume_sum) == (old.hourly_reading_count + 1, old.raw_volume_sum + 1000.0)
+    assert spark.table("gold.fact_meter_reading_daily").count() == rest and counted() == before
+    for t in names:
+        now = day_files(spark, f"gold.{t}")
+        others = {k: at for k, at in files[t].items() if k[0] != str(day)}
+        assert others and others.items() <= now.items() and {k[0] for k in now.keys() - others.keys()} <= {str(day)}
+    medallion.refresh_days(spark, [], AS_OF)
