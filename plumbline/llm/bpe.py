@@ -251,10 +251,27 @@ def _word_table(stream: bytes) -> dict[str, bytes]:
 
 def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one word: the neighbouring pieces whose union ranks lowest are merged first,
-    leftmost first. A heap holds the pairs, so a word takes n log n steps."""
-    n = len(word)
+    leftmost first."""
     if word in ranks:
         return [ranks[word]]
+    if len(word) > LONGEST:
+        return _merged_by_heap(word, ranks)
+    pieces = [word[i : i + 1] for i in range(len(word))]
+    rank = [ranks.get(word[i : i + 2], _NONE) for i in range(len(word) - 1)]
+    while (low := min(rank, default=_NONE)) < _NONE:
+        i = rank.index(low)
+        pieces[i : i + 2] = [pieces[i] + pieces[i + 1]]
+        del rank[i]
+        if i:
+            rank[i - 1] = ranks.get(pieces[i - 1] + pieces[i], _NONE)
+        if i < len(rank):
+            rank[i] = ranks.get(pieces[i] + pieces[i + 1], _NONE)
+    return [ranks[piece] for piece in pieces]
+
+
+def _merged_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The same in n log n steps: a heap holds the pairs."""
+    n = len(word)
     end, before = [*range(1, n + 1)], [*range(-1, n)]
     pairs = [(rank, i, i + 2) for i in range(n - 1) if (rank := ranks.get(word[i : i + 2])) is not None]
     heapify(pairs)
