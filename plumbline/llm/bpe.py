@@ -25,6 +25,7 @@ import base64
 import json
 import re
 import uuid
+from array import array
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -237,7 +238,7 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = M
 
 
 def _word_table(stream: bytes) -> dict[str, bytes]:
-    """Words and their ids as little-endian 64-bit numbers, from ``frequent_words``."""
+    """Words and their ids as 64-bit numbers, from ``frequent_words``."""
     table = {}
     for batch in pa.ipc.open_stream(stream):
         ids = batch.column("ids")
@@ -289,23 +290,28 @@ def _merged_by_heap(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 # What a Python worker has unpacked last; its tasks of one job share it.
-_UNPACKED: dict[str, Callable[[str], bytes]] = {}
+_UNPACKED: dict[str, Callable[[list[str]], bytes]] = {}
 
 
-def _chunk_coder(name: str, shared) -> Callable[[str], bytes]:
-    """The ids of a chunk, as little-endian 64-bit numbers. Words that are not in the table
+def _chunk_coder(name: str, shared) -> Callable[[list[str]], bytes]:
+    """The ids of chunks, as 64-bit numbers. Words that are not in the table
     are merged here; the chunks a task meets over and over are remembered."""
     if name not in _UNPACKED:
         stream, ranks = shared.value
         table, words = _word_table(stream), regex.compile(_PYTHON_PATTERN).findall
 
-        @lru_cache(maxsize=MOST_CHUNKS)
-        def rare(chunk: str) -> bytes:
-            found = [table.get(word) or np.array(merged(word.encode(), ranks), "<i8").tobytes() for word in words(chunk)]
-            return b"".join(found)
+        def alone(word: str) -> bytes:
+            return array("q", merged(word.encode(), ranks)).tobytes()
 
-        def coded(chunk: str) -> bytes:
-            return table.get(chunk) or (rare(chunk) if len(chunk) < STRETCH else rare.__wrapped__(chunk))
+        def one(chunk: str) -> bytes:
+            if chunk[1:].isalpha() and (chunk[0] == " " or chunk[0].isalpha()):
+                return alone(chunk)  # letters only: one word, and not in the table
+            return b"".join([table.get(word) or alone(word) for word in words(chunk)])
+
+        remembered = lru_cache(maxsize=MOST_CHUNKS)(one)
+
+        def coded(found: list[str]) -> bytes:
+            return b"".join([ids or (remembered if len(x) <= LONGEST else one)(x) for ids, x in zip(map(table.get, found), found)])
 
         _UNPACKED.clear()
         _UNPACKED[name] = coded
@@ -331,9 +337,9 @@ def encode(docs: DataFrame, path: str, text: str = "text", into: str = "ids", mo
         coded = _chunk_coder(name, shared)
         for batch in slices(batches, text):
             texts = pc.fill_null(batch.column(text).cast(pa.binary()), b"").to_pylist()
-            found = [b"".join(coded(chunk) for s in _stretches(t.decode("utf-8", "replace")) for chunk in _PYTHON_CHUNK.split(s)) for t in texts]
+            found = [b"".join(coded(_PYTHON_CHUNK.split(s)) for s in _stretches(t.decode("utf-8", "replace"))) for t in texts]
             ends = np.cumsum([0, *map(len, found)]) // 8
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), "<i8")))
+            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int64)))
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=[*batch.schema.names, into])
 
     return docs.mapInArrow(look_up, StructType([*docs.schema, StructField(into, ArrayType(LongType()))]))
