@@ -251,3 +251,25 @@ def test_byte_bpe(docs, most):
         ids = library.encode_ordinary(text or "")
         assert (got[i].n_tokens, got[i].ids_sha256, got[i].decoded_sha256) == (len(ids), sha(",".join(map(str, ids)).encode()), sha((text or "").encode())), text
     assert bpe.report(docs([]), path).collect() == []
+
+
+def test_byte_bpe_merges():
+    """Words of any length as the library merges them, whether by list or by heap."""
+    import tiktoken
+
+    ranks = bpe._ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rnd = random.Random(2)
+    words = ["".join(rnd.choice("abcdefgéи漢") for _ in range(n)) for n in [*range(1, 80), 500, 50_000]] + ["a" * 3000, "ab" * 1500]
+    for word in words:
+        want = library.encode_ordinary(word)
+        assert bpe.merged(word.encode(), ranks) == want and bpe._merged_by_heap(word.encode(), ranks) == want
+
+
+def test_byte_bpe_stretches(monkeypatch):
+    """A text is cut at once or in stretches with the same result."""
+    text = "one two  three\n four's 5, six \u3000seven\x85 eight\x1c nine " * 40
+    whole = bpe._PYTHON_CHUNK.split(text)
+    monkeypatch.setattr(bpe, "STRETCH", 7)
+    assert [c for s in bpe._stretches(text) for c in bpe._PYTHON_CHUNK.split(s)] == whole
+    assert "".join(whole) == text
