@@ -5,16 +5,16 @@ its bytes: each step looks up the rank of every neighbouring pair in a literal r
 and merges the pair of the lowest rank, leftmost first. The id of a merged piece is its
 rank.
 
-Work is done once per distinct word where it pays. The corpus' chunks (what stands
+Work is done once per distinct word where it pays. The corpus' parts (what stands
 between spaces) are counted, and with them the words in them. The most frequent words (at
 most MOST_WORDS of at most LONGEST bytes and as many ids each, usually some 10 MB
 together) go through the fold as rows. Tasks look the words of their texts up in that
 table, which is broadcast. All other words are merged where they stand by the same ranks in
 Python, some thirty times as fast as the interpreted fold, so none is left out. Texts are
-never shuffled, only the counts of distinct chunks and words are.
+never shuffled, only the counts of distinct parts and words are.
 
-Words over LONGEST bytes merge all places of a pair in one step wherever no new pair can
-then rank lower, so a long run of letters takes few steps.
+Words over LONGEST bytes keep their pairs in a heap, so a long run of letters takes
+n log n steps.
 
 NULL encodes to no ids, as the empty text does.
 """
@@ -56,8 +56,7 @@ STRETCH = 1 << 20
 _PYTHON_PATTERN, _PYTHON_CHUNK = (re.sub(r"\\x\{(\w+)\}", lambda m: chr(int(m[1], 16)), p) for p in (PATTERN, CHUNK_START))
 _PYTHON_CHUNK = re.compile(_PYTHON_CHUNK)
 
-# An entry of the pair table: left id + 1, then 20 bits of rank, then one bit that is set
-# if only one place may merge at a time: the piece is part of a pair that ranks lower.
+# An entry of the pair table: left id + 1, then 20 bits of rank, then a spare bit.
 _RANK = 1 << 20
 _PAIR_SLOTS = 1 << 18
 _PLACE = 1 << 24
@@ -80,13 +79,11 @@ def _vocabulary(path: str) -> tuple[str, str, str, str]:
     """
     ranks = _ranks(path)
     rows: dict[int, dict[int, int]] = defaultdict(dict)
-    wary = set()
     for token, rank in ranks.items():
         for cut_at in range(1, len(token)):
             left, right = ranks.get(token[:cut_at]), ranks.get(token[cut_at:])
             if left is not None and right is not None:
                 rows[left][right] = rank
-                wary.update(x for x in (left, right) if x >= rank)
     most = max(ranks.values()) + 1
     start, slots = [0] * most, [0] * (_PAIR_SLOTS + most)
     for left, row in sorted(rows.items(), key=lambda x: -len(x[1])):
@@ -95,7 +92,7 @@ def _vocabulary(path: str) -> tuple[str, str, str, str]:
             at = (at + 7919) % _PAIR_SLOTS
         start[left] = at
         for right, rank in row.items():
-            slots[at + right] = (left + 1) * 2 * _RANK + 2 * rank + (rank in wary)
+            slots[at + right] = (left + 1) * 2 * _RANK + 2 * rank
     pieces = [""] * most
     for token, rank in ranks.items():
         pieces[rank] = token.hex()
@@ -133,26 +130,14 @@ def _merge_one(start: Column, slots: Column, ids: Column, pairs: Column, low: Co
     return let(F.array_position(pairs, low).cast("int"), at_place)
 
 
-def _merge_all(start: Column, slots: Column, ids: Column, pairs: Column, low: Column) -> Column:
-    """Every place of the pair, left to right; in a run of overlapping places every other."""
-    rank = _id(low)
-    marks = F.array_join(F.transform(pairs, lambda r: F.when(F.shiftright(r, 24) == F.shiftright(low, 24), "1").otherwise("0")), "")
-    chosen = F.split(F.regexp_replace(marks, "11", "10"), "")
-    merged = lambda c: F.filter(
-        F.transform(ids, lambda x, i: F.when(F.get(c, i) == "1", rank).when(F.get(c, i - 1) == "1", F.lit(-1).cast("long")).otherwise(x)), lambda x: x >= 0
-    )
-    return let(let(chosen, merged), lambda x: F.struct(x.alias("ids"), _pairs(start, slots, x).alias("pairs")))
-
-
 def _fold(start: Column, slots: Column, ids: Column) -> Column:
     """Merges until no pair has a rank; the steps that remain then do nothing."""
 
     def step(state: Column, _: Column) -> Column:
         def merge(low: Column) -> Column:
             args = start, slots, state["ids"], state["pairs"], low
-            many = (F.size(state["ids"]) > LONGEST) & (low.bitwiseAND(F.lit(_PLACE)) == 0)
             done = F.struct(state["ids"].alias("ids"), F.expr("cast(array() AS array<bigint>)").alias("pairs"))
-            return F.when(low >= _NONE, done).when(many, _merge_all(*args)).otherwise(_merge_one(*args))
+            return F.when(low >= _NONE, done).otherwise(_merge_one(*args))
 
         return F.when(F.size(state["pairs"]) == 0, state).otherwise(let(F.array_min(state["pairs"]), merge))
 
@@ -202,11 +187,6 @@ def cut(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
 
-def chunks(text: Column) -> Column:
-    """A text cut before every space that starts a word; no word crosses a cut."""
-    return F.split(F.coalesce(text, F.lit("")), CHUNK_START)
-
-
 def _frequent(counted: DataFrame, most: int) -> DataFrame:
     """The words of (word, n) above the lowest half power of two that leaves at most
     ``most`` of them. The driver sees one number per level."""
@@ -225,7 +205,9 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = M
     """The frequent words of a corpus and their ids, as an Arrow stream: at most ``most``
     words of at most LONGEST bytes. Their distinct rows go through the fold."""
     spark = docs.sparkSession
-    found = docs.select(F.explode(chunks(F.col(f"`{text}`"))).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    # cut at every space, as words that this shows otherwise than the pattern are merged later
+    parts = F.split(F.coalesce(F.col(f"`{text}`"), F.lit("")), " ")
+    found = docs.select(F.explode(parts).alias("part")).groupBy("part").agg(F.count("*").alias("n")).select(F.concat(F.lit(" "), "part").alias("word"), "n")
     words = found.select(F.explode(cut(F.col("word"))).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("n"))
     kept = _frequent(materialize(words), most)
     spread = kept.repartition(2 * spark.sparkContext.defaultParallelism, "word")
