@@ -13,7 +13,7 @@ than documents), then the rules (two 4-byte symbols each), their expanded length
 each), and the symbols (2 bytes each, or 4 if one needs them; the width stands before).
 
 The words between ASCII white space are encoded once per task and kept in a bounded cache,
-as the tokenizer never joins them. NULL is an empty text, so only the end id. Rows that
+as the tokenizer never joins them; marks after a word's last letter are encoded apart. NULL is an empty text, so only the end id. Rows that
 share a doc_id are ordered by their text's hash.
 """
 
@@ -22,7 +22,9 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 from itertools import count as count_up
+from unicodedata import is_normalized
 from uuid import uuid4
 
 import numpy as np
@@ -58,11 +60,15 @@ def _width(top: int) -> int:
 
 
 # -- grammar ---------------------------------------------------------------
+def _slot(code: np.ndarray) -> np.ndarray:
+    return ((code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).view(np.int64)
+
+
 def _frequent_pairs(code: np.ndarray, open_: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The most frequent codes, sorted; where they stand, and which stands there. Counted by
     a hash first: only codes in the fullest slots are counted one by one, unless none of
     these is frequent enough."""
-    slot = ((code.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).view(np.int64)
+    slot = _slot(code)
     full = np.bincount(slot, minlength=_COUNT_SLOTS)
     for least in sorted({LEAST_COUNT, max(LEAST_COUNT, int(np.partition(full, -4 * most)[-4 * most]))}, reverse=True):
         place = np.flatnonzero((full >= least)[slot] & open_)
@@ -74,9 +80,15 @@ def _frequent_pairs(code: np.ndarray, open_: np.ndarray, most: int) -> tuple[np.
     chosen = np.sort(found[np.lexsort((found, -count))[:most]])
     if not len(chosen):
         return chosen, place[:0], place[:0]
-    at = np.minimum(np.searchsorted(chosen, held), len(chosen) - 1)
-    hit = chosen[at] == held
-    return chosen, place[hit], at[hit]
+    # looked up by slot; of two chosen codes with one slot the other waits for the next round
+    mine = _slot(chosen)
+    number = np.full(_COUNT_SLOTS, -1, np.int32)
+    number[mine] = np.arange(len(chosen))
+    chosen = chosen[number[mine] == np.arange(len(chosen))]
+    number[_slot(chosen)] = np.arange(len(chosen))
+    at = number[slot[place]]
+    hit = np.flatnonzero(chosen[at] == held)  # -1 takes the last code, which is not there
+    return chosen, place[hit], at[hit].astype(np.int64)
 
 
 def compress(tokens: np.ndarray, end_id: int = END_ID, rounds: int | None = None, per_round: int = RULES_PER_ROUND) -> tuple[np.ndarray, np.ndarray, int]:
@@ -180,11 +192,36 @@ class TokenFile:
 
 
 # -- encoding --------------------------------------------------------------
-_TAIL = ".,;:!?"
+# ASCII marks that the tokenizer cuts from a letter before them, and that begin neither a
+# contraction nor a special token.
+_TAIL = ".,;:!?*$%&#@^~=+-_/\\()[]{}\"`"
+# Letters up to here never join a space, and stay letters in lower case.
+_LATIN = "\u0250"
+_JOINED = 1000
+# Letters that stay one letter in lower case and in normal form, so that marks after them
+# are cut off: Latin, Cyrillic, kana, Chinese characters, Hangul syllables.
+_LAST_LETTER = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{24f}\x{400}-\x{481}\x{48a}-\x{52f}\x{3041}-\x{3096}\x{30a1}-\x{30fa}\x{4e00}-\x{9fa5}\x{ac00}-\x{d7a3}]$"
+
+
+def _gather(flat: np.ndarray, begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` that begin at ``begin`` and have ``n`` entries, end to end."""
+    before = np.cumsum(n) - n
+    return flat[np.arange(int(n.sum())) + np.repeat(begin - before, n)]
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()  # many times as fast as to_pylist
+
+
+def _joins(word: str) -> bool:
+    """Whether a word is one run of letters for the tokenizer, also among others."""
+    if word.isascii():
+        return word.isalpha()
+    return max(word) < _LATIN and word.isalpha() and word.lower().isalpha() and is_normalized("NFC", word)
 
 
 class _Cache:
-    """Ids of words and chunks seen by this Python worker, end to end in one array.
+    """Ids of words seen by this Python worker, end to end in one array.
 
     At most CACHED_WORDS entries are kept, beyond what one slice of texts needs; then it
     starts over.
@@ -202,66 +239,75 @@ class _Cache:
     def clear(self) -> None:
         self.number: dict[str, int] = {"": 0}
         self.flat, self.used = np.empty(1 << 20, np.uint32), 0
-        self.start, self.count = [0], [0]
+        self.start, self.count = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
-    def _store(self, ids: np.ndarray) -> int:
-        at, self.used = self.used, self.used + len(ids)
+    def _store(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        """Keep the ids of new words, which stand end to end."""
+        at, low = self.used, len(self.number)
+        high, self.used = low + len(words), self.used + len(ids)
         if self.used > len(self.flat):
-            self.flat = np.concatenate([self.flat[:at], np.empty(self.used, np.uint32)])
+            self.flat = np.concatenate([self.flat[:at], np.empty(2 * self.used - at, np.uint32)])
+        if high > len(self.start):
+            self.start, self.count = (np.concatenate([x[:low], np.zeros(2 * high - low, np.int64)]) for x in (self.start, self.count))
         self.flat[at : self.used] = ids
-        return at
+        self.start[low:high], self.count[low:high] = at + np.cumsum(counts) - counts, counts
+        self.number.update(zip(words, range(low, high)))
+
+    def _encoded(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        """Encode words. Plain ASCII words are encoded as one text, in which the last id of
-        each word is marked; all others alone."""
-        plain = [w for w in words if w.isascii() and w.isalpha()]
-        for i in range(0, len(plain), 2000):
-            part = plain[i : i + 2000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
-            stops = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            at = self._store(ids)
-            for w, a, b in zip(part, [0, *stops], stops, strict=False):
-                self._add(w, at + a, b - a)
-            if len(stops) != len(part):
-                raise ValueError("a word has more or fewer than one marked id")
-        other = [w for w in words if not (w.isascii() and w.isalpha())]
-        for w, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            self._add(w, self._store(np.array(found.ids, np.uint32)), len(found.ids))
-
-    def _add(self, word: str, start: int, count: int) -> None:
-        self.number[word] = len(self.start)
-        self.start.append(start)
-        self.count.append(count)
-
-    def numbers(self, chunks: list[str]) -> np.ndarray:
-        """The entry of each chunk, learned where it is new."""
-        known = self.number
-        new = [c for c in chunks if c not in known]
-        if len(known) + len(new) > CACHED_WORDS:
+        """Encode new words. Runs of letters are encoded many at a time as one text, in which
+        the last id of each word is marked; all others alone."""
+        alone, joined = [], []
+        for w in words:
+            (joined if _joins(w) else alone).append(w)
+        parts = [joined[i : i + _JOINED] for i in range(0, len(joined), _JOINED)]
+        for part, found in zip(parts, self._encoded([" ".join(p) for p in parts])):
+            ids = np.array(found, np.uint32)
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(part):
+                self._store(part, ids, np.diff(stops, prepend=0))
+            else:  # a letter that the tokenizer does not know as one
+                alone += part
+        lists = self._encoded(alone)
+        self._store(alone, np.fromiter(chain.from_iterable(lists), np.uint32), np.fromiter(map(len, lists), np.int64, len(lists)))
+
+    def _numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The entry of each word or tail, learned where it is new."""
+        coded = pieces.dictionary_encode()
+        distinct = _strings(coded.dictionary)
+        self._learn([x for x in distinct if x not in self.number])
+        return np.fromiter((self.number[x] for x in distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+
+    def chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks end to end, and how many each has."""
+        words, tails = _split(chunks)
+        if len(self.number) + len(words) > CACHED_WORDS:
             self.clear()
-            known, new = self.number, [c for c in chunks if c]
-        parts = [_split(c) for c in new]
-        self._learn([*dict.fromkeys(w for part in parts for w in part if w not in known)])
-        for chunk, (word, tail) in zip(new, parts):
-            if chunk not in known:
-                a, b = known[word], known[tail]
-                if not tail:
-                    self._add(chunk, self.start[a], self.count[a])
-                    continue
-                pieces = [self.flat[self.start[x] : self.start[x] + self.count[x]] for x in (a, b)]
-                self._add(chunk, self._store(np.concatenate(pieces)), self.count[a] + self.count[b])
-        return np.fromiter((known[c] for c in chunks), np.int64, len(chunks))
+        which = np.stack([self._numbers(words), self._numbers(tails)], axis=1).ravel()
+        n = self.count[which]
+        return _gather(self.flat, self.start[which], n), n[::2] + n[1::2]
 
 
 _CACHES: dict[str, _Cache] = {}
 
 
-def _split(chunk: str) -> tuple[str, str]:
-    """A chunk as a word and the punctuation after it, where these are encoded apart."""
-    core = chunk.rstrip(_TAIL)
-    if not core or not core[-1].isalpha():
-        return chunk, ""
-    return core.lower() if core.isascii() else core, chunk[len(core) :]
+def _split(chunks: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Chunks as words and the marks after them, where these are encoded apart. A plain word
+    is put in lower case, as the tokenizer does."""
+    core = pc.ascii_rtrim(chunks, characters=_TAIL)
+    apart = pc.match_substring_regex(core, _LAST_LETTER)
+    words = pc.if_else(apart, core, chunks)
+    plain = pc.match_substring_regex(words, "^[A-Za-z]+$")
+    words = pc.if_else(plain, pc.ascii_lower(words), words)
+    # a tail is what its chunk has beyond the word
+    n = pc.subtract(pc.binary_length(chunks), pc.binary_length(words)).to_numpy(zero_copy_only=False)
+    tails = [""] * len(chunks)
+    held = np.flatnonzero(n)
+    for i, chunk, k in zip(held.tolist(), _strings(chunks.take(pa.array(held))), n[held].tolist()):
+        tails[i] = chunk[-k:]
+    return words, pa.array(tails, pa.large_string())
 
 
 def encode(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
@@ -270,21 +316,18 @@ def encode(texts: pa.Array, path: str, end_id: int = END_ID) -> tuple[np.ndarray
     lists = pc.ascii_split_whitespace(texts)
     coded = lists.flatten().dictionary_encode()
     cache = _CACHES.get(path) or _CACHES.setdefault(path, _Cache(path))
-    number = cache.numbers(coded.dictionary.to_pylist())
-    index = number[coded.indices.to_numpy()]
-    n, begin = np.array(cache.count)[index], np.array(cache.start)[index]
+    flat, count = cache.chunks(coded.dictionary)
+    index = coded.indices.to_numpy()
+    n = count[index]
     bounds = lists.offsets.to_numpy()
     bounds = bounds - bounds[0]
     # the end id is one more piece after each text's last chunk
     upto = np.concatenate([[0], np.cumsum(n)])
     per_text = upto[bounds[1:]] - upto[bounds[:-1]] + 1
     out = np.full(int(per_text.sum()), end_id, np.uint32)
-    if len(n):
-        total = int(upto[-1])
-        source = np.arange(total) - np.repeat(upto[:-1] - begin, n)
-        kept = np.ones(len(out), bool)
-        kept[np.cumsum(per_text) - 1] = False
-        out[kept] = cache.flat[source]
+    kept = np.ones(len(out), bool)
+    kept[np.cumsum(per_text) - 1] = False
+    out[kept] = _gather(flat, (np.cumsum(count) - count)[index], n)
     return out, per_text
 
 

@@ -143,6 +143,31 @@ def test_words_are_encoded_as_the_library_does():
         assert ids[a:b].tolist() == [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1], text
 
 
+def test_words_and_marks_of_all_kinds_are_encoded_as_the_library_does():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer = Tokenizer.from_file(path)
+    rnd = random.Random(8)
+    parts = ["a", "Word", "\u00e9t\u00e9", "\u00c9T\u00c9", "\u0130", "\u0149", "\u01f0", "\u00aa", "\u00df", "W\u030a", "e\u0301", "\u0301", "\u4e2d\u6587", "\u0958", "\ufb1d", "\u0438\u0439", "7", "\u00b2", "'s", "'", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "$$$", "***", "%", "#", "...", "!?", "_", "-", ")", "\"", "`", "\\", "\u00a0", "\u200b", "\u2014", "\U0001f600", "\x1c"]
+    texts = ["".join(rnd.choices([*parts, " "], k=rnd.randint(1, 12))) for _ in range(4000)]
+    ids, count = token_files.encode(pa.array(texts), path)
+    at = np.concatenate([[0], np.cumsum(count)])
+    for text, a, b in zip(texts, at[:-1], at[1:]):
+        assert ids[a:b].tolist() == [*tokenizer.encode(text, add_special_tokens=False).ids, 1], ascii(text)
+
+
+def test_the_word_cache_starts_over(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    texts = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}," for i in range(k, k + 90)) for k in range(0, 500, 45)]
+    whole = token_files.encode(pa.array(texts), path)
+    monkeypatch.setattr(token_files, "CACHED_WORDS", 200)
+    monkeypatch.setattr(token_files, "_CACHES", {})
+    parts = [token_files.encode(pa.array([t]), path) for t in texts]
+    assert (np.concatenate([p[0] for p in parts]) == whole[0]).all()
+    assert len(token_files._CACHES[path].number) <= 200
+
+
 def test_rounds_go_on_until_nothing_is_frequent():
     rnd = np.random.default_rng(4)
     passage = rnd.integers(2, 30_000, 1500)
