@@ -112,6 +112,10 @@ def _scores(bigrams: Column, able: Column, known: Column, least: float) -> Colum
     return F.filter(F.transform(able, one), lambda s: s["dice"] >= least)
 
 
+# Lengths at which a window's own bigrams are counted, in widest windows.
+_LENGTHS = (2, 8, 32, 128, 512, 2048)
+
+
 def _places(pairs: Column) -> Column:
     """Every bigram with its place and where the same bigram stands before and after."""
     far = (1 << 31) - 1
@@ -126,10 +130,26 @@ def _places(pairs: Column) -> Column:
     return let(F.array_sort(F.transform(pairs, lambda p, k: F.struct(p.alias("pair"), k.alias("at")))), linked)
 
 
+def _reach(marked: Column, a: Column, span: Column, widest: Column) -> Column:
+    """How many of the ``span`` places from ``a`` on the windows have to be followed: the first
+    of some lengths, each four times the last, that holds more than ``widest`` own bigrams."""
+    own = lambda n: F.size(F.filter(F.slice(marked, a["at"] + 1, n), lambda p: p["before"] < a["at"]))
+    reach = None
+    for times in _LENGTHS:
+        n = widest * times
+        enough = lambda c, then: F.when(c, then) if reach is None else reach.when(c, then)  # noqa: E731, B023
+        reach = enough(span <= n, span)
+        reach = reach.when(own(n) > widest, n)
+    return reach.otherwise(span)
+
+
 def _windows(places: Column, t: Column, fresh: Column, least: float) -> Column:
     """(dice, license_id, start, end) per start at which windows with a fresh bigram reach the
     threshold: the best Dice, and where the first of them ends."""
 
+    # more own bigrams than this keep any window below the threshold
+    widest = F.floor(t["n"] * (2 - least) / least).cast("int") + 1
+
     def from_(marked: Column, hits: Column) -> Column:
         def one(a: Column) -> Column:
             def step(w: Column, p: Column) -> Column:
@@ -145,11 +165,15 @@ def _windows(places: Column, t: Column, fresh: Column, least: float) -> Column:
                     seen.alias("fresh"),
                 )
 
-            stop = F.least(a["after"] - 1, F.element_at(hits, -1)["at"])
             zero = F.struct(F.lit(0).alias("own"), F.lit(0).alias("shared"), F.lit(0.0).alias("dice"), F.lit(-1).alias("end"), F.lit(False).alias("fresh"))
-            return F.aggregate(F.slice(marked, a["at"] + 1, stop - a["at"] + 1), zero, step, lambda w: F.struct(w["dice"].alias("dice"), t["license_id"].alias("license_id"), a["at"].alias("start"), w["end"].alias("end")))
-
-        starts = F.filter(hits, lambda a, j: F.size(hits) - j >= t["fewest"])
+            done = lambda w: F.struct(w["dice"].alias("dice"), t["license_id"].alias("license_id"), a["at"].alias("start"), w["end"].alias("end"))
+            span = F.least(a["after"] - 1, F.element_at(hits, -1)["at"]) - a["at"] + 1
+            fold = lambda n: F.aggregate(F.slice(marked, a["at"] + 1, n), zero, step, done)
+            # a window without the fewest shared bigrams reaches nothing
+            return let(_reach(marked, a, span, widest), lambda n: F.when(a["need"] < a["at"] + n, fold(n)))
+
+        needed = F.transform(hits, lambda a, j: F.struct(a["at"].alias("at"), a["after"].alias("after"), F.get(hits, j + t["fewest"] - 1)["at"].alias("need")))
+        starts = F.filter(needed, lambda a: a["need"] < a["after"])
         return F.filter(F.transform(starts, one), lambda w: w["end"] >= 0)
 
     marked = F.transform(places, lambda p: F.struct(p["at"].alias("at"), p["before"].alias("before"), p["after"].alias("after"), F.array_contains(t["bigrams"], p["pair"]).alias("hit"), F.array_contains(fresh, p["pair"]).alias("fresh")))

@@ -228,6 +228,31 @@ def test_licenses(docs):
     assert licenses.report(docs([])).collect() == []
 
 
+def test_license_windows_end_where_they_are_too_wide(docs):
+    notice = " ".join(f"clause{i} term{i}" for i in range(30))
+    templates = [("one", notice)]
+    filler = lambda n, k: " ".join(f"w{i % k}" for i in range(n))
+    texts = [f"{filler(3000, 3000)} {notice} {filler(4000, 4000)} clause0 term0 clause1", f"clause0 term0 {filler(2500, 60)} {notice} {filler(2500, 60)} clause29 term29", f"{notice[:200]} {filler(4, 4)} {notice[200:]}", f"{notice[:200]} {filler(400, 400)} {notice[200:]}"]
+    rows = licenses.report(docs(list(enumerate(texts))), templates=templates).orderBy("doc_id").collect()
+
+    def best(text):
+        words, known = text.split(), set(zip(notice.split(), notice.split()[1:]))
+        pairs = list(zip(words, words[1:]))
+        hits = [i for i, p in enumerate(pairs) if p in known]
+        found = [0.0]
+        for start in hits:
+            own = set()
+            for p in pairs[start : hits[-1] + 1]:
+                own.add(p)
+                if p in known:
+                    found.append(2 * len(own & known) / (len(own) + len(known)))
+        return max(found) if max(found) >= licenses.LEAST_DICE else None
+
+    expected = [best(t) for t in texts]
+    assert [r.best_dice for r in rows] == expected
+    assert expected[:2] == [1.0, 1.0] and expected[2] and not expected[3]
+
+
 def test_licenses_wherever_lines_break(docs):
     """Windows against every window of words, and whole licence texts as files hold them."""
     dice_of = lambda w, t: 2 * len(w & t) / (len(w) + len(t))
