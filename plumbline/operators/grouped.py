@@ -9,8 +9,6 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.session import materialize
-
 GROUP = ("_group_a", "_group_b")
 
 
@@ -35,33 +33,27 @@ def summarize(
     columns ``reads``, the number of ``distinct`` values of columns, and ``sets`` as sorted
     arrays of their values.
 
-    The columns in question are stored once and read back, with the group as two numbers.
+    Measures add up in each task, by the keys themselves. Distinct values and sets are
+    reduced in two steps, to one row per group and value before they meet, with the group
+    as two numbers instead of wide keys; so no row is copied per count and a group with
+    most rows is spread over all tasks until its values are few.
 
-    Measures of fixed width add up in each task, by two numbers instead of wide keys.
-    Distinct values and sets are reduced in two steps, to one row per group and value
-    before they meet, so no row is copied per count and a group with most rows is spread
-    over all tasks until its values are few. All parts end up dealt by the same two
-    numbers: joining them moves nothing.
+    Measures are one pass over ``df``, the sets one and each count one more: ``df`` should
+    be a stored table. A plan that uses only measures of the result reads ``df`` once, as
+    Spark leaves out the left joins it has no use for.
     """
     distinct, sets = distinct or {}, sets or {}
-    hashed = _group_hash(keys)
-    read = dict.fromkeys([*keys, *reads, *distinct.values(), *sets.values()])
-    keyed = materialize(df.select(*read, *[c.alias(name) for name, c in hashed.items()]))
-    values = {f"_set_{i}": source for i, source in enumerate(sets.values())}
-    named = {f"_key_{i}": k for i, k in enumerate(keys)}
-    faces = keyed.select(*GROUP, *[F.col(s).alias(n) for n, s in (named | values).items()]).distinct()
-    gathered = faces.groupBy(*GROUP).agg(
-        F.any_value(F.struct(*named)).alias("_keys"),
-        *[F.array_sort(F.collect_set(v)).alias(name) for v, name in zip(values, sets)],
-    )
-    out = keyed.groupBy(*GROUP).agg(*measures).join(gathered, list(GROUP))
+    used = df.select(*dict.fromkeys([*keys, *reads, *distinct.values(), *sets.values()]))
+    group = [c.alias(name) for name, c in _group_hash(keys).items()]
+    measured = used.groupBy(*keys).agg(*measures)
+    out = measured.select(*group, *measured.columns)
+    if sets:
+        values = {f"_set_{i}": source for i, source in enumerate(sets.values())}
+        faces = used.select(*group, *[F.col(s).alias(n) for n, s in values.items()]).distinct()
+        gathered = [F.array_sort(F.collect_set(v)).alias(name) for v, name in zip(values, sets)]
+        out = out.join(faces.groupBy(*GROUP).agg(*gathered), list(GROUP), "left")
     for name, source in distinct.items():
-        met = keyed.where(F.col(source).isNotNull()).select(*GROUP, F.col(source).alias("_value")).distinct()
+        met = used.where(F.col(source).isNotNull()).select(*group, F.col(source).alias("_value")).distinct()
         out = out.join(met.groupBy(*GROUP).agg(F.count("*").alias(name)), list(GROUP), "left")
     counts = {name: F.coalesce(name, F.lit(0).cast("bigint")) for name in distinct}
-    skip = {*GROUP, "_keys", *distinct}
-    return out.select(
-        *[F.col(f"_keys.{n}").alias(k) for n, k in named.items()],
-        *[c for c in out.columns if c not in skip],
-        *[c.alias(name) for name, c in counts.items()],
-    )
+    return out.select(*measured.columns, *sets, *[c.alias(name) for name, c in counts.items()])

@@ -395,9 +395,15 @@ class Domain:
     def meter_days(self) -> DataFrame:
         return facts.meter_daily(self.stored("checked"))
 
+    @cached_property
+    def meter_day_measures(self) -> DataFrame:
+        """Meter-days for plans that use neither their sets nor their distinct counts: one
+        pass over the readings, which are stored only if something else asked for it."""
+        return facts.meter_daily(self.checked)
+
     @cached_property
     def facility_days(self) -> DataFrame:
-        return facts.facility_daily(self.meter_days)
+        return facts.facility_daily(self.meter_day_measures)
 
     @cached_property
     def actual_vs_nominated(self) -> DataFrame:
@@ -405,7 +411,7 @@ class Domain:
 
     @cached_property
     def flow_reconciliation(self) -> DataFrame:
-        return facts.flow_reconciliation(self.meter_days, self.flow)
+        return facts.flow_reconciliation(self.meter_day_measures, self.flow)
 
     @cached_property
     def run_fact(self) -> DataFrame:

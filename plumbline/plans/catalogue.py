@@ -485,7 +485,7 @@ def _(d):
 
 @query("flow_reconciliation_per_meter_day")
 def _(d):
-    return facts.flow_reconciliation(d.meter_days, d.flow, per_meter_day=True)
+    return facts.flow_reconciliation(d.meter_day_measures, d.flow, per_meter_day=True)
 
 
 @query("exception_fact")

@@ -34,6 +34,22 @@ def test_groups_of_nothing_and_one_group_with_most_rows(spark):
     assert (got.n, got.ids, got.codes) == (19_000, 19_000, 7)
 
 
+def test_measures_alone_are_one_pass(spark):
+    df = spark.range(0, 1000, 1, 3).selectExpr("cast(id % 40 AS string) AS k", "id", "cast(id % 3 AS string) AS code")
+    got = summarize(df, ["k"], [F.count("*").alias("n")], [], distinct={"ids": "id"}, sets={"all": "code"}).select("k", "n")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Range (") == 1
+    assert rows(got) == sorted((str(k), 25) for k in range(40))
+
+
+def test_facility_days_store_no_checked_readings(spark):
+    from plumbline.plans.bindings import Domain
+
+    d = Domain(spark, "/root/testdata/sf0.001")
+    assert d.facility_days.count() > 0 and d.flow_reconciliation.count() > 0
+    assert "checked" not in d._stored
+
+
 def test_no_fact_expands_its_rows():
     import inspect
 
