@@ -47,8 +47,14 @@ WINDOW = 50
 GRAM = 16
 BLOCK_BYTES = 16 << 20
 
-# Text bytes per group of the count and of the sort.
+# Text bytes per group of the count and of the sort, and the unit, rounded up, in which the
+# bytes of a minimizer are counted: one stretch is one unit.
 GROUP_BYTES = 4 << 20
+UNIT = 128
+
+# Leading bits of a minimizer by which it is counted. Two that share them count as one, so a
+# stretch may be sent in vain (1 of 700 at 30 GB), but none is left out.
+COUNT_BITS = 40
 LAST_ID = (1 << 63) - 1
 
 _ROWS = "part int, block string, kind string, n int, a binary, b binary, c binary, texts binary"
@@ -118,6 +124,7 @@ def _mark_block(batch: pa.RecordBatch, block: str, window: int, gram: int, group
         ends.append(at[1:] + total)
         total += len(data)
     h, start, count, name = (np.concatenate([x[k] for x in found]) for k in range(4))
+    h >>= np.uint64(64 - COUNT_BITS)
     ends = np.concatenate(ends).astype(np.int64)
     order = np.lexsort((start, count, name, h))
     h, start, count, name = h[order], start[order], count[order], name[order]
@@ -129,11 +136,11 @@ def _mark_block(batch: pa.RecordBatch, block: str, window: int, gram: int, group
     many = np.minimum.reduceat(doc, run) != np.maximum.reduceat(doc, run) if len(run) else np.empty(0, bool)
     held = np.add.reduceat(np.where(new, count + window - 1, 0), run) if len(run) else np.empty(0, np.int64)
     h = h[run]
-    edge = np.searchsorted(_part_of(h, groups), np.arange(groups + 1))
+    edge = np.searchsorted(_part_of(h << np.uint64(64 - COUNT_BITS), groups), np.arange(groups + 1))
     for g in range(groups):
         a, b = int(edge[g]), int(edge[g + 1])
         if a < b:
-            yield _row(part=g, block=block, kind="keys", n=b - a, a=pack(np.diff(h[a:b], prepend=np.uint64(0))), b=np.packbits(many[a:b]).tobytes(), c=pack(held[a:b].astype(np.uint32)))
+            yield _row(part=g, block=block, kind="keys", n=b - a, a=pack(np.diff(h[a:b], prepend=np.uint64(0))), b=np.packbits(many[a:b]).tobytes(), c=pack((-(-held[a:b] // UNIT)).astype(np.uint32)))
     packed = [pack(x.astype(np.uint32)) for x in (start, count, size)] if len(start) else [b"", b"", b""]
     head = np.array([len(start), len(size), groups], "<i8").tobytes() + edge.astype("<i8").tobytes()
     yield _row(part=-1 - hash_of(block) % groups, block=block, kind="head", n=len(head), a=packed[0], b=packed[1], c=head + packed[2], texts=_texts(batch, ends))
@@ -162,7 +169,7 @@ def _counter(hot_bytes: int):
         size = np.diff(np.append(first, len(order)))
         shared, hot = np.empty(len(h), bool), np.empty(len(h), bool)
         shared[order] = np.repeat((size > 1) | np.logical_or.reduceat(many[order], first), size)
-        hot[order] = np.repeat(np.add.reduceat(held[order], first) > hot_bytes, size)
+        hot[order] = np.repeat(UNIT * np.add.reduceat(held[order], first) > hot_bytes, size)
         cut = np.cumsum([0] + [r["n"] for r in rows])
         out = [{"part": r["part"], "block": r["block"], "kind": "shared", "n": r["n"], "a": np.packbits(shared[a:b]).tobytes(), "b": np.packbits(hot[a:b]).tobytes()} for r, a, b in zip(rows, cut[:-1], cut[1:])]
         return pa.Table.from_pylist([x | {"c": None, "texts": None} for x in out], schema=_ROWS_ARROW)
@@ -180,8 +187,8 @@ def _per_text(texts: pa.Table, owner: np.ndarray, starts: np.ndarray, ends: np.n
 
 
 def _shared_runs(table: pa.Table) -> pa.Table:
-    """A block's stretches with a shared minimizer, per text: start and number of windows,
-    negative for a hot one."""
+    """A block's stretches with a shared minimizer, per text, neighbours joined: start and
+    number of windows, negative for hot ones. Their minimizers part them again."""
     rows = table.to_pylist()
     (head,) = [r for r in rows if r["kind"] == "head"]
     n_runs, n_keys, groups = np.frombuffer(head["c"], "<i8", 3).tolist()
@@ -202,6 +209,12 @@ def _shared_runs(table: pa.Table) -> pa.Table:
     order = np.argsort(start)
     start, count = start[order], count[order]
     ends = texts.column("end").to_numpy()
+    if len(start):
+        # no window crosses an edge between texts, so neighbours are of one text
+        new = np.ones(len(start), bool)
+        new[1:] = (start[1:] != start[:-1] + np.abs(count[:-1])) | ((count[1:] < 0) != (count[:-1] < 0))
+        first = np.flatnonzero(new)
+        start, count = start[first], np.add.reduceat(count, first)
     owner = np.searchsorted(ends, start, side="right")
     begin = np.concatenate([[0], ends[:-1]])
     return _per_text(texts, owner, start - begin[owner], count)
@@ -221,7 +234,7 @@ def _send_block(pieces: list, block: str, window: int, groups: int) -> Iterator[
     one = order[first]
     edge = np.searchsorted(_part_of(least[one], groups), np.arange(groups + 1))
     body = data.tobytes()
-    packer = zstandard.ZstdCompressor(level=1)
+    packer = zstandard.ZstdCompressor(level=3)
     for g in range(groups):
         a, b = int(edge[g]), int(edge[g + 1])
         if a < b:
@@ -241,18 +254,21 @@ def _sender(window: int, gram: int, groups: int, block_bytes: int):
         for piece in slices(batches, "text"):
             data, at = utf8(piece.column("text"))
             starts, counts = piece.column("starts"), piece.column("ends")
-            owner = np.repeat(np.arange(piece.num_rows), np.diff(starts.offsets.to_numpy()))
-            inner = starts.flatten().to_numpy().astype(np.int64)
-            count = counts.flatten().to_numpy().astype(np.int64)
-            hot = count < 0
+            holder = np.repeat(np.arange(piece.num_rows), np.diff(starts.offsets.to_numpy()))
+            low = at[holder] + starts.flatten().to_numpy()
+            n = counts.flatten().to_numpy().astype(np.int64)
+            h, begin, count, sums = minimizers(data, at, window, gram)
+            # the stretches that lie in an interval
+            of = np.searchsorted(low, begin, side="right") - 1
+            run = np.flatnonzero((of >= 0) & (begin < (low + np.abs(n))[of])) if len(low) else np.empty(0, np.int64)
+            of, h, begin, count = of[run], h[run], begin[run], count[run]
+            owner, hot = holder[of], n[of] < 0
             # the strings of a hot stretch go one by one
-            parts = np.where(hot, -count, 1)
+            parts = np.where(hot, count, 1)
             step = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
-            owner, inner, hot = np.repeat(owner, parts), np.repeat(inner, parts) + step, np.repeat(hot, parts)
+            owner, hot, least, where = np.repeat(owner, parts), np.repeat(hot, parts), np.repeat(h, parts), np.repeat(begin, parts) + step
+            inner = where - at[owner]
             length = np.where(hot, 1, np.repeat(count, parts)) + window - 1
-            where = at[owner] + inner
-            h, begin, _, sums = minimizers(data, at, window, gram)
-            least = h[np.searchsorted(begin, where, side="right") - 1] if len(where) else np.empty(0, np.uint64)
             name = _names(sums, where, length)
             least = np.where(hot, mixed(name), least)
             ids = piece.column("row_id").fill_null(LAST_ID).to_numpy()

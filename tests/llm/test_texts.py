@@ -7,6 +7,7 @@ import random
 import tempfile
 
 import brute
+import pyarrow as pa
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -152,3 +153,21 @@ def test_packed_places_of_a_long_text(docs, monkeypatch):
 def test_empty_tables(docs, operator):
     assert operator(docs([])).collect() == []
     assert operator(docs([None, ""])).count() == 2
+
+
+@pytest.mark.parametrize("bits", [3, suffixes.COUNT_BITS])
+def test_neighbouring_shared_stretches_travel_as_one(bits, monkeypatch):
+    """A copied text is one interval, and minimizers that only share their leading bits are
+    sent in vain but never left out."""
+    monkeypatch.setattr(suffixes, "COUNT_BITS", bits)
+    rng = random.Random(5)
+    copied, alone = ("".join(rng.choices("abcdefgh ", k=700)) for _ in range(2))
+    batch = pa.RecordBatch.from_pydict({"row_id": pa.array([1, 2, 3]), "row_text": pa.array([7, 7, 9]), "text": [copied, copied, alone]})
+    marked = pa.Table.from_batches(list(suffixes._mark_block(batch, "b", 50, 16, 4)))
+    kinds, parts = (marked.column(c).to_pylist() for c in ("kind", "part"))
+    answers = [marked.filter(pa.array([k == "head" for k in kinds]))]
+    for part in sorted({p for p, k in zip(parts, kinds) if k == "keys"}):
+        answers.append(suffixes._counter(1 << 20)(marked.filter(pa.array([p == part for p in parts]))))
+    found = {r["row_id"]: (r["starts"], r["ends"]) for r in suffixes._shared_runs(pa.concat_tables(answers)).to_pylist()}
+    assert found[1] == found[2] == ([0], [651])
+    assert (3 in found) == (bits == 3)
