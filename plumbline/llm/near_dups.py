@@ -227,7 +227,9 @@ def _left_over_pairs(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, th
     labelled = buckets.join(labels, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("label"))
     sizes = labelled.groupBy("bucket", "label").agg(F.count("*").alias("n"))
     open_ = sizes.groupBy("bucket").agg(F.count("*").alias("parts"), F.sum("n").alias("all"), F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most")).where("parts > 1")
-    members = labelled.join(open_, "bucket").withColumn("loose", F.col("label") != F.col("main"))
+    # stored, as the steps below read it four times: each would repeat all exchanges above, and
+    # the driver keeps a thread and its memory for every exchange of a plan
+    members = materialize(labelled.join(open_, "bucket").withColumn("loose", F.col("label") != F.col("main")))
     # one bucket of several with the same classes is enough
     same = members.groupBy("bucket").agg(F.expr("bit_xor(xxhash64(node))").alias("mark"), F.count("*").alias("n")).groupBy("mark", "n").agg(F.min("bucket").alias("bucket"))
     members = members.join(same.select("bucket"), "bucket", "left_semi").join(nodes, "node")

@@ -171,3 +171,14 @@ def test_neighbouring_shared_stretches_travel_as_one(bits, monkeypatch):
     found = {r["row_id"]: (r["starts"], r["ends"]) for r in suffixes._shared_runs(pa.concat_tables(answers)).to_pylist()}
     assert found[1] == found[2] == ([0], [651])
     assert (3 in found) == (bits == 3)
+
+
+def test_left_over_pairs_are_a_small_plan(spark):
+    """Every exchange of a plan takes a thread and memory of the driver."""
+    buckets = spark.createDataFrame([(1, 10), (1, 11), (1, 12), (2, 10), (2, 11), (3, 11), (3, 12)], "bucket long, node long")
+    labels = spark.createDataFrame([(10, 10), (11, 10)], "node long, component long")
+    nodes = spark.createDataFrame([(n, 5, 0, [0] * 32, []) for n in (10, 11, 12)], "node long, n_shingles long, level int, sketch array<long>, half array<long>")
+    pairs = near_dups._left_over_pairs(buckets, labels, nodes, False, 85)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 12
+    assert sorted(map(tuple, pairs.collect())) == [(10, 12), (11, 12)]
