@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import SLICE_BYTES, fresh, gathered, slices, spans, starts_of_runs, utf8
+from plumbline.llm.common import fresh, slices, spans, utf8
 from plumbline.llm.words import rolling_hashes, whole_windows, word_hashes
 
 WINDOW = 35
@@ -37,6 +37,9 @@ BLOCK_BYTES = 16 << 20
 # Text bytes whose window hashes meet in one group of the count.
 GROUP_BYTES = 24 << 20
 
+# In place of a window's word: the block holds the hash several times.
+_MANY = np.uint32(0xFFFFFFFF)
+
 _PACKED = "part int, block string, kind string, n int, keys binary, more binary"
 _SPANS = "row_id long, row_text long, starts array<int>, ends array<int>"
 
@@ -53,37 +56,59 @@ def unpack(data: bytes, n: int, dtype) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(-1, n).T).view(dtype).reshape(n)
 
 
-def _pack_block(batch: pa.RecordBatch, block: str, window: int, groups: int) -> Iterator[dict]:
-    """One row per hash range, and one with the texts' keys and what the block knows itself."""
-    hashes, counts = [], [np.zeros(1, np.int64)]
-    for piece in slices(iter([batch]), "text"):
+def _hash_pieces(pieces: Iterator[pa.RecordBatch], window: int, block_bytes: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, pa.Table]]:
+    """Neighbouring texts until they hold ``block_bytes``: the hashes of their windows, the
+    words these start at, the words before each text, and the texts' keys. Texts are
+    hashed as they come and not held."""
+    hashes, places, counts, keys, size, words = [], [], [np.zeros(1, np.int64)], [], 0, 0
+
+    def block():
+        h, place = np.concatenate(hashes), np.concatenate(places)
+        return h, place, np.concatenate(counts), pa.Table.from_batches(keys)
+
+    for piece in pieces:
         data, at = utf8(piece.column("text"))
-        words, first = word_hashes(data, at)
-        h = rolling_hashes(words, window)
+        size += len(data)
+        found, first = word_hashes(data, at)
         inside = whole_windows(first, window)
-        hashes.append((h[inside], np.flatnonzero(inside) + counts[-1][-1]))
-        counts.append(first[1:] + counts[-1][-1])
-    h = np.concatenate([x for x, _ in hashes])
-    place = np.concatenate([x for _, x in hashes]).astype(np.uint32)
+        hashes.append(rolling_hashes(found, window)[inside])
+        places.append((np.flatnonzero(inside) + words).astype(np.uint32))
+        counts.append(first[1:] + words)
+        words += int(first[-1])
+        # taken, as a slice would hold the texts as well
+        keys.append(piece.select(["row_id", "row_text"]).take(pa.array(np.arange(piece.num_rows))))
+        if size >= block_bytes:
+            yield block()
+            hashes, places, counts, keys, size, words = [], [], [np.zeros(1, np.int64)], [], 0, 0
+    if sum(k.num_rows for k in keys):
+        yield block()
+
+
+def _again(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of sorted values: which equal the one before, and which the one after."""
+    same = h[1:] == h[:-1]
+    return np.append(np.zeros(min(len(h), 1), bool), same), np.append(same, np.zeros(min(len(h), 1), bool))
+
+
+def _pack_block(h: np.ndarray, place: np.ndarray, words: np.ndarray, keys: pa.Table, block: str, groups: int) -> Iterator[dict]:
+    """One row per hash range, and one with the texts' keys and what the block knows itself."""
     order = np.argsort(h, kind="stable")
     h, place = h[order], place[order]
-    run = starts_of_runs(h)
-    size = np.diff(np.append(run, len(h)))
-    known = np.sort(place[np.repeat(size > 1, size)])
-    h, place, many = h[run], place[run], size > 1
-    part = ((h >> np.uint64(32)) * np.uint64(groups)) >> np.uint64(32)
-    edge = np.searchsorted(part, np.arange(groups + 1, dtype=np.uint64))
-    for g in range(groups):
-        a, b = int(edge[g]), int(edge[g + 1])
+    del order
+    old, many = _again(h)
+    known = np.sort(place[old | many])
+    place[many] = _MANY
+    h, place = h[~old], place[~old]
+    # the first hash of each range: part = (h >> 32) * groups >> 32
+    edge = np.searchsorted(h, np.array([-(-(g << 32) // groups) << 32 for g in range(1, groups)], np.uint64))
+    edge = [0, *edge.tolist(), len(h)]
+    for g, (a, b) in enumerate(zip(edge[:-1], edge[1:])):
         if a < b:
-            steps = np.diff(h[a:b], prepend=np.uint64(0))
-            yield {"part": g, "block": block, "kind": "keys", "n": b - a, "keys": pack(steps), "more": pack(np.where(many[a:b], np.uint32(0xFFFFFFFF), place[a:b]))}
-    words = np.concatenate(counts).astype(np.int64)
-    row_id, row_text = batch.column("row_id"), batch.column("row_text")
-    texts = pa.RecordBatch.from_arrays([row_id, row_text, pa.array(words[1:])], ["row_id", "row_text", "end"])
+            yield {"part": g, "block": block, "kind": "keys", "n": b - a, "keys": pack(np.diff(h[a:b], prepend=np.uint64(0))), "more": pack(place[a:b])}
+    texts = keys.combine_chunks().append_column("end", pa.array(words[1:]))
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, texts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(texts)
+        out.write_table(texts)
     yield {"part": -1 - hash_of(block) % groups, "block": block, "kind": "texts", "n": len(known), "keys": pack(np.diff(known, prepend=np.uint32(0))) if len(known) else b"", "more": sink.getvalue().to_pybytes()}
 
 
@@ -94,8 +119,8 @@ def hash_of(name: str) -> int:
 def _packer(window: int, groups: int, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for i, batch in enumerate(gathered(slices(batches, "text"), "text", block_bytes)):
-            for row in _pack_block(batch, f"{task}-{i}", window, groups):
+        for i, held in enumerate(_hash_pieces(slices(batches, "text"), window, block_bytes)):
+            for row in _pack_block(*held, f"{task}-{i}", groups):
                 yield pa.RecordBatch.from_pylist([row], schema=_PACKED_ARROW)
 
     return run
@@ -107,24 +132,24 @@ _PACKED_ARROW = pa.schema([("part", pa.int32()), ("block", pa.string()), ("kind"
 def _count_group(table: pa.Table) -> pa.Table:
     """Hashes of one range from all blocks: the places of those seen more than once.
     The rows with the texts' keys pass through."""
-    rows = table.to_pylist()
-    if rows and rows[0]["kind"] == "texts":
+    if table.num_rows and table.column("kind")[0].as_py() == "texts":
         return table
-    blocks = [np.cumsum(unpack(r["keys"], r["n"], np.uint64), dtype=np.uint64) for r in rows]
-    place = np.concatenate([unpack(r["more"], r["n"], np.uint32) for r in rows])
-    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [r["n"] for r in rows])
-    h = np.concatenate(blocks)
-    many = place == 0xFFFFFFFF
+    count = table.column("n").to_numpy()
+    edge = np.concatenate([[0], np.cumsum(count)])
+    h, place = np.empty(edge[-1], np.uint64), np.empty(edge[-1], np.uint32)
+    for a, n, keys, more in zip(edge, count, table.column("keys"), table.column("more")):
+        np.cumsum(unpack(keys.as_buffer(), n, np.uint64), out=h[a : a + n])
+        place[a : a + n] = unpack(more.as_buffer(), n, np.uint32)
     order = np.argsort(h, kind="stable")
-    run = starts_of_runs(h[order])
-    size = np.diff(np.append(run, len(order)))
+    old, many = _again(h[order])
     repeated = np.empty(len(h), bool)
-    repeated[order] = np.repeat((size > 1) | np.logical_or.reduceat(many[order], run), size)
-    repeated &= ~many
+    repeated[order] = old | many
+    repeated &= place != _MANY  # the block knows those itself
     out = []
-    for i in np.unique(owner[repeated]):
-        found = np.sort(place[repeated & (owner == i)])
-        out.append({"part": rows[0]["part"], "block": rows[i]["block"], "kind": "places", "n": len(found), "keys": pack(np.diff(found, prepend=np.uint32(0))), "more": None})
+    for a, b, part, block in zip(edge[:-1], edge[1:], table.column("part").to_pylist(), table.column("block").to_pylist()):
+        found = np.sort(place[a:b][repeated[a:b]])
+        if len(found):
+            out.append({"part": part, "block": block, "kind": "places", "n": len(found), "keys": pack(np.diff(found, prepend=np.uint32(0))), "more": None})
     return pa.Table.from_pylist(out, schema=_PACKED_ARROW)
 
 

@@ -5,8 +5,12 @@ from __future__ import annotations
 import os
 import random
 import tempfile
+import tracemalloc
+from functools import partial
+from types import SimpleNamespace
 
 import brute
+import numpy as np
 import pyarrow as pa
 import pytest
 import zstandard
@@ -182,3 +186,23 @@ def test_left_over_pairs_are_a_small_plan(spark):
     plan = pairs._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") <= 12
     assert sorted(map(tuple, pairs.collect())) == [(10, 12), (11, 12)]
+
+
+def test_packing_and_counting_windows_hold_few_arrays(monkeypatch):
+    words = np.random.default_rng(7).integers(0, 50_000, 400_000)
+    texts = [" ".join(f"w{w}" for w in words[a : a + 400]) for a in range(0, len(words), 400)]
+    batch = pa.RecordBatch.from_pydict({"row_id": pa.array(range(len(texts)), pa.int64()), "row_text": pa.array(range(len(texts)), pa.int64()), "text": texts})
+    monkeypatch.setattr(repeats, "slices", partial(repeats.slices, limit=1 << 16))
+    monkeypatch.setattr(repeats.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    peaks = []
+    tracemalloc.start()
+    try:
+        for work in (lambda: [r for b in repeats._packer(35, 1, 16 << 20)(iter([batch])) for r in b.to_pylist()], lambda: repeats._count_group(table)):
+            tracemalloc.reset_peak()
+            start = tracemalloc.get_traced_memory()[0]
+            out = work()
+            peaks.append((tracemalloc.get_traced_memory()[1] - start) / len(words))
+            table = pa.Table.from_pylist([r for r in out if r["kind"] == "keys"], schema=repeats._PACKED_ARROW) if isinstance(out, list) else None
+    finally:
+        tracemalloc.stop()
+    assert peaks[0] < 62 and peaks[1] < 45, peaks  # bytes a window
