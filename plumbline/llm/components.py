@@ -22,18 +22,23 @@ def _least(edges: DataFrame) -> DataFrame:
     return lower.unionByName(least.select("u", F.col("m").alias("v")))
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one least node, which itself hangs on none."""
+    ends = edges.selectExpr("u AS node", "1 AS up", "0 AS top").unionByName(edges.selectExpr("v AS node", "0 AS up", "1 AS top"))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("top").alias("top"))
+    return not nodes.agg(F.max(F.expr("up + top > 1"))).first()[0]
+
+
 def components(links: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) of every linked node; the component is its least node.
 
-    Alternates two steps that hang nodes onto ever smaller ones until nothing changes,
-    about log(n) times. Each result is written to the shared folder, so a lost executor
-    repeats one step, and only a count and a checksum come to the driver.
+    Alternates two steps that hang nodes onto ever smaller ones until all are settled,
+    about log(n) times; links that already hang on their least node take none, so pairs of
+    (node, component) and new links are a good start for more of them. Each result is
+    written to the shared folder, so a lost executor repeats one step, and only one flag
+    comes to the driver.
     """
     edges = materialize(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u != v").distinct())
-    seen = None
-    while True:
-        state = edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(u, v))")).first()
-        if tuple(state) == seen or not state[0]:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select("v", "v").toDF("node", "component").distinct())
-        seen = tuple(state)
+    while not _settled(edges):
         edges = materialize(_least(_nearest(edges).distinct()).distinct())
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select("v", "v").toDF("node", "component").distinct())

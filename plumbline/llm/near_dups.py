@@ -257,7 +257,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     buckets = materialize(entries.join(full, "bucket").distinct())
 
     able = buckets.select("node").distinct()
-    keys = first.join(able, F.col("the_node") == F.col("node"), "left_semi")
+    keys = materialize(first.join(able, F.col("the_node") == F.col("node"), "left_semi"))
     same = F.col("r.row_id").eqNullSafe(F.col("k.row_id")) & (F.col("r.row_text") == F.col("k.row_text"))
     sketches = materialize(chosen.alias("r").join(keys.alias("k"), same).select("r.node", "r.n_shingles", "r.level", "r.sketch", "r.half").dropDuplicates(["node"]))
     texts = rows.alias("r").join(keys.alias("k"), same).select(F.col("the_node").alias("node"), "r.text")
@@ -272,11 +272,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     labels = components(links, "a", "b")
     asked = materialize(_left_over_pairs(buckets, labels, sketches, True, percent))
     more = materialize(_confirmed(asked, sets, percent))
-    links = links.unionByName(more)
-    found = components(links, "a", "b")
-    if asked.count() > more.count():  # else every close pair is inside a component by now
+    confirmed = more.count()
+    # components go on from the ones found before; every step is a plan that the driver keeps
+    found = components(labels.toDF("a", "b").unionByName(more), "a", "b") if confirmed else labels
+    if asked.count() > confirmed:  # else every close pair is inside a component by now
         more = _confirmed(_left_over_pairs(buckets, found, sketches, False, percent), sets, percent)
-        found = components(links.unionByName(more), "a", "b")
+        found = components(found.toDF("a", "b").unionByName(more), "a", "b")
 
     labelled = nodes.select("node", "least").join(found, "node", "left").select("node", "least", F.coalesce("component", "node").alias("label"))
     named = labelled.groupBy("label").agg(F.min("least").alias("component_id"))

@@ -16,7 +16,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, near_dups, quality, repeats, suffixes
+from plumbline.llm import components, decontaminate, near_dups, quality, repeats, suffixes
 
 
 def ordered(rows):
@@ -206,3 +206,13 @@ def test_packing_and_counting_windows_hold_few_arrays(monkeypatch):
     finally:
         tracemalloc.stop()
     assert peaks[0] < 62 and peaks[1] < 45, peaks  # bytes a window
+
+
+def test_settled_links_take_no_step(spark, monkeypatch):
+    """A step is a plan of some ten exchanges, and the driver keeps what it needs for each."""
+    steps, nearest = [], components._nearest
+    monkeypatch.setattr(components, "_nearest", lambda edges: steps.append(1) or nearest(edges))
+    found = lambda pairs: dict(components.components(spark.createDataFrame(pairs, "a long, b long"), "a", "b").collect())
+    assert found([(1, 2), (3, 1), (5, 9), (4, 4), (2, 1)]) == {1: 1, 2: 1, 3: 1, 5: 5, 9: 5}
+    assert found([(4, 4)]) == {} and not steps
+    assert found([(1, 2), (2, 3), (9, 3), (9, 8), (7, 8), (11, 10)]) == {**dict.fromkeys((1, 2, 3, 7, 8, 9), 1), 10: 10, 11: 10} and len(steps) < 4
