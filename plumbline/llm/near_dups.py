@@ -50,6 +50,9 @@ SAMPLE = 1024
 SKETCH_BITS = 2048
 BLOCK = 2000
 
+# Bitmaps of 32,768 bits that mark the rows of the compared classes: 2 MB, whatever the input.
+BITMAPS = 512
+
 _SIGNED = "row_id long, row_text long, node long, n_shingles long, bands array<long>, level int, sketch array<long>, half array<long>"
 _FACTORS = (mixed(np.arange(1, SAMPLES + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1))
 
@@ -140,6 +143,17 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([piece.column("node"), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))], ["node", "shingles"])
 
 
+def _marked(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows that are among ``keys`` by (row_id, row_text), and a few others: the hashes of
+    the keys are bits of BITMAPS bitmaps, which go to every task. A join with ``keys`` then
+    moves these rows only, not the texts of all."""
+    place = F.pmod(F.xxhash64("row_id", "row_text"), F.lit(BITMAPS << 15))
+    bits = keys.select(F.shiftright(place, 15).alias("bitmap"), place.bitwiseAND(32767).alias("bit")).groupBy("bitmap").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.shiftright(place.bitwiseAND(32767), 3).cast("int") + 1, 1)), 16, 10).cast("int")
+    held = F.getbit(byte, place.bitwiseAND(7).cast("int")) == 1
+    return rows.join(F.broadcast(bits), (F.shiftright(place, 15) == F.col("bitmap")) & held, "left_semi")
+
+
 def _differing_bits(a: Column, b: Column) -> Column:
     bits = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("int"))
     return F.aggregate(bits, F.lit(0), lambda s, x: s + x)
@@ -259,8 +273,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     able = buckets.select("node").distinct()
     keys = materialize(first.join(able, F.col("the_node") == F.col("node"), "left_semi"))
     same = F.col("r.row_id").eqNullSafe(F.col("k.row_id")) & (F.col("r.row_text") == F.col("k.row_text"))
-    sketches = materialize(chosen.alias("r").join(keys.alias("k"), same).select("r.node", "r.n_shingles", "r.level", "r.sketch", "r.half").dropDuplicates(["node"]))
-    texts = rows.alias("r").join(keys.alias("k"), same).select(F.col("the_node").alias("node"), "r.text")
+    sketches = materialize(_marked(chosen, keys).alias("r").join(keys.alias("k"), same).select("r.node", "r.n_shingles", "r.level", "r.sketch", "r.half").dropDuplicates(["node"]))
+    texts = _marked(rows, keys).alias("r").join(keys.alias("k"), same).select(F.col("the_node").alias("node"), "r.text")
     sets = materialize(texts.mapInArrow(_sets, "node long, shingles array<long>").dropDuplicates(["node"]))
 
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("size"))

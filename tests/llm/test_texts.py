@@ -116,6 +116,18 @@ def test_left_over_classes_meet_every_block(docs, monkeypatch):
     assert ordered(got) == ordered(brute.near(list(enumerate(chain))))
 
 
+def test_only_rows_of_compared_classes_travel(spark):
+    """Rows without an id or a text are told by their hash as well; no row is shuffled."""
+    rows = spark.range(20000).selectExpr("if(id % 1000 = 0, null, id) AS row_id", "xxhash64(nullif(id, 300)) AS row_text", "id")
+    keys = rows.where("id % 100 = 0").select("row_id", "row_text")
+    kept = near_dups._marked(rows, keys)
+    assert {r.id for r in kept.collect()} >= set(range(0, 20000, 100))
+    assert kept.count() < 300
+    # the only exchanges are those of the bitmaps
+    assert "hashpartitioning(row_" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert near_dups._marked(rows, keys.limit(0)).count() == 0
+
+
 def test_benchmark_passages(spark, docs, corpus):
     items = [(1, corpus[34][1]), (2, "one two"), (3, None), (4, "!!"), (None, corpus[5][1]), (2, "One, two"), (7, " ".join(corpus[0][1].split()[:4])), (8, "a a a")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
