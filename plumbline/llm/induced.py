@@ -81,47 +81,64 @@ def _types(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return smaller, np.minimum(repeat, 255).astype(np.uint8)
 
 
-def _rank(symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray | None, depth: int) -> tuple[np.ndarray, np.ndarray]:
+class _Words:
+    """As many symbols as fit into 64 bits, from every place on: they compare like the
+    symbols. Past the end there are zeros."""
+
+    def __init__(self, symbols: np.ndarray):
+        held = np.bincount(symbols) > 0
+        self.bits = int(np.count_nonzero(held)).bit_length()
+        words = np.cumsum(held).astype(np.uint64)[symbols]
+        self.per = 1
+        while 2 * self.per * self.bits <= 64:
+            after = np.concatenate([words[self.per :], np.zeros(min(self.per, len(words)), np.uint64)])
+            words <<= np.uint64(self.per * self.bits)
+            words |= after
+            self.per *= 2
+        self.at = words
+
+    def cut(self, words: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """The first ``n`` (1 at least) symbols of each word."""
+        rest = (np.maximum(self.per - n, 0) * self.bits).astype(np.uint64)
+        return words >> rest << rest
+
+
+def _rank(words: _Words, starts: np.ndarray, ends: np.ndarray | None, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """An order of the strings at ``starts`` (to ``ends``, or ``depth`` symbols of the suffix)
-    and the rank of each; equal strings share one. Some symbols at a time, ties only."""
-    bits = max(1, int(symbols.max(initial=0) + 1).bit_length())
-    per = max(1, 62 // bits)
+    and the rank of each; equal strings share one. A word at a time, ties only. The last
+    symbol of the text is unique, so what is tied lies inside."""
     rank = np.zeros(len(starts), np.int64)
-    tied, step = np.arange(len(starts)), 0
-    while len(tied) and (ends is not None or step * per < depth):
-        key = np.zeros(len(tied), np.int64)
-        for j in range(per):
-            at = starts[tied] + step * per + j
-            inside = at < (len(symbols) if ends is None else ends[tied])
-            key = (key << bits) | np.where(inside, symbols[np.minimum(at, len(symbols) - 1)] + 1, 0)
-        order = np.lexsort((key, rank[tied]))
-        key, old = key[order], rank[tied][order]
+    tied, done = np.arange(len(starts)), 0
+    while len(tied) and (ends is not None or done < depth):
+        key, old = words.at[starts[tied] + done], rank[tied]
+        if ends is not None:
+            key = words.cut(key, ends[tied] - starts[tied] - done)
+        order = np.lexsort((key, old)) if done else np.argsort(key)
+        key, old, tied = key[order], old[order], tied[order]
         new = np.ones(len(order), bool)
         new[1:] = (key[1:] != key[:-1]) | (old[1:] != old[:-1])
         group = np.flatnonzero(new)
         size = np.diff(np.append(group, len(order)))
-        first = np.flatnonzero(np.concatenate([[True], old[1:] != old[:-1]]))
+        first = starts_of_runs(old)
         base = np.repeat(first, np.diff(np.append(first, len(order))))
-        rank[tied[order]] = old + np.repeat(group, size) - base
+        rank[tied] = old + np.repeat(group, size) - base
+        done += words.per
         more = np.repeat(size > 1, size)
         if ends is not None:
-            more &= starts[tied[order]] + (step + 1) * per < ends[tied[order]]
-        tied, step = tied[order][more], step + 1
+            more &= starts[tied] + done < ends[tied]
+        tied = tied[more]
     return np.argsort(rank, kind="stable"), rank
 
 
-def _common(text: np.ndarray, order: np.ndarray, cap: int) -> np.ndarray:
+def _common(words: _Words, order: np.ndarray, cap: int) -> np.ndarray:
     """Common prefix of each suffix with the one before it, up to ``cap``."""
     out = np.zeros(len(order), np.uint8)
-    left = np.arange(1, len(order))
-    for j in range(cap):
-        a, b = order[left - 1] + j, order[left] + j
-        inside = (a < len(text)) & (b < len(text))
-        left, a, b = left[inside], a[inside], b[inside]
-        left = left[text[a] == text[b]]
-        if not len(left):
-            break
-        out[left] = j + 1
+    left, done = np.arange(1, len(order)), 0
+    steps = np.uint64(1) << (np.arange(words.per) * words.bits).astype(np.uint64)
+    while len(left) and done < cap:
+        differ = words.at[order[left - 1] + done] ^ words.at[order[left] + done]
+        out[left] = np.minimum(done + words.per - np.searchsorted(steps, differ, side="right"), cap)
+        left, done = left[differ == 0], done + words.per
     return out
 
 
@@ -129,21 +146,18 @@ class _Range:
     """Smallest value between two places of an array, for many pairs at once."""
 
     def __init__(self, values: np.ndarray):
-        self._tables, width = [values], 1
-        while 2 * width <= len(values):
-            last = self._tables[-1]
-            self._tables.append(np.minimum(last[:-width], last[width:]))
-            width *= 2
+        self._size = len(values)
+        self._tables = np.empty((len(values).bit_length(), len(values)), np.uint8)
+        self._tables[0] = values
+        for k in range(1, len(self._tables)):
+            half = 1 << (k - 1)
+            np.minimum(self._tables[k - 1, :-half], self._tables[k - 1, half:], out=self._tables[k, :-half])
 
     def least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Over low .. high, both included; low <= high."""
-        level = np.frexp((high - low + 1).astype(np.float64))[1] - 1
-        out = np.empty(len(low), np.uint8)
-        for k in np.unique(level):
-            at = level == k
-            table = self._tables[k]
-            out[at] = np.minimum(table[low[at]], table[high[at] - (1 << int(k)) + 1])
-        return out
+        level = np.frexp((high - low + 1).astype(np.float64))[1].astype(np.int64) - 1
+        row, flat = level * self._size, self._tables.reshape(-1)
+        return np.minimum(flat[row + low], flat[row + high - (1 << level) + 1])
 
 
 class _Pass:
@@ -200,12 +214,12 @@ class _Pass:
         return np.concatenate([p for p, _ in parts]), np.concatenate([x for _, x in parts])
 
 
-def _starred_order(text: np.ndarray, smaller: np.ndarray, starred: np.ndarray, cap: int, memory: int, base: int) -> np.ndarray:
+def _starred_order(text: np.ndarray, words: _Words, smaller: np.ndarray, starred: np.ndarray, cap: int, memory: int, base: int) -> np.ndarray:
     """The S* positions in suffix order."""
     if len(starred) <= base:
-        return starred[_rank(text, starred, None, cap)[0]]
+        return starred[_rank(words, starred, None, cap)[0]]
     ends = np.append(starred[1:] + 1, len(text))
-    _, rank = _rank(2 * text + smaller, starred, ends, 0)
+    _, rank = _rank(_Words(2 * text.astype(np.int64) + smaller), starred, ends, 0)
     names = np.unique(rank, return_inverse=True)[1].astype(np.int64)
     order, _ = sorted_suffixes(names, cap, memory, base) if names.max() + 1 < len(names) else (np.argsort(names), None)
     return starred[order]
@@ -215,15 +229,18 @@ def sorted_suffixes(text: np.ndarray, cap: int, memory: int = MEMORY, base: int
     """Suffix positions in order and each one's common prefix with the one before it, both
     exact for ``cap`` (at most 254) symbols. ``text`` is of small integers from 0 and ends
     with its only 0."""
-    text = text.astype(np.int64)
+    # a stable sort of symbols of 16 bits takes one pass
+    text = text.astype(np.uint16 if text.max() < 1 << 16 else np.int64)
     if len(text) == 1:
         return np.zeros(1, np.int64), np.zeros(1, np.uint8)
     smaller, repeat = _types(text)
     is_star = smaller.copy()
     is_star[0] = False
     is_star[1:] &= ~smaller[:-1]
-    star = _starred_order(text, smaller, np.flatnonzero(is_star), cap, memory, base)
-    star_prefix = _common(text, star, cap)
+    words = _Words(text)
+    star = _starred_order(text, words, smaller, np.flatnonzero(is_star), cap, memory, base)
+    star_prefix = _common(words, star, cap)
+    del words
     alphabet = int(text.max()) + 1
     symbols = np.flatnonzero(np.bincount(text, minlength=alphabet)).tolist()
     cut = np.searchsorted(text[star], np.arange(alphabet + 1))

@@ -126,7 +126,7 @@ def _mark_block(batch: pa.RecordBatch, block: str, window: int, gram: int, group
     h, start, count, name = (np.concatenate([x[k] for x in found]) for k in range(4))
     h >>= np.uint64(64 - COUNT_BITS)
     ends = np.concatenate(ends).astype(np.int64)
-    order = np.lexsort((start, count, name, h))
+    order = np.lexsort((name, h))  # stable: what is equal stays in order of its start
     h, start, count, name = h[order], start[order], count[order], name[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (name[1:] != name[:-1]) | (count[1:] != count[:-1])

@@ -3,7 +3,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from plumbline.llm.induced import sorted_suffixes
+from plumbline.llm.induced import _common, _Words, sorted_suffixes
 
 
 @pytest.mark.parametrize("memory", [3, 1 << 20])
@@ -21,3 +21,17 @@ def test_suffixes_in_order_with_their_common_prefixes(memory, base, cap):
         assert strings == sorted(strings)
         for a, b, k in zip(strings, strings[1:], common[1:]):
             assert k == next((j for j, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+@pytest.mark.parametrize("symbols", [2, 4, 200, 255, 400, 70000])
+def test_words_compare_like_their_symbols(symbols):
+    """Many symbols are compared at once, as many as 64 bits hold."""
+    rng = np.random.default_rng(symbols)
+    text = np.append(rng.integers(1, symbols, 300), 0)
+    words = _Words(text)
+    assert words.per == (8 if symbols in (200, 255) else words.per) and words.per * words.bits <= 64
+    strings = [tuple(text[i : i + words.per]) for i in range(len(text))]
+    assert sorted(strings) == [strings[i] for i in np.argsort(words.at, kind="stable")]
+    order = np.array(sorted(range(len(text)), key=lambda i: tuple(text[i:])))
+    for k, a, b in zip(_common(words, order, 50)[1:], order, order[1:]):
+        assert k == next(j for j in range(301) if text[a + j] != text[b + j] or j == 50)
