@@ -22,9 +22,10 @@ KINDS = {
     "code": CODE,
     # Y/N in any case and padding to boolean, anything else to NULL.
     "flag": f"CASE {CODE} WHEN 'Y' THEN true WHEN 'N' THEN false END",
-    "date": f"try_cast({TEXT} AS date)",
+    # A cast leaves out blanks around a date or time by itself, and takes blank text for NULL.
+    "date": "try_cast(cast({0} AS string) AS date)",
     # Zone-free; text with an offset becomes UTC.
-    "timestamp": f"CASE WHEN {TEXT} RLIKE '[0-9]:[0-9.:]+ *([zZ]|[+-][0-9:]+)$' THEN cast(to_utc_timestamp(try_cast({TEXT} AS timestamp), current_timezone()) AS timestamp_ntz) ELSE try_cast({TEXT} AS timestamp_ntz) END",
+    "timestamp": "CASE WHEN trim(cast({0} AS string)) RLIKE '[0-9]:[0-9.:]+ *([zZ]|[+-][0-9:]+)$' THEN cast(to_utc_timestamp(try_cast(cast({0} AS string) AS timestamp), current_timezone()) AS timestamp_ntz) ELSE try_cast(cast({0} AS string) AS timestamp_ntz) END",
     "double": "try_cast({0} AS double)",
     "int": "try_cast({0} AS int)",
     "long": "try_cast({0} AS bigint)",

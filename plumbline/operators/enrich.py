@@ -76,11 +76,14 @@ def latest_event_context(
     keep_raw: bool = False,
     order: tuple[str, ...] = ("event_ingested_at", "event_id"),
 ) -> DataFrame:
-    """One event per reading id, the latest, under ``event_`` names."""
+    """One event per reading id, the latest, under ``event_`` names, with whatever columns
+    of an event's context ``events`` has. Of events alike in ``order`` the one with the
+    greater values counts."""
     names = EVENT_COLUMNS | RAW_EVENT_COLUMNS if keep_raw else EVENT_COLUMNS
     wanted = dict.fromkeys(["raw_reading_id", *order, *[c for c in names if c in events.columns]])
     usable = events.where(F.col("raw_reading_id").isNotNull()).select(*wanted)
-    newest = keep_one_per_key(usable, ["raw_reading_id"], list(order))
+    rest = [c for c in wanted if c != "raw_reading_id" and c not in order]
+    newest = usable.groupBy("raw_reading_id").agg(F.max(F.struct(*order, *rest)).alias("_row")).select("raw_reading_id", "_row.*")
     return newest.selectExpr("raw_reading_id", *prefixed(newest, "event_", names))
 
 

@@ -19,18 +19,22 @@ from plumbline.operators.standardize import SPECS, standardize_table
 from plumbline.session import materialize, shared_folder
 from plumbline.sources.files import Landing, read_event_documents
 
+# What the rules read of an event, and the meter-days' sets.
+RULE_EVENT_COLUMNS = (
+    "payload_quality_code", "payload_raw_status", "payload_device_status", "payload_communication_status", "payload_signal_quality",
+)
 AS_OF = "2024-01-28"
 DETECTED_AT = "2024-02-01 00:00:00"
 FIRST_BATCH, RETRY_BATCH = "SEED-001", "SEED-002"
 
 READING_TEXT = """
-    concat('RAW-', format_string('%09d', event_id)) AS raw_reading_id
-    concat(if(k = 88, ' MTX-', ' MTR-'), format_string('%05d', user_id)) AS meter_id
+    concat('RAW-', if(event_id BETWEEN 0 AND 999999999, lpad(event_id, 9, '0'), format_string('%09d', event_id))) AS raw_reading_id
+    concat(if(k = 88, ' MTX-', ' MTR-'), if(user_id BETWEEN 0 AND 99999, lpad(user_id, 5, '0'), format_string('%05d', user_id))) AS meter_id
     concat('FAC-', lpad((user_id + if(k = 97, 1, 0)) % 25, 3, '0')) AS facility_id
-    if(event_type = 'error' AND k = 99, 'n/a', date_format(ts, "yyyy-MM-dd'T'HH:00:00")) AS reading_timestamp
-    if(event_type = 'view' AND k = 98, '2024-13-45', date_format(ts, 'yyyy-MM-dd')) AS production_date
-    date_format(ts, 'yyyy-MM-dd') AS gas_day
-    if(k = 55, '', date_format(ts, "yyyy-MM-dd'T'HH:03:00")) AS poll_timestamp
+    if(event_type = 'error' AND k = 99, 'n/a', concat(hour, ':00:00')) AS reading_timestamp
+    if(event_type = 'view' AND k = 98, '2024-13-45', substring_index(hour, 'T', 1)) AS production_date
+    substring_index(hour, 'T', 1) AS gas_day
+    if(k = 55, '', concat(hour, ':03:00')) AS poll_timestamp
     if(k = 44, '  ', concat('SRC_', upper(event_type))) AS source_system
     concat('PLATFORM_', k % 4) AS polling_platform
     CASE k WHEN 7 THEN '' WHEN 11 THEN '0' WHEN 13 THEN cast(-value AS string) WHEN 17 THEN 'n/a' ELSE cast(value AS string) END AS volume
@@ -38,12 +42,12 @@ READING_TEXT = """
     cast(60 + k * 0.25D AS string) AS temperature
     CASE WHEN event_type = 'view' THEN 'GOOD' WHEN event_type = 'click' THEN ' good ' WHEN event_type = 'purchase' THEN 'ESTIMATED' WHEN event_type = 'signup' THEN 'questionable' WHEN k < 10 THEN 'STALE' WHEN k < 20 THEN 'BAD_CODE_X' WHEN k < 25 THEN '' ELSE 'MISSING' END AS quality_code
     CASE WHEN k = 7 THEN 'NULL_VOLUME' WHEN k = 13 THEN 'NEGATIVE_VOLUME' WHEN k = 97 THEN 'FACILITY_MISMATCH' WHEN k > 97 THEN 'LATE_ARRIVAL' WHEN event_type = 'error' AND k < 5 THEN 'NO_SIGNAL' WHEN event_type = 'error' AND k < 10 THEN 'STALE' WHEN event_type = 'signup' THEN 'review' ELSE 'valid' END AS raw_status
-    date_format(cast(date_format(ts, 'yyyy-MM-dd HH:00:00') AS timestamp_ntz) + make_dt_interval(0, 0, k * 15), "yyyy-MM-dd'T'HH:mm:ss") AS load_timestamp
-    if(k = 66, '', concat('BATCH-', date_format(ts, 'yyyyMMdd'))) AS batch_id
+    date_format(cast(concat(hour, ':00:00') AS timestamp_ntz) + make_dt_interval(0, 0, k * 15), "yyyy-MM-dd'T'HH:mm:ss") AS load_timestamp
+    if(k = 66, '', concat('BATCH-', replace(substring_index(hour, 'T', 1), '-', ''))) AS batch_id
 """
 
 METER_TEXT = """
-    concat('MTR-', format_string('%05d', c_custkey)) AS meter_id
+    concat('MTR-', if(c_custkey BETWEEN 0 AND 99999, lpad(c_custkey, 5, '0'), format_string('%05d', c_custkey))) AS meter_id
     concat('FAC-', lpad(c_custkey % 25, 3, '0')) AS facility_id
     c_name AS meter_name
     concat('TYPE_', c_nationkey % 5) AS meter_type
@@ -232,7 +236,8 @@ class Domain:
     # -- raw text tables ---------------------------------------------------
     @cached_property
     def raw_readings(self) -> DataFrame:
-        keyed = self.table("events").selectExpr("*", "cast(get_json_object(props, '$.k') AS int) AS k")
+        hour = """date_format(ts, "yyyy-MM-dd'T'HH") AS hour"""  # formatted once, as it is the dear part of a row
+        keyed = self.table("events").selectExpr("*", "cast(get_json_object(props, '$.k') AS int) AS k", hour)
         return keyed.selectExpr(*text_columns(READING_TEXT))
 
     @cached_property
@@ -398,8 +403,13 @@ class Domain:
     @cached_property
     def meter_day_measures(self) -> DataFrame:
         """Meter-days for plans that use neither their sets nor their distinct counts: one
-        pass over the readings, which are stored only if something else asked for it."""
-        return facts.meter_daily(self.checked)
+        pass over the readings, which are stored only if something else asked for it, with
+        only those columns of the events that rules and measures read."""
+        if "checked" in self._stored:
+            return facts.meter_daily(self.checked)
+        context = self.events.select("raw_reading_id", "event_ingested_at", "event_id", *RULE_EVENT_COLUMNS)
+        enriched = enrich.enrich_readings(self.stored("readings"), self.meters, self.facilities, context)
+        return facts.meter_daily(rules.check_readings(enriched, self.ctx))
 
     @cached_property
     def facility_days(self) -> DataFrame:
