@@ -183,16 +183,25 @@ def actual_vs_nominated(facility_days: DataFrame, nominations: DataFrame) -> Dat
 
 
 def flow_daily(extract: DataFrame, keys: Sequence[str] = ("meter_id", "facility_id", "production_date")) -> DataFrame:
-    """Flow-computer records per meter, facility and day."""
-    return extract.groupBy(*keys).agg(
+    """Flow-computer records per meter, facility and day.
+
+    Records are first added up per status and code, as plain numbers and in one pass; the
+    sets are collected of the few rows that are left, not of every record.
+    """
+    added = extract.groupBy(*keys, "validation_status", "exception_code").agg(
         F.sum("measured_volume").alias("flow_measured_volume"),
         F.sum("corrected_volume").alias("flow_corrected_volume"),
         F.count("*").alias("flow_record_count"),
         F.count_if(~F.col("is_approved")).alias("unapproved_flow_count"),
         F.count_if(F.col("close_status") != "CLOSED").alias("open_flow_count"),
+        F.max("last_updated_timestamp").alias("flow_last_updated_timestamp"),
+    )
+    sums = ("flow_measured_volume", "flow_corrected_volume", "flow_record_count", "unapproved_flow_count", "open_flow_count")
+    return added.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in sums],
         sorted_set("validation_status").alias("flow_validation_statuses"),
         sorted_set("exception_code").alias("flow_exception_codes"),
-        F.max("last_updated_timestamp").alias("flow_last_updated_timestamp"),
+        F.max("flow_last_updated_timestamp").alias("flow_last_updated_timestamp"),
     )
 
 

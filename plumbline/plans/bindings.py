@@ -81,10 +81,10 @@ FACILITY_TEXT = """
 
 FLOW_TEXT = """
     concat('FLOW-', l_orderkey, '-', l_linenumber) AS flow_record_id
-    concat('MTR-', format_string('%05d', l_suppkey)) AS meter_id
+    concat('MTR-', if(l_suppkey BETWEEN 0 AND 99999, lpad(l_suppkey, 5, '0'), format_string('%05d', l_suppkey))) AS meter_id
     concat('FAC-', lpad(l_suppkey % 25, 3, '0')) AS facility_id
-    concat('2024-01-', date_format(l_shipdate, 'dd')) AS production_date
-    concat('2024-01-', date_format(l_shipdate, 'dd')) AS gas_day
+    concat('2024-01-', lpad(day(l_shipdate), 2, '0')) AS production_date
+    concat('2024-01-', lpad(day(l_shipdate), 2, '0')) AS gas_day
     cast(if(l_discount = 0, 0, l_quantity) AS string) AS measured_volume
     cast(l_quantity * (1 + l_tax) AS string) AS corrected_volume
     if(l_returnflag = 'R', 'Y', 'n') AS estimated_flag
@@ -92,15 +92,15 @@ FLOW_TEXT = """
     if(l_returnflag = 'R', 'flow_mismatch', '') AS exception_code
     if(l_linestatus = 'F', 'Y', 'N') AS approved_flag
     if(l_linestatus = 'F', 'closed', 'open') AS close_status
-    concat('FB-', date_format(l_shipdate, 'dd')) AS flow_batch_id
-    concat('2024-01-', date_format(l_shipdate, 'dd'), 'T06:00:00') AS extracted_timestamp
-    concat('2024-01-', date_format(l_shipdate, 'dd'), 'T07:00:00') AS last_updated_timestamp
+    concat('FB-', lpad(day(l_shipdate), 2, '0')) AS flow_batch_id
+    concat('2024-01-', lpad(day(l_shipdate), 2, '0'), 'T06:00:00') AS extracted_timestamp
+    concat('2024-01-', lpad(day(l_shipdate), 2, '0'), 'T07:00:00') AS last_updated_timestamp
 """
 
 NOMINATION_TEXT = """
     concat('NOM-', o_orderkey) AS nomination_id
     concat('FAC-', lpad(o_custkey % 25, 3, '0')) AS facility_id
-    concat('2024-01-', date_format(o_orderdate, 'dd')) AS production_date
+    concat('2024-01-', lpad(day(o_orderdate), 2, '0')) AS production_date
     c_mktsegment AS product
     CASE WHEN o_orderpriority = '4-NOT SPECIFIED' AND o_orderstatus = 'P' THEN 'n/a' WHEN o_custkey % 25 = 7 THEN '0' ELSE cast(o_totalprice AS string) END AS nominated_volume
     o_orderpriority AS customer_group
