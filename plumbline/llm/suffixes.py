@@ -22,6 +22,9 @@ document then removes the strings whose smallest doc_id is below its own.
 A stretch that fills a third of the corpus is sent once per block of text and sorted once.
 Stretches are told apart by 64 bits of hash and their length.
 
+A block has a row per group, so the rows would grow with the square of the corpus: beyond
+FEW groups neighbouring ones travel as one row (a bundle) and are sorted one after the other.
+
 NULL is an empty text. A row without doc_id is later than all others. Rows that share a
 doc_id never remove from each other. Matches never cross documents.
 """
@@ -38,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import gathered, mixed, slices, spans, starts_of_runs, utf8
+from plumbline.llm.common import gathered, mixed, slices, starts_of_runs, utf8
 from plumbline.llm.induced import sorted_suffixes
 from plumbline.llm.repeats import count_groups, cut_at, hash_of, keyed, pack, unpack, with_spans
 from plumbline.llm.words import _VALUES, powers, whole_windows
@@ -47,11 +50,21 @@ WINDOW = 50
 GRAM = 16
 BLOCK_BYTES = 16 << 20
 
+# Text bytes hashed at once, so that the arrays stay in a core's cache, and bytes of the rows
+# that a task hands on at once.
+PIECE_BYTES = 1 << 18
+BATCH_BYTES = 1 << 20
+
 # Text bytes per group of the count and of the sort, and the unit, rounded up, in which the
 # bytes of a minimizer are counted: one stretch is one unit.
 GROUP_BYTES = 4 << 20
 UNIT = 128
 
+# Groups are bundled as soon as there are this many bundles, up to so many in a bundle: a
+# task holds the strings of a bundle, but sorts those of one group at a time.
+FEW = 256
+BUNDLE = 8
+
 # Leading bits of a minimizer by which it is counted. Two that share them count as one, so a
 # stretch may be sent in vain (1 of 700 at 30 GB), but none is left out.
 COUNT_BITS = 40
@@ -62,8 +75,31 @@ _ROWS_ARROW = pa.schema([("part", pa.int32()), ("block", pa.string()), ("kind",
 _RUNS = "row_id long, row_text long, starts array<int>, ends array<int>"
 
 
-def _row(**values) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pylist([{name: values.get(name) for name in _ROWS_ARROW.names}], schema=_ROWS_ARROW)
+def _batches(rows: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    """Rows by their named values; many small ones are handed on at once."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += sum(len(row.get(x) or b"") for x in ("a", "b", "c", "texts"))
+        if size >= BATCH_BYTES:
+            yield pa.RecordBatch.from_pylist(held, schema=_ROWS_ARROW)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema=_ROWS_ARROW)
+
+
+def _bundled(groups: int) -> tuple[int, int]:
+    """How many bundles there are, and how many groups each has."""
+    each = min(BUNDLE, max(1, groups // FEW))
+    return -(-groups // each), each
+
+
+def _order(values: np.ndarray, bits: int) -> np.ndarray:
+    """A stable order of 64-bit values below ``2**bits``: sorted with their place beside them."""
+    if len(values) > 1 << (64 - bits):
+        return np.argsort(values, kind="stable")
+    beside = np.uint64(64 - bits)
+    return (np.sort(values << beside | np.arange(len(values), dtype=np.uint64)) & ((np.uint64(1) << beside) - np.uint64(1))).astype(np.int64)
 
 
 def _prefix_sums(data: np.ndarray) -> np.ndarray:
@@ -113,37 +149,47 @@ def _names(sums: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarra
     return mixed((sums[start + length] - sums[start]) * powers(len(sums), inverse=True)[start]) if len(start) else np.empty(0, np.uint64)
 
 
-def _mark_block(batch: pa.RecordBatch, block: str, window: int, gram: int, groups: int) -> Iterator[pa.RecordBatch]:
-    """The block's distinct minimizers per range, with the bytes of their distinct stretches,
-    and its stretches in the same order."""
-    found, ends, total = [], [], 0
-    for piece in slices(iter([batch]), "text"):
+def _marked(batch: pa.RecordBatch, block: str, window: int, gram: int, groups: int) -> Iterator[dict]:
+    found, ends, total, docs = [], [], 0, 0
+    for piece in slices(iter([batch]), "text", PIECE_BYTES):
         data, at = utf8(piece.column("text"))
         h, start, count, sums = minimizers(data, at, window, gram)
-        found.append((h, start + total, count, _names(sums, start, count + window - 1)))
+        h >>= np.uint64(64 - COUNT_BITS)
+        doc = np.searchsorted(at[1:], start, side="right") + docs
+        found.append((h, (start + total).astype(np.uint32), count.astype(np.uint32), doc.astype(np.uint32), _names(sums, start, count + window - 1)))
         ends.append(at[1:] + total)
-        total += len(data)
-    h, start, count, name = (np.concatenate([x[k] for x in found]) for k in range(4))
-    h >>= np.uint64(64 - COUNT_BITS)
+        total, docs = total + len(data), docs + piece.num_rows
+    h, start, count, doc, name = (np.concatenate([x[k] for x in found]) for k in range(5))
+    del found
     ends = np.concatenate(ends).astype(np.int64)
-    order = np.lexsort((name, h))  # stable: what is equal stays in order of its start
-    h, start, count, name = h[order], start[order], count[order], name[order]
-    new = np.ones(len(h), bool)
-    new[1:] = (h[1:] != h[:-1]) | (name[1:] != name[:-1]) | (count[1:] != count[:-1])
-    doc = np.searchsorted(ends, start, side="right")
+    order = _order(h, COUNT_BITS)
+    h, start, count, doc = h[order], start[order], count[order], doc[order]
     run = starts_of_runs(h)
     size = np.diff(np.append(run, len(h)))
-    many = np.minimum.reduceat(doc, run) != np.maximum.reduceat(doc, run) if len(run) else np.empty(0, bool)
-    held = np.add.reduceat(np.where(new, count + window - 1, 0), run) if len(run) else np.empty(0, np.int64)
+    many = np.zeros(len(run), bool)
+    many[np.searchsorted(run, np.flatnonzero((h[1:] == h[:-1]) & (doc[1:] != doc[:-1])), side="right") - 1] = True
+    # a stretch counts once; only those that share a minimizer can be equal
+    held = count.astype(np.int64) + window - 1
+    several = np.flatnonzero(np.repeat(size > 1, size))
+    name = name[order[several]]
+    again = np.lexsort((name, h[several]))
+    name, several = name[again], several[again]
+    held[several[1:][(h[several[1:]] == h[several[:-1]]) & (name[1:] == name[:-1]) & (count[several[1:]] == count[several[:-1]])]] = 0
+    held = np.add.reduceat(held, run) if len(run) else held
     h = h[run]
     edge = np.searchsorted(_part_of(h << np.uint64(64 - COUNT_BITS), groups), np.arange(groups + 1))
-    for g in range(groups):
+    for g in np.flatnonzero(np.diff(edge)).tolist():
         a, b = int(edge[g]), int(edge[g + 1])
-        if a < b:
-            yield _row(part=g, block=block, kind="keys", n=b - a, a=pack(np.diff(h[a:b], prepend=np.uint64(0))), b=np.packbits(many[a:b]).tobytes(), c=pack((-(-held[a:b] // UNIT)).astype(np.uint32)))
+        yield {"part": g, "block": block, "kind": "keys", "n": b - a, "a": pack(np.diff(h[a:b], prepend=np.uint64(0))), "b": np.packbits(many[a:b]).tobytes(), "c": pack((-(-held[a:b] // UNIT)).astype(np.uint32))}
     packed = [pack(x.astype(np.uint32)) for x in (start, count, size)] if len(start) else [b"", b"", b""]
     head = np.array([len(start), len(size), groups], "<i8").tobytes() + edge.astype("<i8").tobytes()
-    yield _row(part=-1 - hash_of(block) % groups, block=block, kind="head", n=len(head), a=packed[0], b=packed[1], c=head + packed[2], texts=_texts(batch, ends))
+    yield {"part": -1 - hash_of(block) % groups, "block": block, "kind": "head", "n": len(head), "a": packed[0], "b": packed[1], "c": head + packed[2], "texts": _texts(batch, ends)}
+
+
+def _mark_block(batch: pa.RecordBatch, block: str, window: int, gram: int, groups: int) -> Iterator[pa.RecordBatch]:
+    """The block's distinct minimizers per range, with the bytes of their distinct stretches,
+    and its stretches in the same order."""
+    return _batches(_marked(batch, block, window, gram, groups))
 
 
 def _marker(window: int, gram: int, groups: int, block_bytes: int):
@@ -220,38 +266,41 @@ def _shared_runs(table: pa.Table) -> pa.Table:
     return _per_text(texts, owner, start - begin[owner], count)
 
 
-def _send_block(pieces: list, block: str, window: int, groups: int) -> Iterator[pa.RecordBatch]:
-    """The block's distinct stretches per range of minimizers, each with its smallest doc_id,
-    and which text has which."""
+def _send_block(pieces: list, block: str, window: int, bundles: int, each: int) -> Iterator[dict]:
+    """The block's distinct stretches per bundle of ranges of minimizers, each with its
+    smallest doc_id, and which text has which."""
     name, least, length, data, at, doc, start = (np.concatenate([p[k] for p in pieces]) for k in range(7))
-    order = np.lexsort((length, name, least))
+    # by minimizer, and in it by name: 40 and 24 bits bring equal strings together
+    order = np.argsort((least >> np.uint64(24) << np.uint64(24)) | (name >> np.uint64(40)), kind="stable")
+    name, least, length, at, doc, start = name[order], least[order], length[order], at[order], doc[order], start[order]
     new = np.ones(len(order), bool)
-    new[1:] = (name[order][1:] != name[order][:-1]) | (length[order][1:] != length[order][:-1]) | (least[order][1:] != least[order][:-1])
+    new[1:] = (name[1:] != name[:-1]) | (length[1:] != length[:-1]) | (least[1:] != least[:-1])
     first = np.flatnonzero(new)
     size = np.diff(np.append(first, len(order)))
     ids = np.concatenate([p[7] for p in pieces])
-    lowest = np.minimum.reduceat(ids[doc[order]], first) if len(first) else np.empty(0, np.int64)
-    one = order[first]
-    edge = np.searchsorted(_part_of(least[one], groups), np.arange(groups + 1))
+    lowest = np.minimum.reduceat(ids[doc], first) if len(first) else np.empty(0, np.int64)
+    least, length, at = least[first], length[first], at[first]
+    edge = np.searchsorted(_part_of(least, bundles * each), np.arange(bundles * each + 1))
     body = data.tobytes()
+    del data, name, least, new
     packer = zstandard.ZstdCompressor(level=3)
-    for g in range(groups):
-        a, b = int(edge[g]), int(edge[g + 1])
-        if a < b:
-            text = b"".join([body[s : s + n] for s, n in zip(at[one[a:b]].tolist(), length[one[a:b]].tolist())])
-            yield _row(part=g, block=block, kind="strings", n=b - a, a=packer.compress(text), b=pack(length[one[a:b]].astype(np.uint32)), c=pack(lowest[a:b]))
+    for g in np.flatnonzero(np.diff(edge[::each])).tolist():
+        cut = edge[g * each : (g + 1) * each + 1]
+        a, b = int(cut[0]), int(cut[-1])
+        text = b"".join([body[s : s + n] for s, n in zip(at[a:b].tolist(), length[a:b].tolist())])
+        yield {"part": g, "block": block, "kind": "strings", "n": b - a, "a": packer.compress(text), "b": pack(length[a:b].astype(np.uint32)), "c": pack(lowest[a:b]), "texts": np.diff(cut).astype("<i4").tobytes()}
     ends = np.cumsum(np.concatenate([p[8] for p in pieces]))
     batch = pa.Table.from_batches([p[9] for p in pieces]).combine_chunks().to_batches()[0]
-    packed = [pack(x.astype(np.uint32)) for x in (start[order], doc[order], np.concatenate([size, length[one]]))] if len(order) else [b"", b"", b""]
-    head = np.array([len(order), len(size), groups], "<i8").tobytes() + edge.astype("<i8").tobytes()
-    yield _row(part=-1 - hash_of(block) % groups, block=block, kind="head", n=len(head), a=packed[0], b=packed[1], c=head + packed[2], texts=_texts(batch, ends))
+    packed = [pack(x.astype(np.uint32)) for x in (start, doc, np.concatenate([size, length]))] if len(order) else [b"", b"", b""]
+    head = np.array([len(order), len(size)], "<i8").tobytes()
+    yield {"part": -1 - hash_of(block) % bundles, "block": block, "kind": "head", "n": len(head), "a": packed[0], "b": packed[1], "c": head + packed[2], "texts": _texts(batch, ends)}
 
 
-def _sender(window: int, gram: int, groups: int, block_bytes: int):
+def _sender(window: int, gram: int, bundles: int, each: int, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         held, size, docs, total, sent = [], 0, 0, 0, 0
-        for piece in slices(batches, "text"):
+        for piece in slices(batches, "text", PIECE_BYTES):
             data, at = utf8(piece.column("text"))
             starts, counts = piece.column("starts"), piece.column("ends")
             holder = np.repeat(np.arange(piece.num_rows), np.diff(starts.offsets.to_numpy()))
@@ -275,61 +324,86 @@ def _sender(window: int, gram: int, groups: int, block_bytes: int):
             keys = pa.RecordBatch.from_arrays([piece.column("row_id"), piece.column("row_text")], ["row_id", "row_text"])
             held.append((name, least, length, data, where + total, owner + docs, inner, ids, np.diff(at), keys))
             docs, total, size = docs + piece.num_rows, total + len(data), size + int(length.sum())
-            if max(size, total) >= block_bytes // 2:
-                yield from _send_block(held, f"{task}-{sent}", window, groups)
+            if max(size, total) >= 2 * block_bytes:
+                yield from _batches(_send_block(held, f"{task}-{sent}", window, bundles, each))
                 held, size, docs, total, sent = [], 0, 0, 0, sent + 1
         if held:
-            yield from _send_block(held, f"{task}-{sent}", window, groups)
+            yield from _batches(_send_block(held, f"{task}-{sent}", window, bundles, each))
 
     return run
 
 
+def _least(strings: list[bytes], ids: np.ndarray, window: int) -> np.ndarray:
+    """The smallest id of every window of every string, string after string; ``ids`` are
+    those of the strings."""
+    known: dict[bytes, int] = {}
+    mine = np.array([known.setdefault(x, len(known)) for x in strings])
+    lowest = np.full(len(known), np.iinfo(ids.dtype).max, ids.dtype)
+    np.minimum.at(lowest, mine, ids)
+    size = np.fromiter(map(len, known), np.int64, len(known))
+    begin = np.cumsum(size + 1) - size - 1
+    text = np.frombuffer(b"\x00".join(known), np.uint8).astype(np.uint16) + np.uint16(2)
+    text[begin[1:] - 1] = 1
+    windows = size - window + 1
+    offset = np.cumsum(windows) - windows
+    doc_of = np.repeat(lowest, windows)
+    place = np.arange(len(doc_of)) + np.repeat(begin - offset, windows)
+    number = np.full(len(text) + 1, -1, np.int32)
+    number[place] = np.arange(len(place), dtype=np.int32)
+    del place, known
+    order, common = sorted_suffixes(np.append(text, np.uint16(0)), window)
+    number = number[order]
+    del order
+    at = np.flatnonzero(number >= 0)
+    number = number[at]
+    group = np.ones(len(at), bool)
+    if len(at) > 1:
+        group[1:] = np.minimum.reduceat(common[: at[-1] + 1], at[:-1] + 1) < window
+    first = np.flatnonzero(group)
+    least = np.empty_like(doc_of)
+    least[number] = np.repeat(np.minimum.reduceat(doc_of[number], first), np.diff(np.append(first, len(number))))
+    n = windows[mine]
+    return least[np.arange(int(n.sum())) + np.repeat(offset[mine] - (np.cumsum(n) - n), n)]
+
+
 def _sorter(window: int):
     def run(table: pa.Table) -> pa.Table:
-        """The smallest doc_id of every window of every stretch of a range, per block."""
+        """The smallest doc_id of every window of every stretch of a bundle, per block: a
+        value for each run of windows, and where the runs start."""
         rows = table.to_pylist()
         if rows and rows[0]["kind"] == "head":
             return table
-        known: dict[bytes, int] = {}
-        lowest, wanted = [], []
-        for r in rows:
-            body = zstandard.ZstdDecompressor().decompress(r["a"])
-            cut = np.concatenate([[0], np.cumsum(unpack(r["b"], r["n"], np.uint32), dtype=np.int64)]).tolist()
-            ids = unpack(r["c"], r["n"], np.int64).tolist()
-            mine = []
-            for a, b, doc in zip(cut[:-1], cut[1:], ids):
-                at = known.setdefault(body[a:b], len(lowest))
-                if at == len(lowest):
-                    lowest.append(doc)
-                elif doc < lowest[at]:
-                    lowest[at] = doc
-                mine.append(at)
-            wanted.append(np.array(mine))
-        size = np.fromiter(map(len, known), np.int64, len(known))
-        begin = np.cumsum(size + 1) - size - 1
-        text = np.frombuffer(b"\x00".join(known), np.uint8).astype(np.int32) + 2
-        text[begin[1:] - 1] = 1
+        unzip = zstandard.ZstdDecompressor()
+        body = b"".join([unzip.decompress(r["a"]) for r in rows])
+        size = np.concatenate([unpack(r["b"], r["n"], np.uint32) for r in rows]).astype(np.int64)
+        # ids by their rank
+        ids, rank = np.unique(np.concatenate([unpack(r["c"], r["n"], np.int64) for r in rows]), return_inverse=True)
+        rank = rank.astype(np.int32)
+        per_group = np.concatenate([np.frombuffer(r["texts"], "<i4") for r in rows])
+        each = len(per_group) // len(rows)
+        group = np.repeat(np.tile(np.arange(each), len(rows)), per_group)
+        order = np.argsort(group, kind="stable")
+        edge = np.searchsorted(group[order], np.arange(each + 1)).tolist()
+        cut = np.cumsum(size) - size
         windows = size - window + 1
-        doc_of = np.repeat(np.array(lowest), windows)
-        place = np.arange(int(windows.sum())) + np.repeat(begin - (np.cumsum(windows) - windows), windows)
-        number = np.full(len(text) + 1, -1, np.int64)
-        number[place] = np.arange(len(place))
-        order, common = sorted_suffixes(np.append(text, 0), window)
-        number = number[order]
-        at = np.flatnonzero(number >= 0)
-        number = number[at]
-        group = np.ones(len(at), bool)
-        if len(at) > 1:
-            group[1:] = np.minimum.reduceat(common[: at[-1] + 1], at[:-1] + 1) < window
-        first = np.flatnonzero(group)
-        least = np.empty(len(number), np.int64)
-        least[number] = np.repeat(np.minimum.reduceat(doc_of[number], first), np.diff(np.append(first, len(number))))
         offset = np.cumsum(windows) - windows
-        out = []
-        for r, mine in zip(rows, wanted):
-            n = windows[mine]
-            values = least[np.arange(int(n.sum())) + np.repeat(offset[mine] - (np.cumsum(n) - n), n)]
-            out.append({"part": r["part"], "block": r["block"], "kind": "least", "n": len(values), "a": pack(np.diff(values, prepend=np.int64(0))), "b": None, "c": None, "texts": None})
+        least = np.empty(int(windows.sum()), np.int32)
+        for a, b in zip(edge[:-1], edge[1:]):
+            if a < b:
+                some = order[a:b]
+                found = _least([body[x : x + n] for x, n in zip(cut[some].tolist(), size[some].tolist())], rank[some], window)
+                n = windows[some]
+                least[np.arange(len(found)) + np.repeat(offset[some] - (np.cumsum(n) - n), n)] = found
+        new = np.ones(len(least), bool)
+        new[1:] = least[1:] != least[:-1]
+        new[offset] = True
+        out, low, strings = [], 0, 0
+        for r in rows:
+            strings += r["n"]
+            high = int(offset[strings]) if strings < len(offset) else len(least)
+            starts = new[low:high]
+            out.append({"part": r["part"], "block": r["block"], "kind": "least", "n": high - low, "a": pack(ids[least[low:high][starts]]), "b": np.packbits(starts).tobytes()})
+            low = high
         return pa.Table.from_pylist(out, schema=_ROWS_ARROW)
 
     return run
@@ -340,26 +414,38 @@ def _remover(window: int):
         """The bytes that each text of a block loses, as intervals."""
         rows = table.to_pylist()
         (head,) = [r for r in rows if r["kind"] == "head"]
-        n_runs, n_strings, groups = np.frombuffer(head["c"], "<i8", 3).tolist()
+        n_runs, n_strings = np.frombuffer(head["c"], "<i8", 2).tolist()
         texts = pa.ipc.open_stream(head["texts"]).read_all()
         if not n_runs:
             return _per_text(texts, *[np.empty(0, np.int64)] * 3)
-        both = unpack(head["c"][24 + 8 * (groups + 1) :], 2 * n_strings, np.uint32).astype(np.int64)
+        both = unpack(head["c"][16:], 2 * n_strings, np.uint32).astype(np.int64)
         size, windows = both[:n_strings], both[n_strings:] - window + 1
-        least = np.concatenate([np.cumsum(unpack(r["a"], r["n"], np.int64)) for r in sorted((r for r in rows if r["kind"] == "least"), key=lambda r: r["part"])])
+        answers = sorted((r for r in rows if r["kind"] == "least"), key=lambda r: r["part"])
+        first = np.flatnonzero(np.concatenate([np.unpackbits(np.frombuffer(r["b"], np.uint8), count=r["n"]) for r in answers]))
+        count = [int(np.bitwise_count(np.frombuffer(r["b"], np.uint8)).sum()) for r in answers]
+        least = np.concatenate([unpack(r["a"], n, np.int64) for r, n in zip(answers, count)])
+        # the runs of windows with one value, per string and then wherever the string stands
+        offset = np.cumsum(windows) - windows
+        run = np.searchsorted(first, offset)
+        runs = np.diff(np.append(run, len(first)))
+        length = np.diff(np.append(first, int(windows.sum())))
+        first -= np.repeat(offset, runs)
         start, doc = (unpack(head[x], n_runs, np.uint32).astype(np.int64) for x in ("a", "b"))
         ends = texts.column("end").to_numpy()
         begin = np.concatenate([[0], ends[:-1]])
         ids = texts.column("row_id").combine_chunks().fill_null(LAST_ID).to_numpy()
         of = np.repeat(np.arange(n_strings), size)
-        n = windows[of]
-        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        low = least[np.repeat((np.cumsum(windows) - windows)[of], n) + step]
-        place = (np.repeat(begin[doc] + start, n) + step)[low < np.repeat(ids[doc], n)]
-        edge = np.zeros(int(ends[-1]) + 1, np.int32)
-        np.add.at(edge, place, 1)
-        np.add.at(edge, place + window, -1)
-        starts, stops, owner = cut_at(*spans(np.cumsum(edge[:-1]) > 0), ends)
+        n = runs[of]
+        step = np.arange(int(n.sum())) + np.repeat(run[of] - (np.cumsum(n) - n), n)
+        lost = least[step] < np.repeat(ids[doc], n)
+        place = np.repeat(begin[doc] + start, n)[lost] + first[step[lost]]
+        step = step[lost]
+        order = np.argsort(place)
+        low, high = place[order], np.maximum.accumulate((place + length[step] + window - 1)[order])
+        new = np.ones(len(low), bool)
+        new[1:] = low[1:] > high[:-1]
+        first = np.flatnonzero(new)
+        starts, stops, owner = cut_at(low[first], high[np.append(first, len(low))[1:] - 1], ends)
         return _per_text(texts, owner, starts - begin[owner], stops - begin[owner])
 
     return run
@@ -369,12 +455,12 @@ def covered_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     """(row_id, row_text, starts, ends): per text, the byte intervals covered by strings of
     ``window`` bytes that also start in a document with a smaller doc_id."""
     rows = keyed(docs, doc_id, text)
-    groups = count_groups(rows, "text", group_bytes)
-    marked = rows.mapInArrow(_marker(window, gram, groups, block_bytes), _ROWS)
+    bundles, each = _bundled(count_groups(rows, "text", group_bytes))
+    marked = rows.mapInArrow(_marker(window, gram, bundles, block_bytes), _ROWS)
     runs = marked.groupBy("part").applyInArrow(_counter(group_bytes // 2), _ROWS).groupBy("block").applyInArrow(_shared_runs, _RUNS)
     one = runs.groupBy("row_id", "row_text").agg(F.first("starts").alias("starts"), F.first("ends").alias("ends"))
     texts = with_spans(rows, "row_id", "text", one, ("starts", "ends")).where("starts IS NOT NULL")
-    sent = texts.select("row_id", "row_text", "text", "starts", "ends").mapInArrow(_sender(window, gram, groups, block_bytes), _ROWS)
+    sent = texts.select("row_id", "row_text", "text", "starts", "ends").mapInArrow(_sender(window, gram, bundles, each, block_bytes), _ROWS)
     found = sent.groupBy("part").applyInArrow(_sorter(window), _ROWS).groupBy("block").applyInArrow(_remover(window), _RUNS)
     return found.groupBy("row_id", "row_text").agg(F.first("starts").alias("starts"), F.first("ends").alias("ends"))
 

@@ -93,6 +93,45 @@ def test_a_line_in_many_contexts_fills_no_group(docs, monkeypatch, tmp_path):
     assert share[0] < 0.15 < 0.3 < share[1]
 
 
+def test_rows_grow_with_the_blocks_not_with_their_square(docs, monkeypatch, tmp_path):
+    """Of many groups, neighbouring ones travel as one row of a block; the strings of each
+    are still sorted among themselves."""
+    rnd = random.Random(6)
+    texts = ["".join(rnd.choices("abcdefgh ", k=rnd.randrange(3000))) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate([*texts, *reversed(texts), texts[0] + texts[1]])]
+    monkeypatch.setattr(suffixes, "count_groups", lambda *_: 3000)
+    folder = str(tmp_path)
+
+    def watching(name):
+        made = getattr(suffixes, name)
+
+        def make(*args):
+            def run(table):
+                kind = table.column("kind")[0].as_py()
+                blocks = "-".join(sorted(set(table.column("block").to_pylist())))
+                tempfile.NamedTemporaryFile(dir=folder, suffix=f"_{name}_{kind}_{table.num_rows}_{blocks}", delete=False).close()
+                return made(*args)(table)
+
+            return run
+
+        monkeypatch.setattr(suffixes, name, make)
+
+    watching("_counter")
+    watching("_sorter")
+    got = suffixes.report(docs(rows)).collect()
+    assert ordered(got) == ordered(brute.earlier(rows, 50))
+    seen = [x.rsplit("_", 4)[1:] for x in os.listdir(folder)]
+    for name, kind in (("counter", "keys"), ("sorter", "strings")):
+        blocks = sum(int(n) for by, k, n, _ in seen if by == name and k == "head")
+        assert 0 < sum(int(n) for by, k, n, _ in seen if by == name and k == kind) <= 512 * blocks
+
+
+@pytest.mark.parametrize("bits", [8, 40, 62])
+def test_order_of_values_with_their_place(bits):
+    values = np.random.default_rng(bits).integers(0, 1 << min(bits, 6), 500).astype(np.uint64)
+    assert suffixes._order(values, bits).tolist() == np.argsort(values, kind="stable").tolist()
+
+
 def test_near_duplicates(docs, corpus):
     got = near_dups.report(docs(corpus)).collect()
     assert ordered(got) == ordered(brute.near(corpus))
