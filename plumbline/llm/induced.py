@@ -108,26 +108,32 @@ def _rank(words: _Words, starts: np.ndarray, ends: np.ndarray | None, depth: int
     and the rank of each; equal strings share one. A word at a time, ties only. The last
     symbol of the text is unique, so what is tied lies inside."""
     rank = np.zeros(len(starts), np.int64)
-    tied, done = np.arange(len(starts)), 0
+    whole, tied, old, done = np.arange(len(starts)), np.arange(len(starts)), rank, 0
     while len(tied) and (ends is not None or done < depth):
-        key, old = words.at[starts[tied] + done], rank[tied]
+        # what is tied stands by its rank: its number goes before as many symbols as fit
+        first = starts_of_runs(old)
+        count = np.diff(np.append(first, len(old)))
+        fit = min(words.per, (64 - (len(first) - 1).bit_length()) // words.bits)
+        key = words.at[starts[tied] + done]
         if ends is not None:
             key = words.cut(key, ends[tied] - starts[tied] - done)
-        order = np.lexsort((key, old)) if done else np.argsort(key)
-        key, old, tied = key[order], old[order], tied[order]
-        new = np.ones(len(order), bool)
-        new[1:] = (key[1:] != key[:-1]) | (old[1:] != old[:-1])
-        group = np.flatnonzero(new)
+        key >>= np.uint64((words.per - fit) * words.bits)
+        if len(first) > 1:
+            key |= np.repeat(np.arange(len(first), dtype=np.uint64) << np.uint64(fit * words.bits), count)
+        order = np.argsort(key, kind="stable" if done else None)
+        key, tied = key[order], tied[order]
+        base = np.repeat(old[first] - first, count)
+        whole[base + np.arange(len(base))] = tied
+        group = starts_of_runs(key)
         size = np.diff(np.append(group, len(order)))
-        first = starts_of_runs(old)
-        base = np.repeat(first, np.diff(np.append(first, len(order))))
-        rank[tied] = old + np.repeat(group, size) - base
-        done += words.per
+        old = base + np.repeat(group, size)
+        rank[tied] = old
+        done += fit
         more = np.repeat(size > 1, size)
         if ends is not None:
             more &= starts[tied] + done < ends[tied]
-        tied = tied[more]
-    return np.argsort(rank, kind="stable"), rank
+        tied, old = tied[more], old[more]
+    return whole, rank
 
 
 def _common(words: _Words, order: np.ndarray, cap: int) -> np.ndarray:
@@ -142,6 +148,11 @@ def _common(words: _Words, order: np.ndarray, cap: int) -> np.ndarray:
     return out
 
 
+# The largest power of two, and which, in each small number from 1.
+_LEVEL = (np.frexp(np.arange(1 << 16))[1] - 1).astype(np.int64)
+_POWER = np.int64(1) << np.maximum(_LEVEL, 0)
+
+
 class _Range:
     """Smallest value between two places of an array, for many pairs at once."""
 
@@ -155,16 +166,24 @@ class _Range:
 
     def least(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Over low .. high, both included; low <= high."""
-        level = np.frexp((high - low + 1).astype(np.float64))[1].astype(np.int64) - 1
+        size = high - low + 1
+        if len(size) and size.max() < len(_LEVEL):
+            level, power = _LEVEL[size], _POWER[size]
+        else:
+            level = np.frexp(size.astype(np.float64))[1].astype(np.int64) - 1
+            power = 1 << level
         row, flat = level * self._size, self._tables.reshape(-1)
-        return np.minimum(flat[row + low], flat[row + high - (1 << level) + 1])
+        return np.minimum(flat[row + low], flat[row + high - power + 1])
 
 
 class _Pass:
     """One induction pass: takes batches of sources in order, fills the queues."""
 
     def __init__(self, text: np.ndarray, wanted: np.ndarray, alphabet: int, cap: int, memory: int):
-        self.text, self.wanted, self.cap = text, wanted, cap
+        self.cap = cap
+        # the symbol before each suffix if that is wanted, else 0, which stands before none
+        self.before = np.zeros(len(text), text.dtype)
+        np.multiply(text[:-1], wanted[:-1], out=self.before[1:])
         self.queues = Queues(memory)
         # smallest common prefix among the sources since the last tuple of each bucket
         self.since = np.full(alphabet, 255, np.uint8)
@@ -173,12 +192,12 @@ class _Pass:
     def feed(self, place: np.ndarray, prefix: np.ndarray) -> None:
         if not len(place):
             return
-        before = place - 1
-        able = np.flatnonzero((before >= 0) & self.wanted[np.maximum(before, 0)])
+        symbol = self.before[place]
+        able = np.flatnonzero(symbol)
         if not len(able):
             np.minimum(self.since, prefix.min(), out=self.since)
             return
-        symbol = self.text[before[able]]
+        symbol = symbol[able]
         order = np.argsort(symbol, kind="stable")
         source, symbol = able[order], symbol[order]
         group = starts_of_runs(symbol)
@@ -189,7 +208,7 @@ class _Pass:
         value = least.least(low, source)
         heads = symbol[group]
         value[group] = np.minimum(value[group], self.since[heads])
-        value = np.minimum(value.astype(np.int64) + 1, self.cap).astype(np.uint8)
+        value = np.minimum(value, np.uint8(self.cap - 1)) + np.uint8(1)
         value[group[self.fresh[heads]]] = 0
         np.minimum(self.since, prefix.min(), out=self.since)
         ends = np.append(group[1:], len(source))
@@ -199,7 +218,7 @@ class _Pass:
         if inner.any():
             rest[inner] = least.least(last[inner], np.full(int(inner.sum()), len(prefix) - 1))
         self.since[heads], self.fresh[heads] = rest, False
-        found = before[source]
+        found = place[source] - 1
         for c, a, b in zip(heads.tolist(), group.tolist(), ends.tolist()):
             self.queues.push(c, found[a:b], value[a:b])
 
@@ -229,8 +248,8 @@ def sorted_suffixes(text: np.ndarray, cap: int, memory: int = MEMORY, base: int
     """Suffix positions in order and each one's common prefix with the one before it, both
     exact for ``cap`` (at most 254) symbols. ``text`` is of small integers from 0 and ends
     with its only 0."""
-    # a stable sort of symbols of 16 bits takes one pass
-    text = text.astype(np.uint16 if text.max() < 1 << 16 else np.int64)
+    # a stable sort of symbols of 8 bits takes one pass, of 16 bits two
+    text = text.astype(np.uint8 if text.max() < 1 << 8 else np.uint16 if text.max() < 1 << 16 else np.int64)
     if len(text) == 1:
         return np.zeros(1, np.int64), np.zeros(1, np.uint8)
     smaller, repeat = _types(text)
