@@ -62,7 +62,7 @@ UNIT = 128
 
 # Groups are bundled as soon as there are this many bundles, up to so many in a bundle: a
 # task holds the strings of a bundle, but sorts those of one group at a time.
-FEW = 256
+FEW = 512
 BUNDLE = 8
 
 # Leading bits of a minimizer by which it is counted. Two that share them count as one, so a
@@ -374,7 +374,7 @@ def _sorter(window: int):
         if rows and rows[0]["kind"] == "head":
             return table
         unzip = zstandard.ZstdDecompressor()
-        body = b"".join([unzip.decompress(r["a"]) for r in rows])
+        body = b"".join([unzip.decompress(r.pop("a")) for r in rows])
         size = np.concatenate([unpack(r["b"], r["n"], np.uint32) for r in rows]).astype(np.int64)
         # ids by their rank
         ids, rank = np.unique(np.concatenate([unpack(r["c"], r["n"], np.int64) for r in rows]), return_inverse=True)
@@ -421,9 +421,9 @@ def _remover(window: int):
         both = unpack(head["c"][16:], 2 * n_strings, np.uint32).astype(np.int64)
         size, windows = both[:n_strings], both[n_strings:] - window + 1
         answers = sorted((r for r in rows if r["kind"] == "least"), key=lambda r: r["part"])
-        first = np.flatnonzero(np.concatenate([np.unpackbits(np.frombuffer(r["b"], np.uint8), count=r["n"]) for r in answers]))
-        count = [int(np.bitwise_count(np.frombuffer(r["b"], np.uint8)).sum()) for r in answers]
-        least = np.concatenate([unpack(r["a"], n, np.int64) for r, n in zip(answers, count)])
+        new = [np.unpackbits(np.frombuffer(r["b"], np.uint8), count=r["n"]) for r in answers]
+        least = np.concatenate([unpack(r["a"], int(np.count_nonzero(x)), np.int64) for r, x in zip(answers, new)])
+        first = np.flatnonzero(np.concatenate(new))
         # the runs of windows with one value, per string and then wherever the string stands
         offset = np.cumsum(windows) - windows
         run = np.searchsorted(first, offset)
@@ -442,10 +442,10 @@ def _remover(window: int):
         step = step[lost]
         order = np.argsort(place)
         low, high = place[order], np.maximum.accumulate((place + length[step] + window - 1)[order])
-        new = np.ones(len(low), bool)
-        new[1:] = low[1:] > high[:-1]
-        first = np.flatnonzero(new)
-        starts, stops, owner = cut_at(low[first], high[np.append(first, len(low))[1:] - 1], ends)
+        apart = np.ones(len(low), bool)
+        apart[1:] = low[1:] > high[:-1]
+        edge = np.append(np.flatnonzero(apart), len(low))
+        starts, stops, owner = cut_at(low[edge[:-1]], high[edge[1:] - 1], ends)
         return _per_text(texts, owner, starts - begin[owner], stops - begin[owner])
 
     return run
