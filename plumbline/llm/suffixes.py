@@ -22,8 +22,9 @@ document then removes the strings whose smallest doc_id is below its own.
 A stretch that fills a third of the corpus is sent once per block of text and sorted once.
 Stretches are told apart by 64 bits of hash and their length.
 
-A block has a row per group, so the rows would grow with the square of the corpus: beyond
-FEW groups neighbouring ones travel as one row (a bundle) and are sorted one after the other.
+A block has a row per group, so the rows would grow with the square of the corpus: from
+twice FEW groups on, neighbouring ones travel as one row (a bundle) and are sorted one after
+the other.
 
 NULL is an empty text. A row without doc_id is later than all others. Rows that share a
 doc_id never remove from each other. Matches never cross documents.
@@ -60,8 +61,8 @@ BATCH_BYTES = 1 << 20
 GROUP_BYTES = 4 << 20
 UNIT = 128
 
-# Groups are bundled as soon as there are this many bundles, up to so many in a bundle: a
-# task holds the strings of a bundle, but sorts those of one group at a time.
+# Groups are bundled if this many bundles are left, up to so many in a bundle: a task holds
+# the strings of a bundle, but sorts those of one group at a time.
 FEW = 512
 BUNDLE = 8
 
